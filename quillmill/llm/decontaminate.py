@@ -31,22 +31,25 @@ _STEP = 1 << 15
 _BREAKS = byte_class(b" \t\n\v\f\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\0")
 
 
-def window_fingerprints(grams: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of every `size` consecutive shingles: a bit is set if it is in over half their hashes."""
-    n = len(grams) - size + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
-    if size > 255:
+def window_fingerprints(grams: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(size, first window, SimHashes) of every `size` consecutive shingles, in blocks of windows.
+
+    A bit is set if it is in over half of a window's hashes. Running sums of
+    each bit serve all sizes; they may wrap, since only differences under 256
+    are used.
+    """
+    if max(sizes, default=0) > 255:
         raise ValueError("window sizes fit in a byte")
-    out = np.empty(n, dtype=np.uint64)
-    for at in range(0, n, _STEP):
-        some = grams[at : min(at + _STEP, n) + size - 1]
+    for at in range(0, len(grams), _STEP):
+        some = grams[at : at + _STEP + max(sizes) - 1]
         bits = np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.zeros((len(bits) + 1, 64), dtype=np.uint8)  # sums may wrap: only differences under 256 are used
+        sums = np.zeros((len(bits) + 1, 64), dtype=np.uint8)
         np.cumsum(bits, axis=0, dtype=np.uint8, out=sums[1:])
-        inside = sums[size:] - sums[:-size]
-        out[at : at + len(inside)] = np.packbits(inside > size // 2, axis=1, bitorder="little").view(np.uint64)[:, 0]
-    return out
+        for size in sizes:
+            n = min(_STEP, len(some) - size + 1)
+            if n > 0:
+                inside = sums[size : size + n] - sums[:n]
+                yield size, at, np.packbits(inside > size // 2, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
 @dataclass
@@ -74,11 +77,11 @@ def build_index(items: list[tuple[int, str]], shingle: int, classes: tuple[int,
     for i, g in enumerate(each):
         if not bounds[i + 1] > bounds[i]:
             continue  # an item without words matches nothing
-        fit = [c for c in classes if c <= len(g)]
+        fit = tuple(c for c in classes if c <= len(g))
         if not fit or int(bounds[i + 1] - bounds[i]) < shingle:
             short.setdefault(int(bounds[i + 1] - bounds[i]), []).append((int(g[0]), i))
             continue
-        fps = window_fingerprints(g, fit[-1])
+        fps = np.concatenate([f for _, _, f in window_fingerprints(g, fit[-1:])])
         made[fit[-1]][0].append(fps)
         made[fit[-1]][1].append(np.full(len(fps), i))
         made[fit[-1]][2].append(np.arange(len(fps)))
@@ -134,30 +137,38 @@ def weighted_similarity(a: Counter, b: Counter, index: Index) -> float:
     return both / (each - both) if each else 0.0
 
 
-def matches(words: np.ndarray, index: Index, shingle: int, similarity: float, radius: int) -> dict[int, tuple[float, int]]:
-    """item: (similarity, first word) of the best window, for items at least that similar."""
-    best: dict[int, tuple[float, int]] = {}
+def matches(words: np.ndarray, bounds: np.ndarray, index: Index, shingle: int, similarity: float, radius: int) -> dict[tuple[int, int], tuple[float, int]]:
+    """(text, item): (similarity, first word) of the best window, for items at least that similar.
+
+    `words` are those of several texts in a row and `bounds` their first words;
+    windows lie in one text each.
+    """
+    best: dict[tuple[int, int], tuple[float, int]] = {}
+
+    def compare(text: int, item: int, at: int, grams: np.ndarray, last: int) -> None:
+        own = Counter(grams[at : min(at + index.lengths[item], last)].tolist())
+        s = weighted_similarity(own, index.shingles[item], index)
+        if s >= similarity and s > best.get((text, item), (0.0, 0))[0]:
+            best[text, item] = (s, at - int(bounds[text]))
+
     grams = shingle_hashes(words, shingle)
-    for size, indexed in index.classes.items():
-        fps = window_fingerprints(grams, size)
-        if not len(fps):
-            continue
-        a, b = near_windows(fps, indexed, radius)
-        starts = {(int(indexed[1][y]), max(0, int(x - indexed[2][y]))) for x, y in zip(a, b)}
-        for item, at in sorted(starts):
-            own = Counter(grams[at : at + index.lengths[item]].tolist())
-            s = weighted_similarity(own, index.shingles[item], index)
-            if s >= similarity and s > best.get(item, (0.0, 0))[0]:
-                best[item] = (s, at)
+    for size, block, fps in window_fingerprints(grams, tuple(index.classes)) if index.classes else ():
+        theirs = index.classes[size]
+        a, b = near_windows(fps, theirs, radius)
+        a = a + block
+        text = np.searchsorted(bounds, a, "right") - 1
+        inside = a + size + shingle - 1 <= bounds[text + 1]
+        for t, item, at in sorted(set(zip(text[inside].tolist(), theirs[1][b[inside]].tolist(), (a - theirs[2][b])[inside].tolist()))):
+            compare(t, item, max(at, int(bounds[t])), grams, int(bounds[t + 1]) - shingle + 1)
     for n, whole in index.short.items():
-        # too short for a window class: the whole item must occur, as one shingle of its length
-        own = shingle_hashes(words, min(n, shingle))
-        first = own if n <= shingle else own[: max(0, len(words) - n + 1)]
+        # too short for a window class: the whole item must occur, and its first shingle finds it
+        width = min(n, shingle)
+        own = shingle_hashes(words, width)
         for h, item in whole:
-            for at in np.flatnonzero(first == np.uint64(h)).tolist():
-                s = weighted_similarity(Counter(own[at : at + index.lengths[item]].tolist()), index.shingles[item], index)
-                if s >= similarity and s > best.get(item, (0.0, 0))[0]:
-                    best[item] = (s, at)
+            for at in np.flatnonzero(own == np.uint64(h)).tolist():
+                t = int(np.searchsorted(bounds, at, "right")) - 1
+                if at + n <= bounds[t + 1]:
+                    compare(t, item, at, own, int(bounds[t + 1]) - width + 1)
     return best
 
 
@@ -194,9 +205,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
             for batch in batches:
                 ids, texts, out = batch.column(0).to_pylist(), raw_texts(batch.column(1)), []
                 words, bounds = hashed_words(texts, _BREAKS)
-                for i, doc in enumerate(ids):
-                    for item, (s, at) in matches(words[bounds[i] : bounds[i + 1]], index, shingle, similarity, radius).items():
-                        out.append((doc, index.ids[item], s, at))
+                for (i, item), (s, at) in matches(words, bounds, index, shingle, similarity, radius).items():
+                    out.append((ids[i], index.ids[item], s, at))
                 made = list(zip(*out)) if out else [()] * 4
                 yield pa.record_batch([pa.array(c, type=t) for c, t in zip(made, types)], names=names)
 
