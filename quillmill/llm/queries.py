@@ -17,7 +17,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepieces.described(sentencepieces.encode(table(spark, sf_dir, "documents")))
+    return sentencepieces.encode_and_decode(table(spark, sf_dir, "documents"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

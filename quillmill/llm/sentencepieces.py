@@ -13,6 +13,7 @@ documents are a single chunk and need no matrix: the library encodes them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -225,20 +226,51 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK, id_column: s
     chunks in as many tasks as they have chunks; results are those of the whole
     text.
     """
+    return _encoded(docs, model, chunk, id_column, text_column, False)
+
+
+def encode_and_decode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """encode(), and what the ids decode to: (doc_id, n_tokens, ids, decoded_chars, decoded_sha256).
+
+    Short texts are decoded in the task that encodes them.
+    """
+    out = _encoded(docs, model, chunk, id_column, text_column, True)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_chars", "decoded_sha256")
+
+
+def _encoded(docs: DataFrame, model: str, chunk: int, id_column: str, text_column: str, decoded: bool) -> DataFrame:
     spark = session()
     held = spark.sparkContext.broadcast(_model(model))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        processor = sentencepiece.SentencePieceProcessor(model_proto=held.value)
+        processor = _processor(held.value)
         for batch in batches:
             ids = processor.encode(batch.column(1).to_pylist(), num_threads=1)
-            yield pa.record_batch([batch.column(0), pa.array(ids, type=pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            more = _digests(processor, ids) if decoded else []
+            yield pa.record_batch([batch.column(0), pa.array(ids, type=pa.list_(pa.int32())), *more], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"][: 2 + len(more)])
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        processor = _processor(held.value)
+        for batch in batches:
+            yield pa.record_batch([*batch.columns, *_digests(processor, batch.column(1).to_pylist())], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"])
+
+    schema = "doc_id long, ids array<int>" + ", decoded_chars long, decoded_sha256 string" * decoded
+    short = rows.where(F.length("text") <= chunk).mapInArrow(whole, schema)
+    giants = _encode_giants(rows.where(F.length("text") > chunk), held, chunk)
+    return short.union(giants.mapInArrow(described, schema) if decoded else giants)
+
+
+def _processor(model: bytes):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=model)
+
 
-    short = rows.where(F.length("text") <= chunk).mapInArrow(whole, "doc_id long, ids array<int>")
-    return short.union(_encode_giants(rows.where(F.length("text") > chunk), held, chunk))
+def _digests(processor, ids: list) -> list[pa.Array]:
+    """Code points and SHA-256 of what each list of ids decodes to."""
+    texts = [processor.decode(x) if x else "" for x in ids]
+    return [pa.array([len(t) for t in texts], type=pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], type=pa.string())]
 
 
 _CHUNKS = "key string, doc_id long, part int, parts int, text string, first int, end int"
@@ -290,7 +322,9 @@ def _encode_giants(rows: DataFrame, held, chunk: int) -> DataFrame:
                 made.append((key, doc_id, part, pieces.ids(found)))
             yield _batch(made, (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32())), "key doc_id part ids")
 
-    chunks = settle(rows.mapInArrow(cut, _CHUNKS)).repartition("key", "part")
+    chunks = settle(rows.mapInArrow(cut, _CHUNKS))
+    spark = session()
+    chunks = chunks.repartition(max(4 * spark.sparkContext.defaultParallelism, chunks.count() // 64), "key", "part")  # slow rows: a few a task
     passed = chunks.mapInArrow(matrices, f"key string, part int, entries array<{_STATE}>, exits array<{_STATE}>, matrix array<double>")
     on_path = passed.groupBy("key").applyInPandas(path, f"key string, part int, entry {_STATE}, leave {_STATE}")
     traced = chunks.join(on_path, ["key", "part"]).select("key", "doc_id", "part", "text", "first", "end", "entry", "leave").mapInArrow(trace, "key string, doc_id long, part int, ids array<int>")
@@ -313,30 +347,9 @@ def decode(encoded: DataFrame, model: str = MODEL, id_column: str = "doc_id") ->
     held = session().sparkContext.broadcast(_model(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        processor = sentencepiece.SentencePieceProcessor(model_proto=held.value)
+        processor = _processor(held.value)
         for batch in batches:
             texts = [processor.decode(x) if x else "" for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, type=pa.string())], names=["doc_id", "text"])
 
     return encoded.select(F.col(id_column).alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
-
-
-def described(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, ids) -> (doc_id, n_tokens, ids, decoded_chars, decoded_sha256): what the ids decode to."""
-    held = session().sparkContext.broadcast(_model(model))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        import sentencepiece
-
-        processor = sentencepiece.SentencePieceProcessor(model_proto=held.value)
-        for batch in batches:
-            texts = [processor.decode(x) if x else "" for x in batch.column(1).to_pylist()]
-            shas = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
-            yield pa.record_batch([*batch.columns, pa.array([len(t) for t in texts], type=pa.int64()), pa.array(shas)], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"])
-
-    made = encoded.mapInArrow(run, "doc_id long, ids array<int>, decoded_chars long, decoded_sha256 string")
-    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_chars", "decoded_sha256")
