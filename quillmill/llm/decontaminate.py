@@ -1,7 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows.
 
-Every benchmark item gives windows of the largest size class that it holds,
-and so does every document at every word. Fingerprints of the two sides within
+Every benchmark item gives windows of a size class, and every document gives
+windows of those sizes at every word. An item's class is the largest one of
+which an untouched window is left in any text similar enough to the item. Fingerprints of the two sides within
 `radius` bits are found by blocks: cut into radius + 1 pieces, two such
 fingerprints agree on one piece at least. The item and the document's window
 of the item's own length are then compared exactly: weighted Jaccard
@@ -65,7 +66,17 @@ class Index:
     short: dict[int, list[tuple[int, int]]]  # shingles in an item shorter than every class: whole-item hash to items
 
 
-def build_index(items: list[tuple[int, str]], shingle: int, classes: tuple[int, ...], radius: int) -> Index:
+def untouched(shingles: int, shingle: int, similarity: float) -> int:
+    """The shingles in a row that a text keeps at least of an item that it is this similar to.
+
+    At a Jaccard similarity of s up to (1 - s) / (1 + s) of the item's shingles
+    are lost, and an edit inside the item loses shingle - 1 in a row at least.
+    """
+    lost = int(shingles * (1 - similarity) / (1 + similarity) + 1e-9)
+    return (shingles - lost) // (lost // max(1, shingle - 1) + 1)
+
+
+def build_index(items: list[tuple[int, str]], shingle: int, similarity: float, classes: tuple[int, ...], radius: int) -> Index:
     words, bounds = hashed_words([x.encode() for _, x in items], _BREAKS)
     each = [shingle_hashes(words[bounds[i] : bounds[i + 1]], min(shingle, max(1, int(bounds[i + 1] - bounds[i])))) for i in range(len(items))]
     seen: Counter = Counter()
@@ -77,7 +88,7 @@ def build_index(items: list[tuple[int, str]], shingle: int, classes: tuple[int,
     for i, g in enumerate(each):
         if not bounds[i + 1] > bounds[i]:
             continue  # an item without words matches nothing
-        fit = tuple(c for c in classes if c <= len(g))
+        fit = tuple(c for c in classes if c <= untouched(len(g), shingle, similarity))
         if not fit or int(bounds[i + 1] - bounds[i]) < shingle:
             short.setdefault(int(bounds[i + 1] - bounds[i]), []).append((int(g[0]), i))
             continue
@@ -214,13 +225,30 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
 
     found = spark.createDataFrame([], schema)
     for block in blocks_of(benchmark):
-        found = found.union(rows.mapInArrow(searched(share(spark, build_index(block, shingle, classes, radius))), schema))
+        found = found.union(rows.mapInArrow(searched(share(spark, build_index(block, shingle, similarity, classes, radius))), schema))
     return found
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """docs without those that contain an item. Rows with a null id are kept unless ids are given them first."""
+def clean_documents(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, classes: tuple[int, ...] = CLASSES, text_column: str = "text") -> DataFrame:
+    """docs without those that contain an item, in one pass over the texts for each block of items.
+
+    Null and empty texts stay; ids are not looked at; no row is moved.
+    """
     spark = session()
-    del spark
-    bad = find_contamination(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"] == bad["doc_id"], "left_anti")
+    at = docs.columns.index(text_column)
+
+    def kept(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = opened(shared)
+            for batch in batches:
+                words, bounds = hashed_words(raw_texts(batch.column(at)), _BREAKS)
+                stay = np.ones(batch.num_rows, dtype=bool)
+                stay[[i for i, _ in matches(words, bounds, index, shingle, similarity, radius)]] = False
+                yield batch.filter(pa.array(stay))
+
+        return run
+
+    out = docs
+    for block in blocks_of(benchmark):
+        out = out.mapInArrow(kept(share(spark, build_index(block, shingle, similarity, classes, radius))), docs.schema)
+    return out
