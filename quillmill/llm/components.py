@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.support import settle
 
+#: Parts that a node's neighbours are dealt to.
+SALTS = 16
+
 
 def connected_components(links: DataFrame) -> DataFrame:
     """(a, b) links between ids -> (node, root): each linked node, smallest id reachable.
@@ -36,7 +39,9 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("top"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("top").alias("b"))
+    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt")  # a root has an edge to each of its nodes
+    spread = least.select("a", "top", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    return both.where("b > a").select("a", "b", salt).join(spread, ["a", "salt"]).select(F.col("b").alias("a"), F.col("top").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
