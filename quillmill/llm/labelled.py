@@ -16,12 +16,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
 
     The sample's ids are the only thing broadcast: `rows` ids of 8 bytes and a label.
     """
-    picked = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-        .where(F.col("y").isin(0, 1) & (crc_rest("doc_id", 5) != 0))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y")
-        .limit(rows)
-    )
+    own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (crc_rest("doc_id", 5) != 0))
+    share = min(1.0, 1.1 * rows / max(1, own.count()))  # so that each task hands on its share of the sample only
+    own = own.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 8), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
+    picked = own.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     return texts.join(F.broadcast(picked), "doc_id").select("text", "y")
 
