@@ -22,8 +22,8 @@ ASSIGNED = r"(?i)(password|passwd|pwd|secret|token|api_?key|access_?key|credenti
 ASSIGNED_INSIDE = r"(?i)^(password|passwd|pwd|secret|token|api_?key|access_?key)=."
 PATH_WORDS = r"(?i)(https?:|www\.|/[a-z]+/|\.html|\.com|file|path|src=|href=)"
 CODE_WORDS = r"(?i)(key|token|secret|pass|auth|cred|login|config|env)"
-#: Findings fitted on, at most; words in the dictionary; characters of context on each side.
-SAMPLE_FINDINGS, DICTIONARY_WORDS, CONTEXT = 20_000, 300, 40
+#: Findings fitted on, at most, and documents that they come from, about; words in the dictionary; characters of context on each side.
+SAMPLE_FINDINGS, SAMPLE_DOCS, DICTIONARY_WORDS, CONTEXT = 20_000, 400_000, 300, 40
 FEATURES = ["length", "digits", "uppers", "lowers", "marks", "changes", "distinct", "longest_letters", "hex", "covered", "assigned", "code_near", "path_near", "quoted", "equals", "all_digits", "prose_near"]
 
 
@@ -122,7 +122,12 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     session()
     words = dictionary(docs, text_column=text_column)
     found = with_features(find_candidates(docs, id_column, text_column), words)
-    taught = labelled_findings(found) if labelled is None else with_features(labelled, words)
+    if labelled is None:
+        every = max(1, docs.count() // SAMPLE_DOCS)
+        some = docs.where(F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(every)) == 0)
+        taught = labelled_findings(with_features(find_candidates(some, id_column, text_column), words))
+    else:
+        taught = with_features(labelled, words)
     trees = fit(taught)
     scored = found.withColumn("score", forest_score(trees))
     return scored.select("doc_id", "start", "end", "value", "score", (F.col("score") >= threshold).alias("is_secret"))
