@@ -31,7 +31,10 @@ class Cascade:
         return self._case([F.lit(r.reason) if isinstance(r.reason, str) else r.reason for r in self.rules], F.lit(self.default_reason))
 
     def decided(self) -> Column:
-        return F.struct(self.action().alias("action"), self.reason().alias("reason"))
+        """struct(action, reason) by one CASE, so that each condition is tested once."""
+        reasons = [F.lit(r.reason) if isinstance(r.reason, str) else r.reason for r in self.rules]
+        both = [F.struct(F.lit(r.action).alias("action"), why.alias("reason")) for r, why in zip(self.rules, reasons)]
+        return self._case(both, F.struct(F.lit(self.default).alias("action"), F.lit(self.default_reason).alias("reason")))
 
     def _case(self, values: Sequence[Column], default: Column) -> Column:
         out = None
