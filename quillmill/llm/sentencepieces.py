@@ -14,7 +14,9 @@ documents are a single chunk and need no matrix: the library encodes them.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,10 @@ from quillmill.llm.support import session, settle
 
 #: Where the public vocabularies are; a parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Code points in a chunk; texts up to that are encoded whole.
+#: Code points in a chunk; texts up to that are encoded in one task.
 CHUNK = 1 << 16
+#: Words whose paths a task remembers, and the code points of the longest of them.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 18, 64
 SPACE = "▁"
 _START = 0
 _NEVER = -np.inf
@@ -53,14 +57,26 @@ class Pieces:
                 self.byte[int(piece[3:5], 16)] = i
             elif not (self.processor.is_control(i) or self.processor.is_unknown(i) or self.processor.is_unused(i)):
                 self.id[piece], self.rank[piece] = i, -self.processor.get_score(i)
-        self.longest = max(map(len, self.id), default=1)
         self.fits: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
-
-    def merged(self, text: str) -> list[str]:
-        """Plain BPE of a short text: the best pair first, of equals the leftmost."""
+        #: Pieces that merging their own text gives, and the two that the last step merges.
+        self.halves = {p: tuple(h) for p in self.id if len(p) > 1 and len(h := self.merged(p, 2)) == 2 and h[0] + h[1] == p}
+        ranks = sorted(set(self.rank.values()))
+        self.gap = min((b - a for a, b in zip(ranks, ranks[1:])), default=1.0) / 2
+        made = lambda p: self.rank[p] if len(p) > 1 else -np.inf
+        #: Pieces ranked before a part of theirs: near them, ranks do not tell what is merged first.
+        odd = [p for p, h in self.halves.items() if max(map(made, h)) >= self.rank[p]]
+        self.odd = [p for p in odd if not any(o in p for o in odd if o != p)]
+        self.longest = max(map(len, self.id), default=1)
+        #: Beginnings of pieces, and whether they are whole pieces.
+        self.matches = {p[:n]: p[:n] in self.halves for p in self.id for n in range(2, len(p) + 1)}
+        inner = any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.id)
+        self.free = re.compile(r"(?s).+" if inner else f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
+        self.words = _Words(self)
+
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """Plain BPE of a short text down to `least` parts: the best pair first, of equals the leftmost."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > least:
             best = min(((self.rank.get(a + b, np.inf), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(np.inf, 0))
             if best[0] == np.inf:
                 break
@@ -68,30 +84,47 @@ class Pieces:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def is_whole(self, piece: str) -> bool:
-        """Whether a piece's own text is encoded as that piece."""
-        known = self.whole.get(piece)
-        if known is None:
-            known = self.whole[piece] = self.merged(piece) == [piece]
-        return known
-
     def compatible(self, a: str, b: str) -> bool:
+        """Whether merging a + b gives a and b, both whole."""
         if not a:
             return True
         known = self.fits.get((a, b))
         if known is None:
             if len(self.fits) > 2_000_000:
                 self.fits.clear()
-            known = self.fits[a, b] = self.merged(a + b) == [a, b]
+            both = a + b
+            known = self.fits[a, b] = self.merged(both) == [a, b] if any(p in both for p in self.odd) else not self._crossed(a, b)
         return known
 
+    def _crossed(self, a: str, b: str) -> bool:
+        """Whether a merge across the edge comes before a and b are made, or after.
+
+        The piece made last is taken apart first, of equals the right one; a
+        merge across the edge at that time comes earlier if its rank is lower,
+        or equal and further left.
+        """
+        rank, until = self.rank, np.inf
+        while rank.get(a + b, np.inf) >= until or a + b not in rank:
+            x = rank[a] if len(a) > 1 else -np.inf
+            y = rank[b] if len(b) > 1 else -np.inf
+            if x == y == -np.inf:
+                return False
+            if x > y:
+                until, a = x, self.halves[a][1]
+            else:
+                until, b = y + self.gap, self.halves[b][0]
+        return True
+
     def starting(self, text: str, at: int) -> Iterator[str]:
         """The pieces that match at a place, a lone character always among them."""
         yield text[at]
         for end in range(at + 2, min(len(text), at + self.longest) + 1):
             piece = text[at:end]
-            if piece in self.id and self.is_whole(piece):
+            whole = self.matches.get(piece)
+            if whole:
                 yield piece
+            elif whole is None:
+                return
 
     def entries(self, text: str, edge: int) -> list[tuple[str, int]]:
         """States in which a chunk may be entered at an edge: (piece, where it ends)."""
@@ -149,6 +182,42 @@ class Pieces:
             piece, at = before[at, piece], at - len(piece)
         return out[::-1]
 
+    def path(self, text: str) -> list[str]:
+        """The pieces of a text that is entered and left in one state.
+
+        From one state at its start, each place is reached in one state alone:
+        the last piece of what comes before, for that has one path.
+        """
+        n, longest, matches, fits, halves = len(text), self.longest, self.matches, self.fits, self.halves
+        last: list[str] = [""] * (n + 1)
+        last[1] = text[0]
+        for end in range(2, min(n, longest) + 1):
+            if text[:end] in halves:
+                last[end] = text[:end]
+        for at in range(1, n):
+            prior = last[at]
+            for end in range(at + 1, min(n, at + longest) + 1):
+                piece = text[at:end]
+                if end > at + 1:
+                    whole = matches.get(piece)
+                    if not whole:
+                        if whole is None:
+                            break
+                        continue
+                if not last[end]:
+                    fit = fits.get((prior, piece))
+                    if fit or fit is None and self.compatible(prior, piece):
+                        last[end] = piece
+        out = []
+        while n:
+            out.append(last[n])
+            n -= len(last[n])
+        return out[::-1]
+
+    def encode(self, text: str) -> list[int]:
+        """Vocabulary numbers of a text, from the paths of its words."""
+        return list(chain.from_iterable(map(self.words.__getitem__, self.free.findall(escaped(text)))))
+
     def ids(self, pieces: list[str]) -> list[int]:
         """Vocabulary numbers; a character without a piece gives its bytes' numbers."""
         out: list[int] = []
@@ -158,6 +227,21 @@ class Pieces:
         return out
 
 
+class _Words(dict):
+    """Words and their ids; begun anew when it is full."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> list[int]:
+        ids = self.pieces.ids(self.pieces.path(word))
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 def escaped(text: str) -> str:
     """The text as the model sees it: a leading space, and spaces visible. Empty stays empty."""
     return SPACE + text.replace(" ", SPACE) if text else ""
@@ -244,10 +328,10 @@ def _encoded(docs: DataFrame, model: str, chunk: int, id_column: str, text_colum
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor = _processor(held.value)
+        pieces = Pieces(held.value)
         for batch in batches:
-            ids = processor.encode(batch.column(1).to_pylist(), num_threads=1)
-            more = _digests(processor, ids) if decoded else []
+            ids = [pieces.encode(x) for x in batch.column(1).to_pylist()]
+            more = _digests(pieces.processor, ids) if decoded else []
             yield pa.record_batch([batch.column(0), pa.array(ids, type=pa.list_(pa.int32())), *more], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"][: 2 + len(more)])
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
