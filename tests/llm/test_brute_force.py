@@ -118,6 +118,25 @@ def test_near_text_large_group(spark, monkeypatch):
     assert {got[i] for i in range(61)} == {0}
 
 
+@pytest.mark.parametrize("large_key", [4096, 20])
+def test_near_text_large_group_at_the_limit(spark, monkeypatch, large_key):
+    """Many texts share keys, and their pairs lie on both sides of 0.8: none of the links may be lost."""
+    monkeypatch.setattr(near_text, "LARGE_KEY", large_key)
+    rng = np.random.default_rng(7)
+    texts, base = [], [f"w{i}" for i in range(200)]
+    for i in range(90):
+        own = list(base)
+        for at in rng.choice(200, int(rng.integers(1, 8)), replace=False):
+            own[at] = f"x{i}y{at}"
+        texts.append(" ".join(own))
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    wanted = plain_components(sets, links)
+    assert len(set(wanted.values())) > 5 and len(links) > 50
+    got = {r.doc_id: r.component_id for r in near_text.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == wanted
+
+
 def plain_winnow(text, k, w):
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     h = winnowing.gram_hashes(codes, min(k, len(codes))).tolist() if len(codes) else []
@@ -352,6 +371,13 @@ def test_window_fingerprints(monkeypatch):
         assert got[size] == wanted
 
 
+def test_words_have_the_library_ids(rows):
+    pieces = sentencepieces.Pieces(sentencepieces._model(sentencepieces.MODEL))
+    odd = ["", "  ", "a  b", "\n\n x\n", "▁▁a ▁b", "x" * 300, "a\tb\r\nc", "日本語のテキスト。", "<s> </s> <0x0A>", "\x00ab", "   lead", "trail   ", "😀😀 ok", "1234567890" * 20]
+    for text in [t for _, t in rows] + odd:
+        assert pieces.encode(text) == pieces.processor.encode(text)
+
+
 def test_sentencepiece_scan_is_the_whole_encoding(rows):
     pieces = sentencepieces.Pieces(sentencepieces._model(sentencepieces.MODEL))
     texts = [t[:900] for _, t in rows[:25]] + ["", " ", "a", "  x   y ", "日本語 🙂 text", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" * 3, " " * 90, "x\ny\tz" * 20]
