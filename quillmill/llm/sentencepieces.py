@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -328,7 +329,7 @@ def _encoded(docs: DataFrame, model: str, chunk: int, id_column: str, text_colum
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(held.value)
+        pieces = _pieces(held.value)
         for batch in batches:
             ids = [pieces.encode(x) for x in batch.column(1).to_pylist()]
             more = _digests(pieces.processor, ids) if decoded else []
@@ -345,6 +346,12 @@ def _encoded(docs: DataFrame, model: str, chunk: int, id_column: str, text_colum
     return short.union(giants.mapInArrow(described, schema) if decoded else giants)
 
 
+@lru_cache(1)
+def _pieces(model: bytes) -> Pieces:
+    """A worker's own, with the words it remembers from one task to the next."""
+    return Pieces(model)
+
+
 def _processor(model: bytes):
     import sentencepiece
 
@@ -365,7 +372,7 @@ def _encode_giants(rows: DataFrame, held, chunk: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        longest, n = Pieces(held.value).longest, 0
+        longest, n = _pieces(held.value).longest, 0
         for batch in batches:
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 key, n = f"{TaskContext.get().partitionId()}:{n}", n + 1
@@ -379,7 +386,7 @@ def _encode_giants(rows: DataFrame, held, chunk: int) -> DataFrame:
                     yield _batch(made, (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32()), _CHUNKS)
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(held.value)
+        pieces = _pieces(held.value)
         state = pa.list_(pa.struct([("piece", pa.string()), ("at", pa.int32())]))
         for batch in batches:
             for key, _, part, _, text, first, end in zip(*(c.to_pylist() for c in batch.columns)):
@@ -398,7 +405,7 @@ def _encode_giants(rows: DataFrame, held, chunk: int) -> DataFrame:
         return pd.DataFrame({"key": of_doc["key"].to_numpy(), "part": of_doc["part"].to_numpy(), "entry": [dict(piece=a, at=x) for (a, x), _ in on], "leave": [dict(piece=b, at=y) for _, (b, y) in on]})
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(held.value)
+        pieces = _pieces(held.value)
         for batch in batches:
             made = []
             for key, doc_id, part, text, first, end, entry, leave in zip(*(c.to_pylist() for c in batch.columns)):
