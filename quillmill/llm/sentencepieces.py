@@ -8,7 +8,9 @@ chunk's transfer matrix leads from each state in which it may be entered (the
 piece that crosses or ends at its left edge) to the states in which it is
 left; matrices are combined in order of the chunks, and then each chunk is
 traced back alone from the state in which it is really entered. Shorter
-documents are a single chunk and need no matrix: the library encodes them.
+documents are parted where no piece holds both neighbours: one state is left
+there, so words are scanned alone, and what a beginning of a word ends in is
+remembered for all words that share it.
 """
 
 from __future__ import annotations
@@ -23,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.support import session, settle
+from quillmill.llm.support import opened, session, settle, share
 
 #: Where the public vocabularies are; a parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points in a chunk; texts up to that are encoded in one task.
 CHUNK = 1 << 16
-#: Words whose paths a task remembers, and the code points of the longest of them.
-REMEMBERED, LONGEST_REMEMBERED = 1 << 18, 64
+#: Words whose ids a task remembers, beginnings of words whose last piece it does, pairs of pieces, and code points of the longest of the words.
+WORDS, BEGINNINGS, PAIRS, LONGEST_REMEMBERED = 1 << 18, 1 << 20, 1 << 19, 64
 SPACE = "▁"
 _START = 0
 _NEVER = -np.inf
@@ -57,7 +59,6 @@ class Pieces:
                 self.byte[int(piece[3:5], 16)] = i
             elif not (self.processor.is_control(i) or self.processor.is_unknown(i) or self.processor.is_unused(i)):
                 self.id[piece], self.rank[piece] = i, -self.processor.get_score(i)
-        self.fits: dict[tuple[str, str], bool] = {}
         #: Pieces that merging their own text gives, and the two that the last step merges.
         self.halves = {p: tuple(h) for p in self.id if len(p) > 1 and len(h := self.merged(p, 2)) == 2 and h[0] + h[1] == p}
         ranks = sorted(set(self.rank.values()))
@@ -69,6 +70,12 @@ class Pieces:
         self.longest = max(map(len, self.id), default=1)
         #: Beginnings of pieces, and whether they are whole pieces.
         self.matches = {p[:n]: p[:n] in self.halves for p in self.id for n in range(2, len(p) + 1)}
+        #: Ends of pieces; a whole piece has the pieces tried before it, and whether they are compatible.
+        self.ends: dict[str, dict[str, bool] | None] = {p[n:]: None for p in self.id for n in range(len(p))}
+        self.ends.update((p, {}) for p in self.id if len(p) == 1 or p in self.halves)
+        self.pairs = 0
+        #: The last piece of each beginning of the words met.
+        self.tails: dict[str, str] = {"": ""}
         inner = any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.id)
         self.free = re.compile(r"(?s).+" if inner else f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
         self.words = _Words(self)
@@ -88,12 +95,19 @@ class Pieces:
         """Whether merging a + b gives a and b, both whole."""
         if not a:
             return True
-        known = self.fits.get((a, b))
+        fits = self.ends.get(b)
+        if fits is None:
+            fits = self.ends[b] = {}  # a character without a piece
+        known = fits.get(a)
         if known is None:
-            if len(self.fits) > 2_000_000:
-                self.fits.clear()
+            self.pairs += 1
+            if self.pairs > PAIRS:
+                for own in self.ends.values():
+                    if own:
+                        own.clear()
+                self.pairs = 1
             both = a + b
-            known = self.fits[a, b] = self.merged(both) == [a, b] if any(p in both for p in self.odd) else not self._crossed(a, b)
+            known = fits[a] = self.merged(both) == [a, b] if any(p in both for p in self.odd) else not self._crossed(a, b)
         return known
 
     def _crossed(self, a: str, b: str) -> bool:
@@ -186,32 +200,44 @@ class Pieces:
         """The pieces of a text that is entered and left in one state.
 
         From one state at its start, each place is reached in one state alone:
-        the last piece of what comes before, for that has one path.
+        the last piece of what comes before, for that has one path. So the walk
+        goes on from the longest beginning that was met in another word.
         """
-        n, longest, matches, fits, halves = len(text), self.longest, self.matches, self.fits, self.halves
-        last: list[str] = [""] * (n + 1)
-        last[1] = text[0]
-        for end in range(2, min(n, longest) + 1):
-            if text[:end] in halves:
-                last[end] = text[:end]
-        for at in range(1, n):
-            prior = last[at]
-            for end in range(at + 1, min(n, at + longest) + 1):
-                piece = text[at:end]
-                if end > at + 1:
-                    whole = matches.get(piece)
-                    if not whole:
-                        if whole is None:
-                            break
-                        continue
-                if not last[end]:
-                    fit = fits.get((prior, piece))
+        n, ends, tails = len(text), self.ends, self.tails
+        last: list[str | None] = [None] * (n + 1)
+        last[0] = ""
+        kept = n <= LONGEST_REMEMBERED
+        met = 0
+        if kept:
+            if len(tails) > BEGINNINGS:
+                tails.clear()
+                tails[""] = ""
+            met = n
+            while text[:met] not in tails:
+                met -= 1
+        for end in range(met + 1, n + 1):
+            at = end - 1
+            piece = text[at]
+            fits = ends.get(piece)
+            while True:
+                if fits is not None or at == end - 1:
+                    prior = last[at]
+                    if prior is None:
+                        prior = last[at] = tails[text[:at]]
+                    fit = fits.get(prior) if fits is not None else None
                     if fit or fit is None and self.compatible(prior, piece):
-                        last[end] = piece
+                        break
+                at -= 1
+                piece = text[at:end]
+                fits = ends.get(piece)
+            last[end] = piece
+            if kept:
+                tails[text[:end]] = piece
         out = []
         while n:
-            out.append(last[n])
-            n -= len(last[n])
+            piece = last[n] or tails[text[:n]]
+            out.append(piece)
+            n -= len(piece)
         return out[::-1]
 
     def encode(self, text: str) -> list[int]:
@@ -233,10 +259,10 @@ class _Words(dict):
     def __init__(self, pieces: Pieces) -> None:
         self.pieces = pieces
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.pieces.ids(self.pieces.path(word))
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = tuple(self.pieces.ids(self.pieces.path(word)))
         if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= WORDS:
                 self.clear()
             self[word] = ids
         return ids
@@ -324,24 +350,25 @@ def encode_and_decode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK, i
 
 def _encoded(docs: DataFrame, model: str, chunk: int, id_column: str, text_column: str, decoded: bool) -> DataFrame:
     spark = session()
-    held = spark.sparkContext.broadcast(_model(model))
+    pieces = Pieces(_model(model))
+    held = share(spark, pieces)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(held.value)
+        pieces = opened(held)
         for batch in batches:
             ids = [pieces.encode(x) for x in batch.column(1).to_pylist()]
             more = _digests(pieces.processor, ids) if decoded else []
             yield pa.record_batch([batch.column(0), pa.array(ids, type=pa.list_(pa.int32())), *more], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"][: 2 + len(more)])
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor = _processor(held.value)
+        processor = opened(held).processor
         for batch in batches:
             yield pa.record_batch([*batch.columns, *_digests(processor, batch.column(1).to_pylist())], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"])
 
     schema = "doc_id long, ids array<int>" + ", decoded_chars long, decoded_sha256 string" * decoded
     short = rows.where(F.length("text") <= chunk).mapInArrow(whole, schema)
-    giants = _encode_giants(rows.where(F.length("text") > chunk), held, chunk)
+    giants = _encode_giants(rows.where(F.length("text") > chunk), held, pieces.longest, chunk)
     return short.union(giants.mapInArrow(described, schema) if decoded else giants)
 
 
@@ -361,11 +388,11 @@ _CHUNKS = "key string, doc_id long, part int, parts int, text string, first int,
 _STATE = "struct<piece:string,at:int>"
 
 
-def _encode_giants(rows: DataFrame, held, chunk: int) -> DataFrame:
+def _encode_giants(rows: DataFrame, held, longest: int, chunk: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        longest, n = Pieces(held.value).longest, 0
+        n = 0
         for batch in batches:
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 key, n = f"{TaskContext.get().partitionId()}:{n}", n + 1
@@ -379,7 +406,7 @@ def _encode_giants(rows: DataFrame, held, chunk: int) -> DataFrame:
                     yield _batch(made, (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32()), _CHUNKS)
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(held.value)
+        pieces = opened(held)
         state = pa.list_(pa.struct([("piece", pa.string()), ("at", pa.int32())]))
         for batch in batches:
             for key, _, part, _, text, first, end in zip(*(c.to_pylist() for c in batch.columns)):
@@ -398,7 +425,7 @@ def _encode_giants(rows: DataFrame, held, chunk: int) -> DataFrame:
         return pd.DataFrame({"key": of_doc["key"].to_numpy(), "part": of_doc["part"].to_numpy(), "entry": [dict(piece=a, at=x) for (a, x), _ in on], "leave": [dict(piece=b, at=y) for _, (b, y) in on]})
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(held.value)
+        pieces = opened(held)
         for batch in batches:
             made = []
             for key, doc_id, part, text, first, end, entry, leave in zip(*(c.to_pylist() for c in batch.columns)):
