@@ -1,6 +1,7 @@
 """Features of giant texts against plain counts over the whole text."""
 
 import math
+from collections import Counter
 
 import pytest
 
@@ -9,9 +10,12 @@ from quillmill.llm import quality
 
 def plain(raw):
     words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
+    n = max(1, len(words))
     return {
+        "distinct": len(set(words)) / n**0.8,
+        "most_common": max(Counter(words).values(), default=0) / n,
         "same_lines": 1 - len(set(lines)) / max(1, len(lines)),
-        "line_words": math.log1p(max(1, len(words)) / max(1, len(lines))),
+        "line_words": math.log1p(n / max(1, len(lines))),
     }
 
 
@@ -28,3 +32,13 @@ def test_all_lines_of_a_text_count(monkeypatch, block):
         got = named(raw)
         assert {k: got[k] for k in ("same_lines", "line_words")} == pytest.approx({k: plain(raw)[k] for k in ("same_lines", "line_words")})
     assert named(late)["same_lines"] > 0.9
+
+
+@pytest.mark.parametrize("block", [1 << 20, 1 << 12])
+def test_all_words_of_a_text_count(monkeypatch, block):
+    monkeypatch.setattr(quality, "_BLOCK", block)
+    tail = b" ".join(b"w%d" % i for i in range(300_000)) + b" spam" * 700_000
+    for raw in (tail, tail.replace(b" ", b"\n"), b"a a b", b" ", b"x" * 9000 + b" y" * 9000):
+        got = named(raw)
+        assert {k: got[k] for k in ("distinct", "most_common")} == pytest.approx({k: plain(raw)[k] for k in ("distinct", "most_common")})
+    assert named(tail)["most_common"] == 0.7
