@@ -151,8 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxicity
     """
     session()
     sample = settle(training_sample(docs, labels, "toxic", rows))
-    # Copies of a text would make its chance words significant: one text of each beginning counts words.
-    apart = sample.withColumn("head", F.substring("text", 1, 48)).dropDuplicates(["y", "head"]).select("text", "y")
+    # Copies of a text would make its chance words significant: of equal whole texts one counts words, whichever it is.
+    apart = sample.withColumn("copy", F.md5("text")).dropDuplicates(["y", "copy"]).select("text", "y")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,11 +1,12 @@
-"""Features of giant texts against plain counts over the whole text."""
+"""Features and labelled texts are those of whole texts, not of their beginnings."""
 
 import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from quillmill.llm import quality
+from quillmill.llm import quality, toxicity
 
 
 def plain(raw):
@@ -42,3 +43,14 @@ def test_all_words_of_a_text_count(monkeypatch, block):
         got = named(raw)
         assert {k: got[k] for k in ("distinct", "most_common")} == pytest.approx({k: plain(raw)[k] for k in ("distinct", "most_common")})
     assert named(tail)["most_common"] == 0.7
+
+
+def test_texts_of_one_beginning_all_count_toxic_words(spark):
+    header = "This document is licensed under the same terms as all others of its source. "
+    texts = [(i, header + f"page{i} words{i} " + ("vilest " if i % 2 else "kindly ") + " ".join(f"w{i}x{j}" for j in range(5))) for i in range(400)]
+    texts += [(1000 + i, header + "copied chanceword " + ("vilest" if i % 2 else "kindly")) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.scores.get(b"vilest ", 0) > 0 and b"chanceword " not in model.scores
+    assert model == toxicity.fit(docs.orderBy(F.desc("doc_id")), labels)
