@@ -1,12 +1,14 @@
 """Benchmark decontamination: SimHash of item-sized windows.
 
-Every benchmark item gives windows of a size class, and every document gives
-windows of those sizes at every word. An item's class is the largest one of
-which an untouched window is left in any text similar enough to the item. Fingerprints of the two sides within
-`radius` bits are found by blocks: cut into radius + 1 pieces, two such
-fingerprints agree on one piece at least. The item and the document's window
-of the item's own length are then compared exactly: weighted Jaccard
-similarity of their shingles, rare shingles of the benchmark weighing more.
+Every benchmark item gives windows of every size class that fits into it, and
+every document gives windows of those sizes at every word. Fingerprints of the
+two sides within `radius` bits are found by blocks: cut into radius + 1
+pieces, two such fingerprints agree on one piece at least. An item of which a
+text similar enough may keep no whole window (a short one, or one whose
+weight lies in few shingles) is found by each of its shingles. The item and
+the document's window of the item's own length, clipped where the text ends,
+are then compared exactly: weighted Jaccard similarity of their shingles, rare
+shingles of the benchmark weighing more.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -60,20 +64,42 @@ class Index:
     ids: list[int]
     shingles: list[Counter]
     lengths: list[int]
+    slack: list[int]  # shingles of an item that a similar text may lack at most: how far a kept row may be moved
     weights: dict[int, float]
     total: float
     classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list]]  # fingerprints, items, offsets, pieces
-    short: dict[int, list[tuple[int, int]]]  # shingles in an item shorter than every class: whole-item hash to items
+    short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # words in a shingle: sorted shingles, items, offsets
 
 
-def untouched(shingles: int, shingle: int, similarity: float) -> int:
-    """The shingles in a row that a text keeps at least of an item that it is this similar to.
+def keeps_window(weights: list[float], size: int, shingle: int, similarity: float) -> bool:
+    """Whether every text this similar to an item of these shingles keeps `size` of them in a row.
 
-    At a Jaccard similarity of s up to (1 - s) / (1 + s) of the item's shingles
-    are lost, and an edit inside the item loses shingle - 1 in a row at least.
+    At a similarity of s up to 1 - s of the item's weight is lost: all of it at
+    an end of the item where the text ends or begins there. An edit inside the
+    item loses shingle - 1 shingles in a row at least. The least weight whose
+    loss leaves no such row must be more than may be lost.
     """
-    lost = int(shingles * (1 - similarity) / (1 + similarity) + 1e-9)
-    return (shingles - lost) // (lost // max(1, shingle - 1) + 1)
+    n, gap = len(weights), max(1, shingle - 1)
+    if n < size:
+        return False
+    sums = [0.0, *accumulate(weights)]
+    best = [math.inf] * (n + 1)  # the least loss in the first i shingles if what is kept may go on at i
+    least = math.inf
+    for i in range(n + 1):
+        best[i] = min(sums[i], best[i])
+        if i:
+            best[i] = min(best[i], best[i - 1] + weights[i - 1])
+        kept = min(size - 1, n - i)
+        least = min(least, best[i] + sums[n] - sums[i + kept])
+        for j in range(i, i + kept + 1):
+            if j + gap <= n:
+                best[j + gap] = min(best[j + gap], best[i] + sums[j + gap] - sums[j])
+    return least > (1 - similarity) * sums[n] + 1e-9
+
+
+@lru_cache(maxsize=4096)
+def _even_keeps(n: int, size: int, shingle: int, similarity: float) -> bool:
+    return keeps_window([1.0] * n, size, shingle, similarity)
 
 
 def build_index(items: list[tuple[int, str]], shingle: int, similarity: float, classes: tuple[int, ...], radius: int) -> Index:
@@ -84,24 +110,36 @@ def build_index(items: list[tuple[int, str]], shingle: int, similarity: float, c
         seen.update(set(g.tolist()))
     weights = {h: math.log(1 + len(items) / c) + 0.1 for h, c in seen.items()}
     made: dict[int, list] = {c: [[], [], []] for c in classes}
-    short: dict[int, list[tuple[int, int]]] = {}
+    apart: dict[int, list] = {}
+    slack = [0] * len(items)
     for i, g in enumerate(each):
         if not bounds[i + 1] > bounds[i]:
             continue  # an item without words matches nothing
-        fit = tuple(c for c in classes if c <= untouched(len(g), shingle, similarity))
-        if not fit or int(bounds[i + 1] - bounds[i]) < shingle:
-            short.setdefault(int(bounds[i + 1] - bounds[i]), []).append((int(g[0]), i))
+        own = [weights[h] for h in g.tolist()]
+        slack[i] = int(np.searchsorted(np.cumsum(np.sort(own)), (1 - similarity) * sum(own) + 1e-9, "right"))
+        width = min(shingle, int(bounds[i + 1] - bounds[i]))
+        even = min(own) == max(own)
+        if not classes or width < shingle or not (_even_keeps(len(g), min(classes), shingle, similarity) if even else keeps_window(own, min(classes), shingle, similarity)):
+            apart.setdefault(width, []).append((g, np.full(len(g), i), np.arange(len(g))))
+        if width < shingle:
             continue
-        fps = np.concatenate([f for _, _, f in window_fingerprints(g, fit[-1:])])
-        made[fit[-1]][0].append(fps)
-        made[fit[-1]][1].append(np.full(len(fps), i))
-        made[fit[-1]][2].append(np.arange(len(fps)))
+        for c in classes:
+            if c <= len(g):
+                fps = np.concatenate([f for _, _, f in window_fingerprints(g, (c,))])
+                made[c][0].append(fps)
+                made[c][1].append(np.full(len(fps), i))
+                made[c][2].append(np.arange(len(fps)))
+    short = {}
+    for width, found in apart.items():
+        g, own, offsets = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(g, kind="stable")
+        short[width] = (g[order], own[order], offsets[order])
     index = {}
     for c, (fps, own, offsets) in made.items():
         if fps:
             f = np.concatenate(fps)
             index[c] = (f, np.concatenate(own), np.concatenate(offsets), [_piece(f, p, radius) for p in range(radius + 1)])
-    return Index([i for i, _ in items], [Counter(g.tolist()) for g in each], [len(g) for g in each], weights, float(len(items)), index, short)
+    return Index([i for i, _ in items], [Counter(g.tolist()) for g in each], [len(g) for g in each], slack, weights, float(len(items)), index, short)
 
 
 def _cut(piece: int, radius: int) -> tuple[int, int]:
@@ -148,6 +186,32 @@ def weighted_similarity(a: Counter, b: Counter, index: Index) -> float:
     return both / (each - both) if each else 0.0
 
 
+def best_window(grams: list[int], starts: int, item: int, index: Index) -> tuple[float, int]:
+    """(similarity, start) of the first best window of the item's length among the first `starts`, moved shingle by shingle."""
+    theirs, n = index.shingles[item], index.lengths[item]
+    rare = math.log(1 + index.total) + 0.1
+    weight = [index.weights.get(h, rare) for h in grams]
+    whole = sum(c * index.weights.get(h, rare) for h, c in theirs.items())
+    own = Counter(grams[:n])
+    size = sum(weight[:n])
+    both = sum(min(c, theirs[h]) * index.weights.get(h, rare) for h, c in own.items() if h in theirs)
+    most, best = 0.0, 0
+    for at in range(starts):
+        s = both / (size + whole - both)
+        if s > most + 1e-9:
+            most, best = s, at
+        h, w = grams[at], weight[at]
+        both -= w if own[h] <= theirs.get(h, 0) else 0.0
+        own[h] -= 1
+        size -= w
+        if at + n < len(grams):
+            h, w = grams[at + n], weight[at + n]
+            both += w if own[h] < theirs.get(h, 0) else 0.0
+            own[h] += 1
+            size += w
+    return weighted_similarity(Counter(grams[best : best + n]), theirs, index), best
+
+
 def matches(words: np.ndarray, bounds: np.ndarray, index: Index, shingle: int, similarity: float, radius: int) -> dict[tuple[int, int], tuple[float, int]]:
     """(text, item): (similarity, first word) of the best window, for items at least that similar.
 
@@ -156,30 +220,42 @@ def matches(words: np.ndarray, bounds: np.ndarray, index: Index, shingle: int, s
     """
     best: dict[tuple[int, int], tuple[float, int]] = {}
 
-    def compare(text: int, item: int, at: int, grams: np.ndarray, last: int) -> None:
-        own = Counter(grams[at : min(at + index.lengths[item], last)].tolist())
-        s = weighted_similarity(own, index.shingles[item], index)
-        if s >= similarity and s > best.get((text, item), (0.0, 0))[0]:
-            best[text, item] = (s, at - int(bounds[text]))
+    def compare(pairs: set[tuple[int, int, int]], grams: np.ndarray, width: int) -> None:
+        """Of every (text, item, first word) the windows that begin up to the item's slack away, each once."""
+        done = (-1, -1, -1)
+        for t, item, at in sorted(pairs):
+            start, last = int(bounds[t]), int(bounds[t + 1]) - width + 1
+            low, high = (min(max(x, start), last - 1) for x in (at - index.slack[item], at + index.slack[item]))
+            if done[:2] == (t, item):
+                low = max(low, done[2] + 1)
+            if low > high:
+                continue
+            done = (t, item, high)
+            own = grams[low : min(high + index.lengths[item], last)].tolist()
+            s, at = best_window(own, high - low + 1, item, index)
+            if s >= similarity - 1e-9 and s > best.get((t, item), (0.0, 0))[0] + 1e-9:
+                best[t, item] = (s, low + at - start)
 
     grams = shingle_hashes(words, shingle)
+    pairs: set[tuple[int, int, int]] = set()
     for size, block, fps in window_fingerprints(grams, tuple(index.classes)) if index.classes else ():
         theirs = index.classes[size]
         a, b = near_windows(fps, theirs, radius)
         a = a + block
         text = np.searchsorted(bounds, a, "right") - 1
         inside = a + size + shingle - 1 <= bounds[text + 1]
-        for t, item, at in sorted(set(zip(text[inside].tolist(), theirs[1][b[inside]].tolist(), (a - theirs[2][b])[inside].tolist()))):
-            compare(t, item, max(at, int(bounds[t])), grams, int(bounds[t + 1]) - shingle + 1)
-    for n, whole in index.short.items():
-        # too short for a window class: the whole item must occur, and its first shingle finds it
-        width = min(n, shingle)
-        own = shingle_hashes(words, width)
-        for h, item in whole:
-            for at in np.flatnonzero(own == np.uint64(h)).tolist():
-                t = int(np.searchsorted(bounds, at, "right")) - 1
-                if at + n <= bounds[t + 1]:
-                    compare(t, item, at, own, int(bounds[t + 1]) - width + 1)
+        pairs.update(zip(text[inside].tolist(), theirs[1][b[inside]].tolist(), (a - theirs[2][b])[inside].tolist()))
+    compare(pairs, grams, shingle)
+    for width, (theirs, items, offsets) in index.short.items():
+        own = grams if width == shingle else shingle_hashes(words, width)
+        rows = np.flatnonzero(np.isin(own, theirs))
+        low, high = np.searchsorted(theirs, own[rows], "left"), np.searchsorted(theirs, own[rows], "right")
+        times = high - low
+        a = np.repeat(rows, times)
+        b = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        text = np.searchsorted(bounds, a, "right") - 1
+        inside = a + width <= bounds[text + 1]
+        compare(set(zip(text[inside].tolist(), items[b[inside]].tolist(), (a - offsets[b])[inside].tolist())), own, width)
     return best
 
 
