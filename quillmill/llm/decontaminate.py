@@ -8,7 +8,7 @@ text similar enough may keep no whole window (a short one, or one whose
 weight lies in few shingles) is found by each of its shingles. The item and
 the document's window of the item's own length, clipped where the text ends,
 are then compared exactly: weighted Jaccard similarity of their shingles, rare
-shingles of the benchmark weighing more.
+shingles of the whole benchmark weighing more, whichever block an item is in.
 """
 
 from __future__ import annotations
@@ -65,8 +65,8 @@ class Index:
     shingles: list[Counter]
     lengths: list[int]
     slack: list[int]  # shingles of an item that a similar text may lack at most: how far a kept row may be moved
-    weights: dict[int, float]
-    total: float
+    weights: dict[int, float]  # of the whole benchmark: shingles of two items or more
+    total: float  # items of the whole benchmark
     classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list]]  # fingerprints, items, offsets, pieces
     short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # words in a shingle: sorted shingles, items, offsets
 
@@ -102,20 +102,59 @@ def _even_keeps(n: int, size: int, shingle: int, similarity: float) -> bool:
     return keeps_window([1.0] * n, size, shingle, similarity)
 
 
-def build_index(items: list[tuple[int, str]], shingle: int, similarity: float, classes: tuple[int, ...], radius: int) -> Index:
+@dataclass
+class Frequencies:
+    """Of the whole benchmark: its items, and the sorted shingles of two items or more with their number of items."""
+
+    items: int
+    shingles: np.ndarray
+    counts: np.ndarray
+
+    def weights(self) -> dict[int, float]:
+        return {h: math.log(1 + self.items / c) + 0.1 for h, c in zip(self.shingles.tolist(), self.counts.tolist())}
+
+
+def item_shingles(words: np.ndarray, shingle: int) -> np.ndarray:
+    return shingle_hashes(words, min(shingle, max(1, len(words))))
+
+
+def frequencies(items: list[tuple[int, str]], shingle: int) -> Frequencies:
+    """Those of a benchmark that is these items."""
+    words, bounds = hashed_words([x.encode() for _, x in items], _BREAKS)
+    seen = [np.unique(item_shingles(words[bounds[i] : bounds[i + 1]], shingle)) for i in range(len(items))]
+    found, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *seen]), return_counts=True)
+    return Frequencies(len(items), found[counts > 1], counts[counts > 1])
+
+
+def benchmark_frequencies(benchmark: DataFrame, shingle: int) -> Frequencies:
+    """Counted over all items in one aggregation; what one item only has needs no entry, since it weighs as what none has."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, bounds = hashed_words(raw_texts(batch.column(0)), _BREAKS)
+            seen = [np.unique(item_shingles(words[bounds[i] : bounds[i + 1]], shingle)) for i in range(batch.num_rows)]
+            yield pa.record_batch([pa.array(np.concatenate([np.empty(0, np.uint64), *seen]).view(np.int64))], names=["h"])
+
+    found = rows.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    hashes = found.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return Frequencies(rows.count(), hashes[order], found.column("n").to_numpy()[order])
+
+
+def build_index(items: list[tuple[int, str]], shingle: int, similarity: float, classes: tuple[int, ...], radius: int, whole: Frequencies | None = None) -> Index:
+    """The index of a block of the benchmark that has these frequencies; without them the block is the benchmark."""
+    whole = whole or frequencies(items, shingle)
     words, bounds = hashed_words([x.encode() for _, x in items], _BREAKS)
-    each = [shingle_hashes(words[bounds[i] : bounds[i + 1]], min(shingle, max(1, int(bounds[i + 1] - bounds[i])))) for i in range(len(items))]
-    seen: Counter = Counter()
-    for g in each:
-        seen.update(set(g.tolist()))
-    weights = {h: math.log(1 + len(items) / c) + 0.1 for h, c in seen.items()}
+    each = [item_shingles(words[bounds[i] : bounds[i + 1]], shingle) for i in range(len(items))]
+    weights, rare = whole.weights(), math.log(1 + whole.items) + 0.1
     made: dict[int, list] = {c: [[], [], []] for c in classes}
     apart: dict[int, list] = {}
     slack = [0] * len(items)
     for i, g in enumerate(each):
         if not bounds[i + 1] > bounds[i]:
             continue  # an item without words matches nothing
-        own = [weights[h] for h in g.tolist()]
+        own = [weights.get(h, rare) for h in g.tolist()]
         slack[i] = int(np.searchsorted(np.cumsum(np.sort(own)), (1 - similarity) * sum(own) + 1e-9, "right"))
         width = min(shingle, int(bounds[i + 1] - bounds[i]))
         even = min(own) == max(own)
@@ -139,7 +178,7 @@ def build_index(items: list[tuple[int, str]], shingle: int, similarity: float, c
         if fps:
             f = np.concatenate(fps)
             index[c] = (f, np.concatenate(own), np.concatenate(offsets), [_piece(f, p, radius) for p in range(radius + 1)])
-    return Index([i for i, _ in items], [Counter(g.tolist()) for g in each], [len(g) for g in each], slack, weights, float(len(items)), index, short)
+    return Index([i for i, _ in items], [Counter(g.tolist()) for g in each], [len(g) for g in each], slack, weights, float(whole.items), index, short)
 
 
 def _cut(piece: int, radius: int) -> tuple[int, int]:
@@ -299,9 +338,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
 
         return run
 
-    found = spark.createDataFrame([], schema)
+    found, whole = spark.createDataFrame([], schema), benchmark_frequencies(benchmark, shingle)
     for block in blocks_of(benchmark):
-        found = found.union(rows.mapInArrow(searched(share(spark, build_index(block, shingle, similarity, classes, radius))), schema))
+        found = found.union(rows.mapInArrow(searched(share(spark, build_index(block, shingle, similarity, classes, radius, whole))), schema))
     return found
 
 
@@ -324,7 +363,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGL
 
         return run
 
-    out = docs
+    out, whole = docs, benchmark_frequencies(benchmark, shingle)
     for block in blocks_of(benchmark):
-        out = out.mapInArrow(kept(share(spark, build_index(block, shingle, similarity, classes, radius))), docs.schema)
+        out = out.mapInArrow(kept(share(spark, build_index(block, shingle, similarity, classes, radius, whole))), docs.schema)
     return out

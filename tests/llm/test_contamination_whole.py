@@ -9,6 +9,8 @@ import pytest
 from quillmill.llm import decontaminate
 from quillmill.llm.support import hashed_words
 
+BLOCKS_OF = decontaminate.blocks_of
+
 
 def grams(words):
     k = min(5, len(words))
@@ -78,3 +80,17 @@ def test_items_with_common_passages_and_edited_texts():
     index = decontaminate.build_index([(i, " ".join(x)) for i, x in enumerate(items)], 5, 0.8, (8, 16, 32), 3)
     wanted = plain(texts, items)
     assert found_by(index, texts) == pytest.approx(wanted) and len(wanted) > 100
+
+
+def test_similarities_do_not_depend_on_the_blocks(spark, monkeypatch):
+    common = [f"common{i}" for i in range(12)]
+    items = [[f"i{n}a{i}" for i in range(12 + n)] + common for n in range(9)]
+    texts = [t for item in items for t in cut_texts(item, item[0])] + [items[0] + items[5]]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([*((i, " ".join(x)) for i, x in enumerate(items)), (None, " ".join(common)), (99, None)], "item_id long, text string")
+    wanted = plain(texts, items)
+    for size in (5_000, 4):
+        monkeypatch.setattr(decontaminate, "blocks_of", lambda b, n=size: BLOCKS_OF(b, n))
+        got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_contamination(docs, benchmark).collect()}
+        assert got == pytest.approx(wanted)
+        assert {r.doc_id for r in decontaminate.clean_documents(docs, benchmark).collect()} == set(range(len(texts))) - {t for t, _ in wanted}
