@@ -2,11 +2,13 @@
 
 Word counts cover all training documents. The most frequent words, and one
 class for all others, are the symbols that hidden states emit; within the
-class a word has its add-one share, whatever the state. Baum-Welch starts on a
-bounded sample and then runs over all training documents, a slice of them each
-round: executors return expected counts, which are summed by symbol, and the
-statistics of all slices together make the model. A text's likelihood is
-exact: blocks of tokens give scaled forward matrices, multiplied in order.
+class a word has its add-one share, whatever the state. Texts become symbols
+once, in a settled table. The first parameters come from the counts of
+neighbouring symbols in all training documents; then every round of Baum-Welch
+runs over all of them: executors return expected counts, summed by symbol,
+until the training likelihood gains less than a tolerance. Long texts are cut
+into rows, whose transfer matrices give the exact message that enters each row
+from either side, so that no transition and no token is left out.
 """
 
 from __future__ import annotations
@@ -22,176 +24,243 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.support import crc_rest, opened, raw_texts, session, settle, share
 
-#: Hidden states; symbols with an emission of their own; words whose counts every executor has; rounds over slices.
-STATES, SYMBOLS, LEXICON, SLICES = 6, 20_000, 120_000, 2
-#: Tokens in a training sequence and in a forward block; documents of the first sample, and their most code points; weight of the smoothing.
-TRAIN_BLOCK, SCORE_BLOCK, SAMPLE_DOCS, SAMPLE_CHARS, SMOOTH = 96, 128, 3_000, 20_000, 50.0
+#: Hidden states; symbols with an emission of their own; words whose counts every executor has; symbols whose neighbours give the first parameters.
+STATES, SYMBOLS, LEXICON, SEEDS = 6, 120_000, 120_000, 1_000
+#: Rounds of Baum-Welch at most; they end when the log-likelihood of the training texts gains less than this share of itself.
+ROUNDS, TOLERANCE = 8, 0.002
+#: Tokens in a row, rows held at once, weight of the smoothing.
+ROW, HELD_ROWS, SMOOTH = 512, 1024, 50.0
 #: The end of a text; no word is empty.
 END = b""
+#: Numbers of what is no symbol among the expected counts: starts, likelihood, and then each state left.
+_START, _LIKELIHOOD, _MOVES = -1, -2, -3
 
 
 def words(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
+@dataclass
+class Rows:
+    """Several texts' symbols in rows of at most ROW tokens, the longest rows first."""
+
+    symbols: np.ndarray  # [token, row]
+    lengths: np.ndarray  # [row], descending
+    text: np.ndarray  # [row]
+    part: np.ndarray  # [row], its place in its text
+    last: np.ndarray  # [row], whether its text ends there
+
+    @classmethod
+    def of(cls, flat: np.ndarray, bounds: np.ndarray) -> Rows:
+        """Of texts flat[bounds[i] : bounds[i + 1]], none empty."""
+        sizes = np.diff(bounds)
+        counts = -(-sizes // ROW)
+        text = np.repeat(np.arange(len(sizes)), counts)
+        part = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        first = bounds[:-1][text] + part * ROW
+        lengths = np.minimum(ROW, bounds[1:][text] - first)
+        order = np.argsort(-lengths, kind="stable")
+        first, lengths, text, part = first[order], lengths[order], text[order], part[order]
+        width = int(lengths[0]) if len(lengths) else 0
+        symbols = flat[np.minimum(first[None, :] + np.arange(width)[:, None], max(0, len(flat) - 1))]
+        return cls(symbols, lengths, text, part, part == counts[text] - 1)
+
+    def some(self, a: int, b: int) -> Rows:
+        width = int(self.lengths[a]) if a < len(self.lengths) else 0
+        return Rows(self.symbols[:width, a:b], self.lengths[a:b], self.text[a:b], self.part[a:b], self.last[a:b])
+
+    def live(self) -> list[int]:
+        """For each place, how many rows have a token there."""
+        return (len(self.lengths) - np.searchsorted(self.lengths[::-1], np.arange(len(self.symbols)), "right")).tolist()
+
+
 @dataclass
 class HiddenMarkov:
     start: np.ndarray  # [state]
     move: np.ndarray  # [from, to]
     emit: np.ndarray  # [symbol, state]
 
-    def log10_likelihood(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Exact log10 probabilities of sequences of symbols, none empty."""
+    def transfer(self, rows: Rows) -> np.ndarray:
+        """[row, state before, last state] of each row, up to a factor; before a text's first row any state is the same."""
         s = len(self.start)
-        counts = np.array([-(-len(x) // SCORE_BLOCK) for x in texts])
-        blocks = np.full((counts.sum(), SCORE_BLOCK), -1, dtype=np.int64)
-        first = np.concatenate([[0], np.cumsum(counts)])
-        flat = np.concatenate(texts)
-        lengths = np.array([len(x) for x in texts])
-        at = np.arange(len(flat)) - np.repeat(np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-        blocks[np.repeat(first[:-1], lengths) + at // SCORE_BLOCK, at % SCORE_BLOCK] = flat
-        product = np.repeat(np.eye(s)[None], len(blocks), axis=0)
-        scale = np.zeros(len(blocks))
-        head = np.zeros(len(blocks), dtype=bool)
-        head[first[:-1]] = True
-        first_move = np.where(head[:, None, None], np.repeat(self.start[None], s, axis=0)[None], self.move[None])
-        for t in range(SCORE_BLOCK):
-            rows = np.flatnonzero(blocks[:, t] >= 0)
-            if not len(rows):
-                break
-            moved = product[rows] @ (first_move[rows] if t == 0 else self.move)
-            moved *= self.emit[blocks[rows, t]][:, None, :]
-            if t % 8 == 7:
-                top = moved.max(axis=(1, 2))
-                moved /= top[:, None, None]
-                scale[rows] += np.log10(top)
-            product[rows] = moved
-        top = product.max(axis=(1, 2))
-        product /= top[:, None, None]
-        scale += np.log10(top)
-        state = np.zeros((len(texts), s))
-        state[:, 0] = 1.0  # any row: the first move is the same from each
-        out = np.zeros(len(texts))
-        for b in range(counts.max()):
-            own = np.flatnonzero(counts > b)
-            state[own] = np.einsum("ij,ijk->ik", state[own], product[first[own] + b])
-            total = state[own].sum(axis=1)
-            state[own] /= total[:, None]
-            out[own] += np.log10(total) + scale[first[own] + b]
+        head = rows.part == 0
+        product = np.empty((len(rows.lengths), s, s))
+        for t, n in enumerate(rows.live()):
+            if t == 0:
+                moved = np.where(head[:, None, None], self.start[None, None, :], self.move[None])
+            else:
+                moved = product[:n] @ self.move
+            moved = moved * self.emit[rows.symbols[t, :n]][:, None, :]
+            if t % 8 == 7 or t < 2:
+                moved /= moved.max(axis=(1, 2))[:, None, None]
+            product[:n] = moved
+        return product / product.max(axis=(1, 2), keepdims=True)
+
+    def messages(self, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
+        """(distribution of the state before each row given all before it, likelihood of all after it by its last state)."""
+        s = len(self.start)
+        before, after = np.full((len(rows.lengths), s), 1 / s), np.ones((len(rows.lengths), s))
+        many = np.flatnonzero(~(rows.last & (rows.part == 0)))
+        if not len(many):
+            return before, after
+        product = np.concatenate([self.transfer(Rows(rows.symbols[:, m], rows.lengths[m], rows.text[m], rows.part[m], rows.last[m])) for m in np.array_split(many, -(-len(many) // HELD_ROWS))])
+        place = np.empty(len(rows.lengths), dtype=np.int64)
+        place[many] = np.arange(len(many))
+        order = many[np.lexsort((rows.part[many], rows.text[many]))]
+        parts = [order[rows.part[order] == p] for p in range(int(rows.part[many].max()) + 1)]
+        for here, there in zip(parts, parts[1:]):
+            own = here[np.isin(rows.text[here], rows.text[there], assume_unique=True)]
+            v = np.einsum("ij,ijk->ik", before[own], product[place[own]])
+            before[there] = v / v.sum(axis=1, keepdims=True)
+        for here, there in zip(parts[-2::-1], parts[:0:-1]):
+            own = here[np.isin(rows.text[here], rows.text[there], assume_unique=True)]
+            v = np.einsum("ijk,ik->ij", product[place[there]], after[there])
+            after[own] = v / v.sum(axis=1, keepdims=True)
+        return before, after
+
+    def forward(self, rows: Rows, before: np.ndarray, kind: type = np.float64) -> tuple[np.ndarray, np.ndarray]:
+        """(state distributions [token, row, state] given what came, log10 probability of each row given what came before it)."""
+        move, emit = self.move.astype(kind), self.emit.astype(kind)
+        states = np.empty((*rows.symbols.shape, len(self.start)), dtype=kind)
+        logs = np.zeros(len(rows.lengths))
+        enter = np.where((rows.part == 0)[:, None], self.start, before @ self.move).astype(kind)
+        for t, n in enumerate(rows.live()):
+            a = (enter if t == 0 else states[t - 1, :n] @ move) * emit[rows.symbols[t, :n]]
+            total = a.sum(axis=1)
+            logs[:n] += np.log10(total)
+            np.divide(a, total[:, None], out=states[t, :n])
+        return states, logs
+
+    def log10_likelihood(self, flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Exact log10 probabilities of texts of symbols, none empty."""
+        rows, out = Rows.of(flat, bounds), np.zeros(len(bounds) - 1)
+        before, _ = self.messages(rows)
+        for at in range(0, len(rows.lengths), HELD_ROWS):
+            some = rows.some(at, at + HELD_ROWS)
+            _, logs = self.forward(some, before[at : at + HELD_ROWS])
+            np.add.at(out, some.text, logs)
         return out
 
-    def expected(self, symbols: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Baum-Welch counts (start, move, state of each token) of padded blocks [sequence, token]; padding is -1."""
-        n, length = symbols.shape
+    def expected(self, flat: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Baum-Welch counts (start [state], moves [from, to], emitted [symbol, state]) and the log10 likelihood of texts, none empty."""
         s = len(self.start)
-        live = symbols >= 0
-        emit = np.where(live[:, :, None], self.emit[np.maximum(symbols, 0)], 1.0).astype(np.float32)
-        move = self.move.astype(np.float32)
-        forward = np.empty((n, length, s), dtype=np.float32)
-        even = self.start @ np.linalg.matrix_power(self.move, 64)
-        a = np.where(head[:, None], self.start, even).astype(np.float32) * emit[:, 0]
-        a /= a.sum(axis=1, keepdims=True)
-        forward[:, 0] = a
-        for t in range(1, length):
-            b = (a @ move) * emit[:, t]
-            b /= b.sum(axis=1, keepdims=True)
-            a = np.where(live[:, t, None], b, a)
-            forward[:, t] = a
-        states = np.empty_like(forward)
-        moves = np.zeros((s, s))
-        beta = np.ones((n, s), dtype=np.float32)
-        states[:, length - 1] = forward[:, length - 1]
-        for t in range(length - 2, -1, -1):
-            on = live[:, t + 1, None]
-            w = emit[:, t + 1] * beta
-            after = w @ move.T
-            norm = (forward[:, t] * after).sum(axis=1, keepdims=True)
-            left = np.where(on, forward[:, t] / norm, 0)
-            moves += (left.T @ w) * self.move
-            beta = np.where(on, after / norm, beta)
-            states[:, t] = np.where(on, forward[:, t] * beta, states[:, t + 1])
-        return states[head, 0].sum(axis=0, dtype=float), moves, states
-
-
-def training_blocks(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Padded blocks of TRAIN_BLOCK tokens, and which of them begin a text."""
-    lengths = np.array([len(x) for x in texts])
-    counts = -(-lengths // TRAIN_BLOCK)
-    first = np.concatenate([[0], np.cumsum(counts)])
-    out = np.full((first[-1], TRAIN_BLOCK), -1, dtype=np.int64)
-    flat = np.concatenate(texts)
-    at = np.arange(len(flat)) - np.repeat(np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-    out[np.repeat(first[:-1], lengths) + at // TRAIN_BLOCK, at % TRAIN_BLOCK] = flat
-    head = np.zeros(first[-1], dtype=bool)
-    head[first[:-1]] = True
-    return out, head
-
-
-def symbol_counts(symbols: np.ndarray, states: np.ndarray, size: int) -> np.ndarray:
-    live = symbols >= 0
-    own = symbols[live]
-    return np.stack([np.bincount(own, states[..., j][live], size) for j in range(states.shape[2])], axis=1)
-
-
-def re_estimated(start: np.ndarray, moves: np.ndarray, emitted: np.ndarray, shares: np.ndarray) -> HiddenMarkov:
-    """A model from expected counts; emissions lean on the symbols' shares of all tokens."""
+        rows = Rows.of(flat, bounds)
+        before, after = self.messages(rows)
+        start, moves, emitted, likelihood = np.zeros(s), np.zeros((s, s)), np.zeros((size, s)), 0.0
+        for at in range(0, len(rows.lengths), HELD_ROWS):
+            some = rows.some(at, at + HELD_ROWS)
+            forward, logs = self.forward(some, before[at : at + HELD_ROWS], np.float32)
+            likelihood += float(logs.sum())
+            a, m = self._backward(some, forward, before[at : at + HELD_ROWS], after[at : at + HELD_ROWS])
+            start += a
+            moves += m
+            live = some.live()
+            symbols = np.concatenate([some.symbols[t, :n] for t, n in enumerate(live)])
+            who = np.concatenate([forward[t, :n] for t, n in enumerate(live)])
+            for j in range(s):
+                emitted[:, j] += np.bincount(symbols, who[:, j], size)
+        return start, moves, emitted, likelihood
+
+    def _backward(self, rows: Rows, states: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, moves) of rows; `states` become the states' probabilities given the whole text."""
+        move, emit = self.move.astype(np.float32), self.emit.astype(np.float32)
+        moves, live = np.zeros(self.move.shape), rows.live()
+        beta = np.empty((0, len(self.start)), dtype=np.float32)
+        for t in range(len(live) - 1, -1, -1):
+            own, n = states[t, : live[t]], len(beta)
+            ends = after[n : live[t]].astype(np.float32)
+            ends = ends / (own[n:] * ends).sum(axis=1, keepdims=True)
+            if n:
+                w = emit[rows.symbols[t + 1, :n]] * beta
+                onward = w @ move.T
+                norm = (own[:n] * onward).sum(axis=1, keepdims=True)
+                moves += (own[:n] / norm).T @ w
+                beta = np.concatenate([onward / norm, ends])
+            else:
+                beta = ends
+            if t < len(live) - 1:
+                states[t + 1, : live[t + 1]] = posterior
+            posterior = own * beta
+        if not len(live):
+            return np.zeros(len(self.start)), moves * self.move
+        states[0] = posterior
+        head = rows.part == 0
+        if not head.all():  # the move from the row before
+            w = emit[rows.symbols[0, ~head]] * beta[~head]
+            prior = before[~head].astype(np.float32)
+            moves += (prior / (prior * (w @ move.T)).sum(axis=1, keepdims=True)).T @ w
+        return posterior[head].sum(axis=0, dtype=float), moves * self.move
+
+
+@dataclass
+class Symbols:
+    """How often each symbol occurs in the training texts, and how many words it stands for (the last one for all unknown words as one too)."""
+
+    counts: np.ndarray
+    words: np.ndarray
+
+    def shares(self) -> np.ndarray:
+        """The add-one shares of the base model."""
+        return (self.counts + self.words) / (self.counts + self.words).sum()
+
+
+def re_estimated(start: np.ndarray, moves: np.ndarray, emitted: np.ndarray, symbols: Symbols) -> HiddenMarkov:
+    """A model from expected counts. Every word is seen once more, in each state by its mass: one state alone is the base model. Emissions lean on the base shares."""
     states = len(start)
-    emit = (emitted + SMOOTH * shares[:, None]) / (emitted.sum(axis=0) + SMOOTH)
+    mass = (emitted.sum(axis=0) + 1e-9) / (emitted.sum() + 1e-9 * states)
+    emit = emitted + symbols.words[:, None] * mass + SMOOTH * symbols.shares()[:, None]
     move = (moves + 0.1) / (moves.sum(axis=1, keepdims=True) + 0.1 * states)
-    return HiddenMarkov((start + 0.1) / (start.sum() + 0.1 * states), move, emit)
-
-
-def first_model(texts: list[np.ndarray], shares: np.ndarray, states: int, seed: int = 5) -> HiddenMarkov:
-    """From a bounded sample: a mixture over texts parts the words, then a few rounds of Baum-Welch."""
-    rng = np.random.default_rng(seed)
-    size = len(shares)
-    if not texts:
-        return re_estimated(np.ones(states), np.eye(states) * 20 + 1, np.zeros((size, states)), shares)
-    common = min(size, 3000)
-    table = np.stack([np.bincount(x[x < common], minlength=common) for x in texts]).astype(np.float32)
-    best = None
-    for _ in range(3):
-        part = rng.dirichlet(np.ones(states), len(texts)).astype(np.float32)
-        for _ in range(25):
-            p = table.T @ part + SMOOTH * shares[:common, None] + 1e-9
-            p /= p.sum(axis=0)
-            logs = table @ np.log(p) + np.log(part.mean(axis=0) + 1e-9)
-            top = logs.max(axis=1, keepdims=True)
-            part = np.exp(logs - top)
-            norm = part.sum(axis=1, keepdims=True)
-            part /= norm
-        fit = float((top + np.log(norm)).sum())
-        if best is None or fit > best[0]:
-            best = (fit, part)
-    emitted = np.zeros((size, states))
-    for x, p in zip(texts, best[1]):
-        np.add.at(emitted, x, p)
-    weight = best[1].sum(axis=0).astype(float)
-    model = re_estimated(weight, np.eye(states) * 200 + weight / weight.sum() * 4, emitted, shares)
-    blocks, head = training_blocks(texts)
-    keep = rng.permutation(len(blocks))[:4000]
-    blocks, head = blocks[keep], head[keep]
-    for _ in range(3):
-        start, moves, who = model.expected(blocks, head)
-        model = re_estimated(start, moves, symbol_counts(blocks, who, size), shares)
-    return model
+    return HiddenMarkov((start + 0.1) / (start.sum() + 0.1 * states), move, emit / emit.sum(axis=0))
+
+
+def first_model(neighbours: np.ndarray, symbols: Symbols, states: int) -> HiddenMarkov:
+    """From counts of neighbouring symbols among the first few: symbols that keep the same company begin in one state.
+
+    The company is that of a spectral embedding of the counts; its parts are
+    found from the symbols furthest apart, without chance.
+    """
+    k = len(neighbours)
+    both = neighbours + neighbours.T
+    degree = both.sum(axis=1)
+    emitted = np.repeat(symbols.counts[:, None] / states, states, axis=1)
+    if k <= states or not degree.any():
+        tilt = 1 + 0.1 * np.cos(np.arange(len(emitted))[:, None] * (1 + np.arange(states)))
+        return re_estimated(np.ones(states), np.eye(states) + 1, emitted * tilt, symbols)
+    scale = 1 / np.sqrt(degree + degree.mean())
+    _, vectors = np.linalg.eigh(both * scale[:, None] * scale[None, :])
+    point = vectors[:, -states:] * np.sqrt(scale)[:, None]
+    point /= np.linalg.norm(point, axis=1, keepdims=True) + 1e-12
+    centres = [point[degree.argmax()]]
+    weight = np.sqrt(degree)
+    for _ in range(states - 1):
+        far = np.min([((point - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        centres.append(point[(far * weight).argmax()])
+    centre = np.array(centres)
+    for _ in range(30):
+        part = ((point[:, None, :] - centre[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centre = np.array([np.average(point[part == j], axis=0, weights=weight[part == j] + 1e-9) if (part == j).any() else centre[j] for j in range(states)])
+    member = np.eye(states)[part]
+    emitted[:k] = symbols.counts[:k, None] * (0.8 * member + 0.2 / states)
+    moves = member.T @ neighbours @ member + 1.0
+    mass = member.T @ degree + 1.0
+    return re_estimated(mass / mass.sum(), moves, emitted, symbols)
 
 
 @dataclass
 class LanguageModel:
     markov: HiddenMarkov
-    lexicon: dict[bytes, tuple[int, int]]  # word: its symbol, its count
-    rest: int  # the symbol of all other words
-    rest_mass: float  # of the words in that class, add-one counts and one for unknown words
-    tokens: int  # N
-    types: int  # V
+    likelihoods: list[float]  # log10 of the training texts before each round
+
 
+@dataclass
+class Lexicon:
+    """The most frequent words by number, the most frequent first, and what a word's number says."""
 
-def symbols_of(raw: bytes, lexicon: dict, rest: int) -> np.ndarray:
-    none = (rest, 0)
-    out = [lexicon.get(w, none)[0] for w in words(raw)]
-    out.append(lexicon.get(END, none)[0])
-    return np.array(out, dtype=np.int64)
+    number: dict[bytes, int]
+    logs: np.ndarray  # log10(c + 1)
+    rest: int  # words from this number on, and all others, share a symbol
+    rest_mass: float  # of the words in that class, add-one counts and one for unknown words
+    total: int  # N + V + 1
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -213,7 +282,7 @@ def count_words(train: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> list:
-    """Rows (word, c) of the most frequent words, the most frequent first, at most `most`.
+    """Rows (word, c) of the most frequent words, the most frequent first, at most `most`; the end of a text is always among them.
 
     A histogram of logarithms finds the least count that so many words have at
     most, so that only those words leave the executors.
@@ -223,77 +292,120 @@ def most_frequent(counts: DataFrame, most: int) -> list:
     total, least = 0, None
     for r in sorted(bins, key=lambda r: -r.bin):
         total += r.n
-        if total > most:
+        if total >= most:
             break
         least = r.bin
-    if least is None:
-        return []
-    return sorted(counts.where(step >= least).collect(), key=lambda r: (-r.c, bytes(r.word)))
+    held = F.col("word") == F.lit(END) if least is None else (step >= least) | (F.col("word") == F.lit(END))
+    return sorted(counts.where(held).collect(), key=lambda r: (-r.c, bytes(r.word)))
 
 
 def _counts(held: Counter) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(held), type=pa.binary()), pa.array(list(held.values()), type=pa.int64())], names=["word", "c"])
 
 
-def fit(train: DataFrame, counts: DataFrame, states: int = STATES) -> LanguageModel:
-    """train (doc_id, text), and the words' counts, settled -> a language model.
+_CODED = "doc_id long, text_key long, held_out boolean, n_known long, n_far long, base double, inner double, symbols array<int>, far array<binary>, times array<int>"
+
 
-    What the driver holds is bounded: LEXICON words, SAMPLE_DOCS documents of
-    the first sample, and SYMBOLS rows of expected counts a round.
+def coded(marked: DataFrame, lexicon) -> DataFrame:
+    """(doc_id, text_key, held_out, text) -> the symbols of every text, what the lexicon says of its base score, and its words that the lexicon lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = opened(lexicon)
+        number, end = own.number, own.number.get(END, -1)
+        logs = np.append(own.logs, 0.0)  # the last one for numbers of -1
+        known = np.append(own.logs > 0, False)
+        total, rest_total = np.log10(own.total), np.log10(own.rest_mass) if own.rest_mass > 0 else 0.0
+        for batch in batches:
+            sums, symbols, far, times = [], [], [], []
+            for raw in raw_texts(batch.column(3)):
+                found = words(raw)
+                at = [number.get(w, -1) for w in found]
+                at.append(end)
+                n = np.array(at, dtype=np.int64)
+                missing = int((n < 0).sum()) - (end < 0)
+                lacking = Counter(w for w, i in zip(found, at) if i < 0) if missing else {}
+                symbol = np.where((n < 0) | (n >= own.rest), own.rest, n).astype(np.int32)
+                inside = n[symbol == own.rest]
+                sums.append((int(known[n].sum()), missing, logs[n].sum() - len(n) * total, logs[inside].sum() - len(inside) * rest_total))
+                symbols.append(symbol)
+                far.append(list(lacking))
+                times.append(list(lacking.values()))
+            made = list(zip(*sums)) if sums else [()] * 4
+            bounds = np.concatenate([[0], np.cumsum([len(x) for x in symbols])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(symbols) if symbols else np.empty(0, np.int32)))
+            more = [pa.array(c, type=t) for c, t in zip(made, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.record_batch([*batch.columns[:3], *more, lists, pa.array(far, type=pa.list_(pa.binary())), pa.array(times, type=pa.list_(pa.int32()))], names=[x.split()[0] for x in _CODED.split(", ")])
+
+    return marked.select("doc_id", "text_key", "held_out", "text").mapInArrow(run, _CODED)
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of a batch of texts, and where each begins (n + 1 offsets)."""
+    bounds = lists.offsets.to_numpy()
+    return lists.values.to_numpy()[bounds[0] : bounds[-1]], (bounds - bounds[0]).astype(np.int64)
+
+
+def neighbour_counts(symbols: DataFrame, seeds: int) -> np.ndarray:
+    """[symbol, the next] counts in all texts, of the first `seeds` symbols: at most seeds * seeds rows leave the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(seeds * seeds, dtype=np.int64)
+        for batch in batches:
+            flat, bounds = _flat(batch.column(0))
+            if len(flat) > 1:
+                pair = (flat[:-1] < seeds) & (flat[1:] < seeds)
+                pair[bounds[1:-1] - 1] = False
+                held += np.bincount(flat[:-1][pair].astype(np.int64) * seeds + flat[1:][pair], minlength=seeds * seeds)
+        seen = np.flatnonzero(held)
+        yield pa.record_batch([pa.array(seen.astype(np.int32)), pa.array(held[seen])], names=["pair", "n"])
+
+    found = symbols.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(seeds * seeds)
+    out[found.column("pair").to_numpy()] = found.column("n").to_numpy()
+    return out.reshape(seeds, seeds)
+
+
+def fit(texts: DataFrame, symbols: Symbols, states: int = STATES, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> LanguageModel:
+    """(symbols) of the training texts, settled, and how often they occur -> a language model.
+
+    What the driver holds is bounded: SEEDS squared counts of neighbours, and a
+    row of expected counts for each symbol. Without a text it is the shares alone.
     """
     spark = session()
-    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    n, v = total.n or 0, total.v
-    ranked = most_frequent(counts, LEXICON)
-    rest = min(SYMBOLS, len(ranked))
-    lexicon = {bytes(r.word): (min(i, rest), r.c) for i, r in enumerate(ranked)}
-    own = np.array([r.c + 1 for r in ranked[:rest]], dtype=float)
-    rest_mass = n + v + 1 - own.sum()
-    shares = np.append(own, rest_mass) / (n + v + 1)
-    size = rest + 1
-    table = share(spark, lexicon)
-    docs = train.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("h"), "text")
-    rows = train.count()
-    every = max(1, rows // SAMPLE_DOCS)
-    short = (F.pmod("h", F.lit(every)) == 0) & (F.length("text") <= SAMPLE_CHARS)
-    sample = docs.where(short).orderBy("h").limit(SAMPLE_DOCS).select("text").collect()  # for first guesses; all texts follow
-    model = first_model([symbols_of(r.text.encode(), lexicon, rest) for r in sample], shares, states)
-    start, moves, emitted = np.zeros(states), np.zeros((states, states)), np.zeros((size, states))
-    for piece in range(SLICES if rows else 0):
-        part = docs.where(F.pmod(F.shiftright("h", 20), F.lit(SLICES)) == piece).select("text")
-        summed = part.mapInArrow(_expectation(share(spark, model), table, rest, size, states), "symbol int, counts array<double>").groupBy("symbol")
-        got = summed.agg(F.array(*[F.sum(F.element_at("counts", j + 1)) for j in range(states)]).alias("counts")).collect()  # SYMBOLS + STATES + 2 rows at most
-        for r in got:
-            if r.symbol >= 0:
-                emitted[r.symbol] += r.counts
-            elif r.symbol == -1:
-                start += r.counts
-            else:
-                moves[-2 - r.symbol] += r.counts
-        model = re_estimated(start, moves, emitted, shares)
-    return LanguageModel(model, lexicon, rest, float(rest_mass), n, v)
+    size, tokens = len(symbols.counts), symbols.counts.sum()
+    model = first_model(neighbour_counts(texts, min(SEEDS, size - 1)) if tokens else np.zeros((0, 0)), symbols, states)
+    likelihoods: list[float] = []
+    for _ in range(rounds if tokens else 0):
+        summed = texts.mapInArrow(_expectation(share(spark, model), size, states), "symbol int, counts array<double>").groupBy("symbol")
+        got = summed.agg(*[F.sum(F.get("counts", F.lit(j))).alias(f"c{j}") for j in range(states)]).toArrow()
+        number = got.column("symbol").to_numpy()
+        table = np.stack([got.column(f"c{j}").to_numpy() for j in range(states)], axis=1)
+        emitted, own = np.zeros((size, states)), {int(s): table[i] for i, s in enumerate(number) if s < 0}
+        emitted[number[number >= 0]] = table[number >= 0]
+        likelihoods.append(float(own[_LIKELIHOOD].sum()))
+        model = re_estimated(own[_START], np.stack([own[_MOVES - j] for j in range(states)]), emitted, symbols)
+        if len(likelihoods) > 1 and likelihoods[-1] - likelihoods[-2] < tolerance * abs(likelihoods[-2]):
+            break
+    return LanguageModel(model, likelihoods)
 
 
-def _expectation(model, table, rest: int, size: int, states: int):
-    """Expected counts of a partition: a row for each symbol seen, for the start (-1) and for each state left (-2 and below)."""
+def _expectation(model, size: int, states: int):
+    """Expected counts of a partition: a row for each symbol seen, for the start, for each state left, and the likelihood (in the first place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, lexicon = opened(model), opened(table)
-        start, moves, emitted = np.zeros(states), np.zeros((states, states)), np.zeros((size, states))
+        own = opened(model)
+        start, moves, emitted, likelihood = np.zeros(states), np.zeros((states, states)), np.zeros((size, states)), np.zeros(states)
         for batch in batches:
-            texts = [symbols_of(raw, lexicon, rest) for raw in raw_texts(batch.column(0))]
-            if not texts:
+            if not batch.num_rows:
                 continue
-            blocks, head = training_blocks(texts)
-            for at in range(0, len(blocks), 1024):
-                some = blocks[at : at + 1024]
-                a, m, who = own.expected(some, head[at : at + 1024])
-                start += a
-                moves += m
-                emitted += symbol_counts(some, who, size)
+            a, m, e, log = own.expected(*_flat(batch.column(0)), size)
+            start += a
+            moves += m
+            emitted += e
+            likelihood[0] += log
         seen = np.flatnonzero(emitted.sum(axis=1) > 0)
-        rows = np.concatenate([emitted[seen], start[None], moves])
-        ids = np.concatenate([seen, [-1], -2 - np.arange(states)]).astype(np.int32)
+        rows = np.concatenate([emitted[seen], start[None], likelihood[None], moves])
+        ids = np.concatenate([seen, [_START, _LIKELIHOOD], _MOVES - np.arange(states)]).astype(np.int32)
         for at in range(0, len(ids), 5000):
             yield pa.record_batch([pa.array(ids[at : at + 5000]), pa.array(list(rows[at : at + 5000]), type=pa.list_(pa.float64()))], names=["symbol", "counts"])
 
@@ -304,60 +416,49 @@ def score_documents(docs: DataFrame, held: F.Column | None = None, states: int =
     """Learn from the documents that are not held out, then score all.
 
     One row per document: (doc_id, held_out, n_tokens, n_known, train_tokens,
-    base_score, score). `held` marks the rows held out; by default crc32 of the
-    id modulo 7 is 2. A null text is empty and has one token, its end; a row
-    with a null id is learned from; repeated rows are counted and scored each.
-    Without any training row, every word is unknown.
+    base_score, score). `held` marks the rows held out and may look at the
+    columns doc_id and text only; by default crc32 of the id modulo 7 is 2. A
+    null text is empty and has one token, its end; a row with a null id is
+    learned from; repeated rows are counted and scored each. Without any
+    training row, every word is unknown. An empty table gives an empty result.
+    Ties in frequency are ordered by the word. Other columns are dropped.
     """
+    return scored_with_model(docs, held, states, id_column, text_column)[0]
+
+
+def scored_with_model(docs: DataFrame, held: F.Column | None = None, states: int = STATES, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, LanguageModel]:
+    """score_documents() and the model that it learned."""
     spark = session()
     marked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    marked = marked.withColumn("held_out", F.coalesce(crc_rest("doc_id", 7) == 2 if held is None else held, F.lit(False)))
-    train = marked.where("not held_out")
-    counts = settle(count_words(train.select("text")))
-    lm = fit(train, counts, states)
-    known = share(spark, lm)
-    keyed = marked.withColumn("text_key", F.xxhash64("text"))
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = opened(known).lexicon
-        for batch in batches:
-            places, found, times = [], [], []
-            for i, raw in enumerate(raw_texts(batch.column(2))):
-                own = Counter(w for w in words(raw) if w not in lexicon)
-                places += [i] * len(own)
-                found += own
-                times += own.values()
-            at = pa.array(places, type=pa.int64())
-            yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(found, type=pa.binary()), pa.array(times, type=pa.int64())], names=["doc_id", "text_key", "word", "n"])
+    marked = marked.withColumn("held_out", F.coalesce(crc_rest("doc_id", 7) == 2 if held is None else held, F.lit(False))).withColumn("text_key", F.xxhash64("text"))
+    counts = settle(count_words(marked.where("not held_out").select("text")))
+    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    n, v = total.n or 0, total.v
+    ranked = most_frequent(counts, LEXICON) if n else []
+    rest = min(SYMBOLS, len(ranked))
+    own = np.array([r.c for r in ranked[:rest]], dtype=float)
+    symbols = Symbols(np.append(own, n - own.sum()), np.append(np.ones(rest), v - rest + 1))
+    rest_mass = float(symbols.counts[-1] + symbols.words[-1])
+    lexicon = Lexicon({bytes(r.word): i for i, r in enumerate(ranked)}, np.log10(np.array([r.c + 1.0 for r in ranked])), rest, rest_mass, n + v + 1)
+    texts = settle(coded(marked, share(spark, lexicon)))
+    lm = fit(texts.where("not held_out").select("symbols"), symbols, states)
+    known = share(spark, lm.markov)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = opened(known)
-        none = (own.rest, -1)
-        total = own.tokens + own.types + 1
+        markov = opened(known)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sums, texts = [], []
-            for raw in raw_texts(batch.column(3)):
-                found = [own.lexicon.get(w, none) for w in words(raw)]
-                found.append(own.lexicon.get(END, none if own.tokens == 0 else (own.rest, 0)))
-                symbol, count = (np.array(c, dtype=np.int64) for c in zip(*found))
-                far = count < 0  # not in the lexicon: their counts come by a join
-                logs = np.log10(np.maximum(count, 0) + 1.0)
-                inner = symbol == own.rest
-                sums.append((len(found), int((count > 0).sum()), int(far.sum()), logs.sum() - len(found) * np.log10(total), logs[inner].sum() - inner.sum() * np.log10(own.rest_mass)))
-                texts.append(symbol)
-            likely = np.concatenate([own.markov.log10_likelihood(texts[i : i + 64]) for i in range(0, len(texts), 64)])
-            made = [np.array(c) for c in zip(*sums)]
-            yield pa.record_batch([*batch.columns[:3], *(pa.array(c.astype(np.int64)) for c in made[:3]), pa.array(made[3]), pa.array(made[4] + likely)], names=["doc_id", "text_key", "held_out", "n_tokens", "n_known", "n_far", "base_score", "score"])
-
-    far = keyed.select("doc_id", "text_key", "text").mapInArrow(rare, "doc_id long, text_key long, word binary, n long").join(counts, "word")
+            flat, bounds = _flat(batch.column(7))
+            likely = markov.log10_likelihood(flat, bounds) if batch.num_rows else np.empty(0)
+            yield pa.record_batch([*batch.columns[:3], pa.array(np.diff(bounds)), *batch.columns[3:6], pa.array(batch.column(6).to_numpy() + likely)], names=["doc_id", "text_key", "held_out", "n_tokens", "n_known", "n_far", "base_score", "score"])
+
+    far = texts.where("n_far > 0").select("doc_id", "text_key", F.explode(F.arrays_zip("far", "times")).alias("f")).select("doc_id", "text_key", F.col("f.far").alias("word"), F.col("f.times").alias("n")).join(counts, "word")
     far = far.groupBy("doc_id", "text_key").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("more"), F.sum("n").alias("known_far"))
-    repeated = keyed.groupBy("doc_id", "text_key").agg(F.count("*").alias("times")).where("times > 1")  # their sums hold each copy's
+    repeated = texts.groupBy("doc_id", "text_key").agg(F.count("*").alias("times")).where("times > 1")  # their sums hold each copy's
     same = "a.doc_id <=> b.doc_id and a.text_key = b.text_key"
     times = F.coalesce(F.col("b.times"), F.lit(1))
     far = far.alias("a").join(repeated.alias("b"), F.expr(same), "left").select("a.doc_id", "a.text_key", (F.col("a.more") / times).alias("more"), (F.col("a.known_far") / times).cast("long").alias("known_far"))
-    near = keyed.select("doc_id", "text_key", "held_out", "text").mapInArrow(scored, "doc_id long, text_key long, held_out boolean, n_tokens long, n_known long, n_far long, base_score double, score double")
+    near = texts.select("doc_id", "text_key", "held_out", "n_known", "n_far", "base", "inner", "symbols").mapInArrow(scored, "doc_id long, text_key long, held_out boolean, n_tokens long, n_known long, n_far long, base_score double, score double")
     joined = near.alias("a").join(far.alias("b"), F.expr(same), "left")
     more, known_far = F.coalesce(F.col("b.more"), F.lit(0.0)), F.coalesce(F.col("b.known_far"), F.lit(0))
-    return joined.select("a.doc_id", "a.held_out", "a.n_tokens", (F.col("a.n_known") + known_far).cast("long").alias("n_known"), F.lit(lm.tokens).cast("long").alias("train_tokens"), (F.col("a.base_score") + more).alias("base_score"), (F.col("a.score") + more).alias("score"))
+    out = joined.select("a.doc_id", "a.held_out", "a.n_tokens", (F.col("a.n_known") + known_far).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("a.base_score") + more).alias("base_score"), (F.col("a.score") + more).alias("score"))
+    return out, lm

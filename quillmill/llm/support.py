@@ -11,26 +11,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch: some long texts must fit in a Python worker together.
-BATCH_ROWS = "1000"
+#: Rows and bytes in an Arrow batch: some long texts must fit in a Python worker together.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 #: The bytes of the class [\x20\x09-\x0D], which part words.
 SPACES = b" \t\n\v\f\r"
 
 
 def session() -> SparkSession:
-    """The running session, with Arrow batches small enough for long texts."""
+    """The running session, with Arrow batches bounded by rows and bytes; limits that someone has set stay.
+
+    The setting holds for the whole session, since plans run after they are made.
+    """
     spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    for name, value in BATCHES.items():
+        if not spark.conf._jconf.contains(name):
+            spark.conf.set(name, value)
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary one only where none is set."""
+    """The cluster's spark.checkpoint.dir; a temporary one only in local mode, where every executor sees it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             folder = known.get()
+        elif not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             folder = tempfile.mkdtemp(prefix="quillmill-")
             spark.sparkContext.setCheckpointDir(folder)
@@ -88,8 +95,9 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-#: A word's hash is a polynomial in its bytes; beyond this length the powers repeat.
+#: A word's hash is a polynomial in its bytes: powers for 4,096 places, and the next ones are these times a power of the last.
 _POWERS = _powers(0x9E3779B97F4A7C15, 4096)
+_FAR = pow(0x9E3779B97F4A7C15, 4096, 1 << 64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -119,6 +127,8 @@ def hashed_words(texts: list[bytes], separator: np.ndarray) -> tuple[np.ndarray,
     place = np.arange(starts[0], len(data)) - np.repeat(starts, spans)
     values = np.where(inside[starts[0] :], data[starts[0] :].astype(np.uint64) + np.uint64(1), np.uint64(0))
     values *= _POWERS[place & 4095]
+    if spans.max() > 4096:
+        values *= _powers(_FAR, int(spans.max()) // 4096 + 1)[place >> 12]
     words = mix(np.add.reduceat(values, starts - starts[0]))
     return words, np.searchsorted(starts, bounds)
 

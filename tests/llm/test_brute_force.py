@@ -283,15 +283,47 @@ def test_hidden_markov_scores(spark, docs, rows):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_hidden_markov_score_is_the_models(spark, docs, rows, monkeypatch):
+    """The score of the whole query, recomputed text by text from the model; most words are not in the lexicon."""
+    monkeypatch.setattr(hmm, "LEXICON", 300)
+    monkeypatch.setattr(hmm, "SYMBOLS", 200)
+    out, lm = hmm.scored_with_model(docs)
+    counts = Counter(w for i, t in rows if xcrc(i) % 7 != 2 for w in [*t.encode().lower().split(), b""])
+    ranked = sorted(counts, key=lambda w: (-counts[w], w))
+    number = {w: i for i, w in enumerate(ranked[: len(lm.markov.emit) - 1])}
+    total = sum(counts.values()) + len(counts) + 1
+    mass = total - sum(counts[w] + 1 for w in number)
+    for r in out.collect():
+        words = [*dict(rows)[r.doc_id].encode().lower().split(), b""]
+        own = [number.get(w, len(number)) for w in words]
+        a, log = lm.markov.start, 0.0
+        for i, s in enumerate(own):
+            a = (a if i == 0 else a @ lm.markov.move) * lm.markov.emit[s]
+            log += math.log10(a.sum())
+            a = a / a.sum()
+        log += sum(math.log10((counts[w] + 1) / mass) for w, s in zip(words, own) if s == len(number))
+        assert math.isclose(r.score, log, rel_tol=1e-9)
+
+
 def xcrc(i):
     import zlib
 
     return zlib.crc32(str(i).encode())
 
 
-def test_forward_is_exact_and_normalised(monkeypatch):
-    rng = np.random.default_rng(6)
-    model = hmm.HiddenMarkov(rng.dirichlet([1, 1, 1]), rng.dirichlet([1, 1, 1], 3), rng.dirichlet([1] * 4, 3).T)
+def hidden_markov(rng, states=3, symbols=4):
+    return hmm.HiddenMarkov(rng.dirichlet([1] * states), rng.dirichlet([1] * states, states), rng.dirichlet([1] * symbols, states).T)
+
+
+def packed(texts):
+    return np.concatenate(texts).astype(np.int32), np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
+
+
+@pytest.mark.parametrize("row,held", [(512, 1024), (5, 1024), (3, 2)])
+def test_forward_is_exact_and_normalised(monkeypatch, row, held):
+    monkeypatch.setattr(hmm, "ROW", row)
+    monkeypatch.setattr(hmm, "HELD_ROWS", held)
+    model = hidden_markov(rng := np.random.default_rng(6))
 
     def plain(x):
         a = model.start * model.emit[x[0]]
@@ -299,34 +331,63 @@ def test_forward_is_exact_and_normalised(monkeypatch):
             a = (a @ model.move) * model.emit[s]
         return math.log10(a.sum())
 
-    for block in (128, 5):
-        monkeypatch.setattr(hmm, "SCORE_BLOCK", block)
-        texts = [rng.integers(0, 4, n) for n in (1, 3, 5, 6, 17, 40)]
-        assert np.allclose(model.log10_likelihood(texts), [plain(x) for x in texts])
+    texts = [rng.integers(0, 4, n) for n in (1, 3, 5, 6, 17, 40, 1)]
+    assert np.allclose(model.log10_likelihood(*packed(texts)), [plain(x) for x in texts])
     every = [np.array([a, b, c]) for a in range(4) for b in range(4) for c in range(4)]
-    assert math.isclose((10 ** model.log10_likelihood(every)).sum(), 1.0)
-
-
-def test_baum_welch_counts_and_climb():
+    assert math.isclose((10 ** model.log10_likelihood(*packed(every))).sum(), 1.0)
+
+
+@pytest.mark.parametrize("row,held", [(512, 1024), (4, 1024), (3, 2)])
+def test_expected_counts_are_the_exact_posteriors(monkeypatch, row, held):
+    """Against the sum over every path of states; rows shorter than the texts lose no move between them."""
+    monkeypatch.setattr(hmm, "ROW", row)
+    monkeypatch.setattr(hmm, "HELD_ROWS", held)
+    from itertools import product
+
+    model = hidden_markov(rng := np.random.default_rng(5), 2, 4)
+    texts = [rng.integers(0, 4, n) for n in (1, 2, 4, 7, 9, 3, 8)]
+    start, moves, emitted, likelihood = np.zeros(2), np.zeros((2, 2)), np.zeros((4, 2)), 0.0
+    for x in texts:
+        paths = list(product(range(2), repeat=len(x)))
+        weight = np.array([model.start[p[0]] * math.prod(model.move[a, b] for a, b in zip(p, p[1:])) * math.prod(model.emit[s, q] for s, q in zip(x, p)) for p in paths])
+        likelihood += math.log10(weight.sum())
+        for p, w in zip(paths, weight / weight.sum()):
+            start[p[0]] += w
+            for a, b in zip(p, p[1:]):
+                moves[a, b] += w
+            for s, q in zip(x, p):
+                emitted[s, q] += w
+    got = model.expected(*packed(texts), 4)
+    for mine, wanted in zip(got, (start, moves, emitted, likelihood)):
+        assert np.allclose(mine, wanted, rtol=1e-4, atol=1e-5)
+    assert math.isclose(got[1].sum(), sum(len(x) - 1 for x in texts), rel_tol=1e-4)
+
+
+def test_baum_welch_climbs_over_all_texts(spark):
+    """fit() against rounds over all texts in one process, with a text of several rows."""
     rng = np.random.default_rng(8)
     truth = hmm.HiddenMarkov(np.array([0.5, 0.5]), np.array([[0.95, 0.05], [0.1, 0.9]]), np.array([[0.6, 0.1], [0.3, 0.1], [0.05, 0.4], [0.05, 0.4]]))
     texts = []
-    for _ in range(60):
+    for length in [*rng.integers(5, 90, 60), 3000]:
         s, out = rng.integers(0, 2), []
-        for _ in range(rng.integers(5, 90)):
-            out.append(rng.choice(4, p=truth.emit[:, s]))
+        for _ in range(length):
+            out.append(int(rng.choice(4, p=truth.emit[:, s])))
             s = rng.choice(2, p=truth.move[s])
-        texts.append(np.array(out))
-    blocks, head = hmm.training_blocks(texts)
-    model = hmm.HiddenMarkov(np.array([0.5, 0.5]), np.array([[0.8, 0.2], [0.2, 0.8]]), np.array([[0.4, 0.2], [0.3, 0.2], [0.2, 0.3], [0.1, 0.3]]))
-    start, moves, who = model.expected(blocks, head)
-    assert math.isclose(start.sum(), len(texts), rel_tol=1e-4) and math.isclose(moves.sum(), sum(len(x) for x in texts) - len(blocks), rel_tol=1e-4)
-    assert math.isclose(hmm.symbol_counts(blocks, who, 4).sum(), sum(map(len, texts)), rel_tol=1e-4)
-    before = model.log10_likelihood(texts).sum()
-    for _ in range(5):
-        start, moves, who = model.expected(blocks, head)
-        model = hmm.re_estimated(start, moves, hmm.symbol_counts(blocks, who, 4), np.full(4, 0.25))
-    assert model.log10_likelihood(texts).sum() > before
+        texts.append(out)
+    flat, bounds = packed(texts)
+    symbols = hmm.Symbols(np.bincount(flat, minlength=5).astype(float), np.ones(5))
+    lm = hmm.fit(spark.createDataFrame([(x,) for x in texts], "symbols array<int>").repartition(3), symbols, states=2, tolerance=0.0)
+    pairs = np.zeros((4, 4))
+    for x in texts:
+        for a, b in zip(x, x[1:]):
+            pairs[a, b] += 1
+    model = hmm.first_model(pairs, symbols, 2)
+    for seen in lm.likelihoods:
+        start, moves, emitted, likelihood = model.expected(flat, bounds, 5)
+        assert math.isclose(seen, likelihood, rel_tol=1e-6)
+        model = hmm.re_estimated(start, moves, emitted, symbols)
+    assert np.allclose(lm.markov.move, model.move, rtol=1e-3) and np.allclose(lm.markov.emit, model.emit, rtol=1e-3)
+    assert lm.likelihoods == sorted(lm.likelihoods) and model.log10_likelihood(flat, bounds).sum() > lm.likelihoods[0]
 
 
 def test_decontamination(spark, docs, rows):
