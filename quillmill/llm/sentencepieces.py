@@ -6,8 +6,10 @@ encoding is a path problem over the max-plus semiring, where a compatible step
 weighs 0 and any other minus infinity. A giant document is cut into chunks. A
 chunk's transfer matrix leads from each state in which it may be entered (the
 piece that crosses or ends at its left edge) to the states in which it is
-left; matrices are combined in order of the chunks, and then each chunk is
-traced back alone from the state in which it is really entered. Shorter
+left. The max-plus product is associative: products of neighbours go up a tree
+over the chunks, the states on the path come down it, and then each chunk is
+traced back and decoded alone from the states in which it is really entered
+and left. Shorter
 documents are parted where no piece holds both neighbours: one state is left
 there, so words are scanned alone, and what a beginning of a word ends in is
 remembered for all words that share it.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -31,6 +34,8 @@ from quillmill.llm.support import opened, session, settle, share
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points in a chunk; texts up to that are encoded in one task.
 CHUNK = 1 << 16
+#: Neighbours whose matrices are multiplied in one task, at every level of the tree.
+FAN = 16
 #: Words whose ids a task remembers, beginnings of words whose last piece it does, pairs of pieces, and code points of the longest of the words.
 WORDS, BEGINNINGS, PAIRS, LONGEST_REMEMBERED = 1 << 18, 1 << 20, 1 << 19, 64
 SPACE = "▁"
@@ -284,26 +289,35 @@ def combined(a: np.ndarray, exits: list, entries: list, b: np.ndarray) -> np.nda
     return out
 
 
-def scan(parts: list[tuple[list, list, np.ndarray]]) -> list[tuple[tuple[str, int], tuple[str, int]]]:
-    """The (entry, exit) state of every chunk on the one path: products from the left, then from the right.
+Node = tuple[list, list, np.ndarray]  # entry states, exit states, matrix
 
-    Suffix products say which states of an edge reach the end, prefix products
-    which are reached from the start; a state with both is on the path.
+
+def joined(a: Node, b: Node) -> Node:
+    """Two neighbours as one: associative, so that any tree over the chunks gives the same matrix."""
+    return a[0], b[1], combined(a[2], a[1], b[0], b[2])
+
+
+def scan(parts: list[Node], enter: int | None = None, leave: int | None = None) -> list[tuple[tuple[str, int], tuple[str, int]]]:
+    """The (entry, exit) state of every one of a run of neighbours, given the states in which the run is entered and left.
+
+    Without them the run is a whole text. Products from the left say which
+    states are reached from the entry; a state of an edge that is reached and
+    leads to the exit is on the path.
     """
     n = len(parts)
-    forward = [parts[0][2].max(axis=0)]
+    forward = [parts[0][2][0 if enter is None else enter]]
     for i in range(1, n):
         forward.append(combined(forward[-1][None], parts[i - 1][1], parts[i][0], parts[i][2])[0])
-    leave = [0] * n
-    ends = [j for j, (_, at) in enumerate(parts[-1][1]) if at == 0 and forward[-1][j] > _NEVER]
-    leave[-1] = ends[0]
-    enter = [0] * n
-    for i in range(n - 1, -1, -1):
-        reached = np.zeros(len(parts[i][0])) if i == 0 else np.array([max([forward[i - 1][j] for j, s in enumerate(parts[i - 1][1]) if s == e], default=_NEVER) for e in parts[i][0]])
-        enter[i] = int(np.argmax(reached + parts[i][2][:, leave[i]]))
-        if i:
-            leave[i - 1] = parts[i - 1][1].index(parts[i][0][enter[i]])
-    return [(p[0][a], p[1][b]) for p, a, b in zip(parts, enter, leave)]
+    if leave is None:
+        leave = next(j for j, (_, at) in enumerate(parts[-1][1]) if at == 0 and forward[-1][j] > _NEVER)
+    on = []
+    for i in range(n - 1, 0, -1):
+        reached = {s: forward[i - 1][j] for j, s in enumerate(parts[i - 1][1])}
+        first = int(np.argmax([reached.get(s, _NEVER) + parts[i][2][j, leave] for j, s in enumerate(parts[i][0])]))
+        on.append((parts[i][0][first], parts[i][1][leave]))
+        leave = parts[i - 1][1].index(parts[i][0][first])
+    on.append((parts[0][0][0 if enter is None else enter], parts[0][1][leave]))
+    return on[::-1]
 
 
 def chunk_bounds(length: int, chunk: int, longest: int) -> list[tuple[int, int]]:
@@ -332,7 +346,8 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK, id_column: s
     """One row per document: (doc_id, ids array<int>).
 
     Null and empty texts have no ids; ids of documents may be null or repeated;
-    other columns are dropped. Texts of over `chunk` code points are encoded by
+    repeated rows are encoded each; other columns are dropped; an empty table
+    gives an empty result. Texts of over `chunk` code points are encoded by
     chunks in as many tasks as they have chunks; results are those of the whole
     text.
     """
@@ -361,15 +376,9 @@ def _encoded(docs: DataFrame, model: str, chunk: int, id_column: str, text_colum
             more = _digests(pieces.processor, ids) if decoded else []
             yield pa.record_batch([batch.column(0), pa.array(ids, type=pa.list_(pa.int32())), *more], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"][: 2 + len(more)])
 
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor = opened(held).processor
-        for batch in batches:
-            yield pa.record_batch([*batch.columns, *_digests(processor, batch.column(1).to_pylist())], names=["doc_id", "ids", "decoded_chars", "decoded_sha256"])
-
     schema = "doc_id long, ids array<int>" + ", decoded_chars long, decoded_sha256 string" * decoded
     short = rows.where(F.length("text") <= chunk).mapInArrow(whole, schema)
-    giants = _encode_giants(rows.where(F.length("text") > chunk), held, pieces.longest, chunk)
-    return short.union(giants.mapInArrow(described, schema) if decoded else giants)
+    return short.union(_encode_giants(rows.where(F.length("text") > chunk), held, pieces.longest, chunk, decoded))
 
 
 def _processor(model: bytes):
@@ -388,7 +397,9 @@ _CHUNKS = "key string, doc_id long, part int, parts int, text string, first int,
 _STATE = "struct<piece:string,at:int>"
 
 
-def _encode_giants(rows: DataFrame, held, longest: int, chunk: int) -> DataFrame:
+def _encode_giants(rows: DataFrame, held, longest: int, chunk: int, decoded: bool) -> DataFrame:
+    """Chunks, their matrices, products up a tree of neighbours, states down it again, and each chunk's pieces from its own states."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -413,16 +424,21 @@ def _encode_giants(rows: DataFrame, held, longest: int, chunk: int) -> DataFrame
                 entries, exits, matrix = pieces.transfer(text, first, end, part == 0)
                 yield _batch([(key, part, _states(entries), _states(exits), matrix.ravel().tolist())], (pa.string(), pa.int32(), state, state, pa.list_(pa.float64())), "key part entries exits matrix")
 
-    def path(of_doc):
+    def product(run):
         import pandas as pd
 
-        of_doc = of_doc.sort_values("part")
-        parts = []
-        for entries, exits, matrix in zip(of_doc["entries"], of_doc["exits"], of_doc["matrix"]):
-            a, b = ([(s["piece"], int(s["at"])) for s in x] for x in (entries, exits))
-            parts.append((a, b, np.array(matrix, dtype=float).reshape(len(a), len(b))))
-        on = scan(parts)
-        return pd.DataFrame({"key": of_doc["key"].to_numpy(), "part": of_doc["part"].to_numpy(), "entry": [dict(piece=a, at=x) for (a, x), _ in on], "leave": [dict(piece=b, at=y) for _, (b, y) in on]})
+        run = run.sort_values("part")
+        whole = reduce(joined, _nodes(run))
+        return pd.DataFrame({"key": run["key"].to_numpy()[:1], "part": run["part"].to_numpy()[:1] // FAN, "entries": [_states(whole[0])], "exits": [_states(whole[1])], "matrix": [whole[2].ravel().tolist()]})
+
+    def placed(run):
+        import pandas as pd
+
+        run = run.sort_values("part")
+        parts = _nodes(run)
+        enter, leave = run["enter"].iloc[0], run["leave"].iloc[0]
+        on = scan(parts) if enter is None else scan(parts, parts[0][0].index((enter["piece"], int(enter["at"]))), parts[-1][1].index((leave["piece"], int(leave["at"]))))
+        return pd.DataFrame({"key": run["key"].to_numpy(), "part": run["part"].to_numpy(), "enter": _states([a for a, _ in on]), "leave": _states([b for _, b in on])})
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = opened(held)
@@ -430,17 +446,59 @@ def _encode_giants(rows: DataFrame, held, longest: int, chunk: int) -> DataFrame
             made = []
             for key, doc_id, part, text, first, end, entry, leave in zip(*(c.to_pylist() for c in batch.columns)):
                 found = pieces.traced(text, (entry["piece"], entry["at"]), (leave["piece"], leave["at"]), first, end)
-                made.append((key, doc_id, part, pieces.ids(found)))
-            yield _batch(made, (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32())), "key doc_id part ids")
+                ids = pieces.ids(found)
+                made.append((key, doc_id, part, ids, decoded_part(pieces.processor, ids, part == 0) if decoded else None))
+            yield _batch(made, (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.string()), "key doc_id part ids text")
 
     chunks = settle(rows.mapInArrow(cut, _CHUNKS))
+    most = chunks.agg(F.max("parts")).first()[0] or 0
     spark = session()
+    if not most:
+        return spark.createDataFrame([], "doc_id long, ids array<int>" + ", decoded_chars long, decoded_sha256 string" * decoded)
     chunks = chunks.repartition(max(4 * spark.sparkContext.defaultParallelism, chunks.count() // 64), "key", "part")  # slow rows: a few a task
-    passed = chunks.mapInArrow(matrices, f"key string, part int, entries array<{_STATE}>, exits array<{_STATE}>, matrix array<double>")
-    on_path = passed.groupBy("key").applyInPandas(path, f"key string, part int, entry {_STATE}, leave {_STATE}")
-    traced = chunks.join(on_path, ["key", "part"]).select("key", "doc_id", "part", "text", "first", "end", "entry", "leave").mapInArrow(trace, "key string, doc_id long, part int, ids array<int>")
-    whole = traced.groupBy("key", "doc_id").agg(F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("parts"))
-    return whole.select("doc_id", F.flatten("parts.ids").alias("ids"))
+    node = f"key string, part int, entries array<{_STATE}>, exits array<{_STATE}>, matrix array<double>"
+    levels = [settle(chunks.mapInArrow(matrices, node))]
+    above = lambda df: df.groupBy("key", F.floor(F.col("part") / FAN).cast("int").alias("up"))
+    while most > FAN:  # products of FAN neighbours, until a document has at most FAN nodes
+        levels.append(settle(above(levels[-1]).applyInPandas(product, node)))
+        most = -(-most // FAN)
+    on_path = None
+    for level in reversed(levels):
+        if on_path is None:
+            run = level.withColumns({"enter": F.lit(None).cast(_STATE), "leave": F.lit(None).cast(_STATE)})
+        else:
+            run = level.withColumn("up", F.floor(F.col("part") / FAN).cast("int")).join(on_path.withColumnRenamed("part", "up"), ["key", "up"]).drop("up")
+        on_path = settle(above(run).applyInPandas(placed, f"key string, part int, enter {_STATE}, leave {_STATE}"))
+    traced = chunks.join(on_path, ["key", "part"]).select("key", "doc_id", "part", "text", "first", "end", "enter", "leave").mapInArrow(trace, "key string, doc_id long, part int, ids array<int>, text string")
+    whole = traced.groupBy("key", "doc_id").agg(F.array_sort(F.collect_list(F.struct("part", "ids", "text"))).alias("parts"))  # the rows of one document, as its result needs them
+    text = F.array_join("parts.text", "")
+    return whole.select("doc_id", F.flatten("parts.ids").alias("ids"), *([F.length(text).cast("long").alias("decoded_chars"), F.sha2(text, 256).alias("decoded_sha256")] if decoded else []))
+
+
+def _nodes(run) -> list[Node]:
+    """Rows (entries, exits, matrix) as nodes."""
+    out = []
+    for entries, exits, matrix in zip(run["entries"], run["exits"], run["matrix"]):
+        a, b = ([(s["piece"], int(s["at"])) for s in x] for x in (entries, exits))
+        out.append((a, b, np.array(matrix, dtype=float).reshape(len(a), len(b))))
+    return out
+
+
+def decoded_part(processor, ids: list[int], head: bool) -> str:
+    """What the ids of a chunk decode to. A character's bytes lie in one chunk; only the text's first space is left out."""
+    out, held = [], bytearray()
+    for i in ids:
+        piece = processor.id_to_piece(i)
+        if processor.is_byte(i):
+            held.append(int(piece[3:5], 16))
+            continue
+        if held:
+            out.append(held.decode("utf-8", "replace"))
+            held = bytearray()
+        out.append(piece)
+    out.append(held.decode("utf-8", "replace"))
+    text = "".join(out)
+    return (text.removeprefix(SPACE) if head else text).replace(SPACE, " ")
 
 
 def _states(states: list[tuple[str, int]]) -> list[dict]:

@@ -447,13 +447,47 @@ def test_sentencepiece_scan_is_the_whole_encoding(rows):
             assert sentencepieces.encode_in_chunks(text, pieces, chunk) == pieces.processor.encode(text)
 
 
-def test_sentencepiece_in_spark(spark, docs, rows):
+def test_products_are_associative(rows):
+    """Any tree over the chunks gives one matrix, and the states it places lead to the whole encoding."""
     pieces = sentencepieces.Pieces(sentencepieces._model(sentencepieces.MODEL))
-    some = docs.where(F.length("text") < 4000)
-    encoded = sentencepieces.encode(some, chunk=700)
-    got = {r.doc_id: list(r.ids) for r in encoded.collect()}
-    assert got == {i: pieces.processor.encode(t) for i, t in rows if len(t) < 4000}
-    assert {r.doc_id: r.text for r in sentencepieces.decode(encoded).collect()} == {i: t for i, t in rows if len(t) < 4000}
+    rng = np.random.default_rng(12)
+    for text in ["aaaaaaaaa" * 40, "".join(t[:60] for _, t in rows[:15]), "  x   y " * 50 + "日本語 🙂"]:
+        text = sentencepieces.escaped(text)
+        bounds = sentencepieces.chunk_bounds(len(text), 32, pieces.longest)
+        nodes = [pieces.transfer(text, a, b, a == 0) for a, b in bounds]
+        left = sentencepieces.reduce(sentencepieces.joined, nodes)
+        for _ in range(5):
+            own = list(nodes)
+            while len(own) > 1:
+                i = int(rng.integers(0, len(own) - 1))
+                own[i : i + 2] = [sentencepieces.joined(own[i], own[i + 1])]
+            assert own[0][:2] == left[:2] and (own[0][2] == left[2]).all()
+        half = len(nodes) // 2
+        parts = [sentencepieces.reduce(sentencepieces.joined, x) for x in (nodes[:half], nodes[half:])]
+        (a, b), (c, d) = sentencepieces.scan(parts)
+        index = lambda states, s: states.index(s)
+        on = sentencepieces.scan(nodes[:half], index(nodes[0][0], a), index(nodes[half - 1][1], b)) + sentencepieces.scan(nodes[half:], index(nodes[half][0], c), index(nodes[-1][1], d))
+        assert on == sentencepieces.scan(nodes)
+        made = pieces.ids([p for (x, y), (enter, leave) in zip(bounds, on) for p in pieces.traced(text, enter, leave, x, y)])
+        assert made == pieces.processor.encode(text.removeprefix("▁").replace("▁", " "))
+
+
+@pytest.mark.parametrize("fan", [16, 2])
+def test_sentencepiece_in_spark(spark, docs, rows, monkeypatch, fan):
+    """Texts of one chunk and of many, over one level of products and over several; ids, and what they decode to."""
+    monkeypatch.setattr(sentencepieces, "FAN", fan)
+    pieces = sentencepieces.Pieces(sentencepieces._model(sentencepieces.MODEL))
+    more = spark.createDataFrame([(-1, "日本語 🙂 \x00 é" * 300), (-2, "x" * 3000), (-3, " lead  and trail " * 200), (-4, None), (-5, "")], "doc_id long, text string")
+    some = docs.where(F.length("text") < 4000).select("doc_id", "text").union(more)
+    texts = {r.doc_id: r.text or "" for r in some.collect()}
+    got = {r.doc_id: r for r in sentencepieces.encode_and_decode(some, chunk=300).collect()}
+    assert {i: list(r.ids) for i, r in got.items()} == {i: pieces.processor.encode(t) for i, t in texts.items()}
+    for i, r in got.items():
+        back = pieces.processor.decode(list(r.ids)) if r.ids else ""
+        assert (r.n_tokens, r.decoded_chars, r.decoded_sha256) == (len(r.ids), len(back), hashlib.sha256(back.encode()).hexdigest())
+    if fan == 16:
+        encoded = sentencepieces.encode(some, chunk=300)
+        assert {r.doc_id: r.text for r in sentencepieces.decode(encoded).collect()} == texts
 
 
 def test_hashed_words():
