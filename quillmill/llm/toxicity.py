@@ -2,11 +2,15 @@
 
 Every token has a score: the log-odds between toxic and other training texts
 of the longest of its units, the word or a prefix of it, for which they are
-significant under an informative Dirichlet prior; a small loss otherwise. All maximal scoring segments of a text are found in one pass. As in
-sequence statistics, a segment of score S in a text of n tokens has an
+significant under an informative Dirichlet prior; a small loss otherwise. A
+text counts each of its tokens once, since a word that it has may be in it any
+number of times. All maximal scoring segments of a text are found in one pass.
+As in sequence statistics, a segment of score S in a text of n tokens has an
 expectation of K n exp(-lambda S) among harmless texts; segments that are
-unlikely enough are toxic passages, and a text's evidence is calibrated to a
-probability on the training texts.
+unlikely enough are toxic passages. lambda follows from the scores' shares, K
+is the likeliest for the best segments of harmless texts, and a text's evidence
+is calibrated to a probability: both on texts that did not count for the
+scores, FOLDS parts taking turns.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ PRIOR, LEAST_Z, LEAST_ODDS, MOST_UNITS, LOSS = 200.0, 4.0, 1.5, 20_000, 0.04
 PREFIXES = (5, 6, 7, 8)
 #: A passage is significant if fewer than this many are expected in a harmless text.
 EXPECTED = 0.05
+#: Parts of the training texts: each is scored by what the others count, for the calibration.
+FOLDS = 3
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BREAKS = bytes(32 if x in _PUNCTUATION else x for x in range(256))
 
@@ -144,55 +150,89 @@ def decay_rate(scores: list[tuple[float, float]]) -> float:
     return high
 
 
+def from_counts(counts: list[tuple[bytes, int, int, int]], ones: int, zeros: int) -> ToxicityModel:
+    """A model that is not calibrated yet, from (unit, toxic texts, other texts, its tokens in others)."""
+    counts = [c for c in counts if c[1] + c[2] >= 4 and (c[1] >= 4 or c[2] >= 40)]
+    scores = log_odds([c[:3] for c in counts], ones, zeros)
+    quiet = {u: n for u, _, _, n in counts}
+    others = max(1, sum(n for u, n in quiet.items() if u.endswith(b" ")))
+    shares = sorted(((quiet[u] + 0.5) / others, s) for u, s in scores.items() if s > 0)
+    neutral = max(0.0, 1 - sum(p for p, _ in shares))
+    loss = max(LOSS, 1.5 * sum(p * s for p, s in shares))  # so that harmless texts drift down
+    shares.append((neutral, -loss))
+    heads = frozenset(u.removesuffix(b" ")[: PREFIXES[0]] for u in scores)
+    return ToxicityModel(scores, heads, loss, decay_rate(shares), 1.0, 1.0, 0.0)
+
+
+def likeliest_scale(best: list[tuple[float, int, float]]) -> float:
+    """K from harmless texts' (best segment's score, tokens, lambda): the likeliest for extreme values; a text without a segment has 0."""
+    weight = sum(max(n, 1) * math.exp(-min(700.0, decay * s)) for s, n, decay in best)
+    return max(0.5, sum(s > 0 for s, _, _ in best)) / weight if weight > 0 else 0.1
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Fitted on at most `rows` labelled documents that are not held out.
 
-    Without toxic examples, or without others, every score is 0.
+    Without toxic examples, or without others, every score is 0. The same rows
+    give the same model, however they are partitioned.
     """
-    session()
-    sample = settle(training_sample(docs, labels, "toxic", rows))
+    spark = session()
+    part = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(FOLDS)).cast("int").alias("part")
+    sample = settle(training_sample(docs, labels, "toxic", rows).select("text", "y", part))
     # Copies of a text would make its chance words significant: of equal whole texts one counts words, whichever it is.
-    apart = sample.withColumn("copy", F.md5("text")).dropDuplicates(["y", "copy"]).select("text", "y")
+    apart = sample.withColumn("copy", F.md5("text")).dropDuplicates(["y", "copy"]).select("text", "y", "part")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, times = (Counter(), Counter()), Counter()
-            for raw, y in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist()):
-                own = Counter(tokens(raw))
-                have: set[bytes] = set()
-                for w, n in own.items():
+            found: dict[tuple[int, int], Counter] = {}
+            for raw, y, p in zip(raw_texts(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:])):
+                have, times = found.setdefault((p, y), Counter()), found.setdefault((p, -1), Counter())
+                seen: set[bytes] = set()
+                for w, n in Counter(tokens(raw)).items():
                     of = units(w)
-                    have.update(of)
+                    seen.update(of)
                     if y == 0:
                         for u in of:
                             times[u] += n
-                found[y].update(have)
-            every = list(found[0].keys() | found[1].keys())
-            yield pa.record_batch([pa.array(every, type=pa.binary()), *(pa.array([c[u] for u in every], type=pa.int64()) for c in (found[1], found[0], times))], names=["unit", "a", "b", "n"])
-
-    sums = [F.sum(c).alias(c) for c in ("a", "b", "n")]
-    counted = apart.mapInArrow(count, "unit binary, a long, b long, n long").groupBy("unit").agg(*sums).where("a + b >= 4 and (a >= 4 or b >= 40)")
-    counts = [(bytes(r.unit), r.a, r.b, r.n) for r in counted.collect()]  # units of a bounded sample
-    sizes = {r.y: r.n for r in apart.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    scores = log_odds([c[:3] for c in counts], sizes.get(1, 0), sizes.get(0, 0))
-    quiet = {u: n for u, _, _, n in counts}
-    others = max(1, sum(n for u, n in quiet.items() if u.endswith(b" ")))
-    shares = [((quiet[u] + 0.5) / others, s) for u, s in scores.items() if s > 0]
-    neutral = max(0.0, 1 - sum(p for p, _ in shares))
-    mean = sum(p * s for p, s in shares)
-    loss = max(LOSS, 1.5 * mean)  # so that harmless texts drift down
-    shares.append((neutral, -loss))
-    heads = frozenset(u.removesuffix(b" ")[: PREFIXES[0]] for u in scores)
-    model = ToxicityModel(scores, heads, loss, decay_rate(shares), 0.1, 1.0, 0.0)
-    shape = F.struct("x", "y")
-
-    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = [model.evidence(raw)[0] for raw in raw_texts(batch.column(0))]
-            yield pa.record_batch([pa.array(x, type=pa.float64()), batch.column(1)], names=["x", "y"])
-
-    pairs = sample.mapInArrow(evidence, "x double, y int").select(shape.alias("p")).collect()  # at most `rows`
-    x, y = np.array([p.p.x for p in pairs]), np.array([p.p.y for p in pairs])
+                have.update(seen)
+            for p in sorted({p for p, _ in found}):
+                ones, zeros, times = (found.get((p, y), Counter()) for y in (1, 0, -1))
+                every = list(ones.keys() | zeros.keys())
+                yield pa.record_batch([pa.array(every, type=pa.binary()), pa.array([p] * len(every), type=pa.int32()), *(pa.array([c[u] for u in every], type=pa.int64()) for c in (ones, zeros, times))], names=["unit", "part", "a", "b", "n"])
+
+    sums = [F.sum(F.when(F.col("part") == p, F.col(c)).otherwise(0)).alias(f"{c}{p}") for p in range(FOLDS) for c in ("a", "b", "n")]
+    whole = lambda c: "+".join(f"{c}{p}" for p in range(FOLDS))
+    counted = apart.mapInArrow(count, "unit binary, part int, a long, b long, n long").groupBy("unit").agg(*sums).where(f"{whole('a')}+{whole('b')} >= 4 and ({whole('a')} >= 4 or {whole('b')} >= 40)")
+    counts = sorted((bytes(r.unit), np.array(r[1:]).reshape(FOLDS, 3)) for r in counted.collect())  # units of a bounded sample
+    sizes = {(r.part, r.y): r.n for r in apart.groupBy("part", "y").agg(F.count("*").alias("n")).collect()}
+
+    def of(parts: list[int]) -> ToxicityModel:
+        return from_counts([(u, *c[parts].sum(axis=0).tolist()) for u, c in counts], *(sum(sizes.get((p, y), 0) for p in parts) for y in (1, 0)))
+
+    model, others = of(list(range(FOLDS))), [of([q for q in range(FOLDS) if q != p]) for p in range(FOLDS)]
+
+    def asked(run, schema: str) -> list:
+        """Of every text of the sample, what the model of the other parts says."""
+        shared = share(spark, others)
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            models = opened(shared)
+            for batch in batches:
+                made = [(y, *run(models[p], raw)) for raw, y, p in zip(raw_texts(batch.column(0)), *(c.to_pylist() for c in batch.columns[1:]))]
+                yield pa.RecordBatch.from_pylist([dict(zip(("y", "x", "n", "decay"), m)) for m in made], schema=pa.schema([("y", pa.int32()), ("x", pa.float64()), ("n", pa.int64()), ("decay", pa.float64())]))
+
+        return sorted(tuple(r) for r in sample.mapInArrow(each, schema).collect())  # at most `rows`
+
+    def best(own: ToxicityModel, raw: bytes) -> tuple[float, int, float]:
+        found, n = own.passages(raw)
+        return max((s for _, _, s, _ in found), default=0.0), n, own.decay
+
+    schema = "y int, x double, n long, decay double"
+    scale = likeliest_scale([(x, n, decay) for y, x, n, decay in asked(best, schema) if y == 0])
+    for m in (model, *others):
+        m.scale = scale
+    pairs = asked(lambda own, raw: (*own.evidence(raw), own.decay), schema)
+    x, y = np.array([p[1] for p in pairs]), np.array([p[0] for p in pairs])
     if len(y) == 0 or y.min() == y.max():
         model.slope, model.offset = 0.0, -30.0
     else:
@@ -204,7 +244,8 @@ def score_documents(docs: DataFrame, model: ToxicityModel, id_column: str = "doc
     """One row per document: (doc_id, held_out, score, predicted, passages).
 
     Null and empty texts have no passages and the score of such texts; ids may
-    be null or repeated; other columns are dropped.
+    be null or repeated; repeated rows have equal scores; other columns are
+    dropped; an empty table gives an empty result.
     """
     spark = session()
     shared = share(spark, model)  # at most MOST_UNITS units
