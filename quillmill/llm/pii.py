@@ -3,8 +3,15 @@
 Base spans of e-mail addresses, IP addresses, card and phone numbers are those
 of fixed patterns and checks. High-recall generators propose more spans, which
 may overlap each other and the base's failures; gradient-boosted trees judge
-their format and context, and those above a calibrated threshold are added
-where they overlap no span already held, best first.
+their format and context, and those above their kind's calibrated threshold are
+added where they overlap no span already held, best first.
+
+The trees learn from where a span comes from, not from whether the base checks
+hold for it: base spans of the documents are rewritten in forms that the base
+patterns do not find (spaces, other separators, spelled-out signs, no plus) and
+put back into their places, and the same forms with wrong digits are put there
+and elsewhere. Documents are dealt to fitting, thresholds and a last part that
+gives each kind's precision and recall.
 """
 
 from __future__ import annotations
@@ -40,6 +47,8 @@ _MORE = {
 }
 #: Documents whose candidates are fitted on, at most; candidates of them, at most; precision that the threshold must reach.
 SAMPLE_DOCS, SAMPLE_SPANS, PRECISION = 6_000, 20_000, 0.98
+#: Judged candidates of a kind that its threshold needs at least; fewer add nothing.
+LEAST_JUDGED = 15
 CUES = {"email": ("mail", "contact", "write"), "ip": ("ip", "host", "server", "addr"), "card": ("card", "visa", "pay", "account"), "phone": ("tel", "phone", "call", "fax", "mobile")}
 
 
@@ -115,7 +124,8 @@ class PiiModel:
     trees: list
     slope: float
     offset: float
-    threshold: float
+    thresholds: dict[str, float]  # by kind
+    measured: dict[str, tuple[float, float, int]]  # by kind: precision, recall and number of true candidates of the last part
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         f = sum((tree_values(t, x) for t in self.trees), np.zeros(len(x)))
@@ -131,10 +141,8 @@ class PiiModel:
         taken: list[tuple[str, int, int]] = []
         ends: list[tuple[int, int]] = []
         for i in sorted(range(len(found)), key=lambda i: (-p[i], found[i][1], found[i][0])):
-            if p[i] < self.threshold:
-                break
             kind, a, b = found[i]
-            if _free(ends, a, b):
+            if p[i] >= self.thresholds[kind] and _free(ends, a, b):
                 taken.append(found[i])
         return base, sorted(base + taken, key=lambda c: (KINDS.index(c[0]), c[1]))
 
@@ -167,71 +175,138 @@ def named(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def fit_arrays(x: np.ndarray, y: np.ndarray) -> PiiModel:
-    """Trees on two thirds of the candidates, calibration and threshold on the rest."""
-    if len(y) < 60 or y.min() == y.max():
-        return PiiModel([], 1.0, 0.0, 2.0)  # nothing to learn from: no span is added
-    third = np.arange(len(y)) % 3 == 2
-    trees = boost(x[~third], y[~third].astype(float))
-    model = PiiModel(trees, 1.0, 0.0, 0.5)
-    f = sum(tree_values(t, x[third]) for t in trees)
-    model.slope, model.offset = calibrate(f, y[third])
-    p, own = model.probability(x[third]), y[third]
-    order = np.argsort(-p, kind="stable")
-    precision = np.cumsum(own[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(precision >= PRECISION)
-    model.threshold = max(0.5, float(p[order[good[-1]]])) if len(good) else 2.0
+def fit_arrays(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> PiiModel:
+    """Trees on the candidates of part 0, calibration and thresholds on those of part 1, precision and recall on those of part 2."""
+    never = dict.fromkeys(KINDS, 2.0)
+    if len(y) < 60 or any((part == p).sum() < 20 or len(set(y[part == p])) < 2 for p in (0, 1)):
+        return PiiModel([], 1.0, 0.0, never, {})  # nothing to learn from: no span is added
+    model = PiiModel(boost(x[part == 0], y[part == 0].astype(float)), 1.0, 0.0, never, {})
+    f = sum(tree_values(t, x[part == 1]) for t in model.trees)
+    model.slope, model.offset = calibrate(f, y[part == 1])
+    for k, kind in enumerate(KINDS):
+        own = (part == 1) & (x[:, 0] == k)
+        p, true = model.probability(x[own]), y[own]
+        order = np.argsort(-p, kind="stable")
+        precision = np.cumsum(true[order]) / np.arange(1, len(order) + 1)
+        ends = np.append(np.flatnonzero(np.diff(p[order])), len(order) - 1) if len(order) else np.empty(0, dtype=int)  # equal probabilities are taken together
+        good = ends[precision[ends] >= PRECISION] if len(ends) else ends
+        if true.sum() >= LEAST_JUDGED and len(good):
+            model.thresholds[kind] = max(0.5, float(p[order[good[-1]]]))
+        last = (part == 2) & (x[:, 0] == k)
+        taken, wanted = model.probability(x[last]) >= model.thresholds[kind], y[last] == 1
+        model.measured[kind] = (float((taken & wanted).sum() / max(1, taken.sum())), float((taken & wanted).sum() / max(1, wanted.sum())), int(wanted.sum()))
     return model
 
 
-def weak_labels(text: str, seed: str) -> list[tuple[list[float], int]]:
-    """Labelled candidates of a text: those that pass a kind's checks, and others.
-
-    Besides the text's own candidates, each of its true ones gives a false one
-    with changed digits, which no longer passes.
+def rewritten(kind: str, value: str, rng: np.random.Generator) -> str:
+    """A base span's value in a form that people write and that the base pattern does not take as it is."""
+    pick = int(rng.integers(0, 3))
+    if kind == "email":
+        name, _, host = value.partition("@")
+        at = (" [at] ", "(at)", " @ ")[pick]
+        return name + at + (host.replace(".", " [dot] ") if pick == 0 else host.replace(".", "(dot)") if pick == 1 else host)
+    if kind == "ip":
+        return value.replace(".", (" . ", ". ", " .")[pick])
+    digits = _digits(value)
+    if kind == "card":
+        by = (".", " ", ".")[pick]
+        return by.join(digits[i : i + 4] for i in range(0, 12, 4)) + by + digits[12:]
+    tail = digits[-7:]
+    area, country = digits[-10:-7] if len(digits) > 9 else digits[:-7], digits[:-10]
+    return (f"00{digits}", f"({area}) {tail[:3]}-{tail[3:]}", f"{country} {area} {tail[:3]} {tail[3:]}".strip())[pick]
+
+
+def wrong(kind: str, value: str, rng: np.random.Generator) -> str:
+    """The same form with something that the kind cannot have: digits that fail Luhn's check, a part over 255, too few digits, a host without a top-level name."""
+    if kind == "email":
+        return re.sub(r"[A-Za-z-]{2,}$", lambda _: str(int(rng.integers(10, 99))), value)
+    if kind == "card":
+        at = max(i for i, c in enumerate(value) if c.isdigit())
+        return value[:at] + str((int(value[at]) + int(rng.integers(1, 10))) % 10) + value[at + 1 :]
+    if kind == "ip":
+        return re.sub("[0-9]+", lambda _: str(int(rng.integers(256, 999))), value, count=1)
+    groups = list(re.finditer("[0-9]+", value))
+    return value[: groups[-1].start()].rstrip(" -") + "-" + str(int(rng.integers(1, 9))) if len(groups) > 1 else "00" + "".join(map(str, rng.integers(0, 10, 18)))
+
+
+def taught(text: str, seed: str) -> list[tuple[list[float], int]]:
+    """Candidates with known origin: (features, 1 for personal data).
+
+    Each base span of the text is rewritten in its place, and its form is put,
+    with wrong digits, into its place and into a place of the text drawn by
+    chance. Of the candidates that the generators find at such a place, those
+    of the kind that cover it are judged by its origin, and those of other
+    kinds are false. Candidates that no base span touches are false if their
+    digits cannot be the kind's; others are left out, for nothing tells.
     """
-    base = set(base_spans(text))
-    out = []
-    for kind, a, b in candidates(text):
-        out.append((span_features(text, kind, a, b), int((kind, a, b) in base)))
-        if (kind, a, b) in base and kind in ("card", "ip", "phone"):
-            s = text[a:b]
-            turn = int(hashlib.md5(f"{seed}:{a}".encode()).hexdigest()[:2], 16) % 8 + 1
-            at = max(i for i, c in enumerate(s) if c.isdigit())
-            changed = s[:at] + str((int(s[at]) + turn) % 10) if kind == "card" else s.replace(re.findall(r"[0-9]+", s)[0], str(256 + 60 * turn), 1) if kind == "ip" else s[: len(s) // 2].rstrip("() -.+") + s[at:]
-            near = text[max(0, a - 24) : a]
-            edited = near + changed + text[b : b + 8]
-            inner = (len(near), len(near) + len(changed))
-            if kind not in {k for k, x, y in base_spans(changed) if (x, y) == (0, len(changed))}:
-                out.append((span_features(edited, kind, *inner), 0))
+    rng = np.random.default_rng(int(hashlib.md5(seed.encode()).hexdigest()[:8], 16))
+    base = base_spans(text)
+    out: list[tuple[list[float], int]] = []
+
+    def put(a: int, b: int, kind: str, value: str, true: int) -> None:
+        low = max(0, a - 80)
+        near = text[low:a] + value + text[b : b + 80]
+        start, end = a - low, a - low + len(value)
+        for k, x, y in candidates(near):
+            shared = min(y, end) - max(x, start)
+            if shared > 0 and (k != kind or shared >= 0.8 * max(y - x, len(value))):
+                out.append((span_features(near, k, x, y), true if k == kind else 0))
+
+    for kind, a, b in base:
+        value = text[a:b]
+        form = rewritten(kind, value, rng)
+        put(a, b, kind, form, 1)
+        put(a, b, kind, value if rng.random() < 0.5 else form, 1)
+        put(a, b, kind, wrong(kind, form if rng.random() < 0.5 else value, rng), 0)
+        words = [m.start() for m in re.finditer(r"(?<=\s)\S", text[max(0, a - 2000) : b + 2000])]
+        if words:
+            at = max(0, a - 2000) + words[int(rng.integers(0, len(words)))]
+            put(at, at, kind, wrong(kind, form, rng) + " ", 0)
+    for kind, a, b in _clear(candidates(text), base):
+        if not _possible(kind, text[a:b]):
+            out.append((span_features(text, kind, a, b), 0))
     return out
 
 
+def _possible(kind: str, value: str) -> bool:
+    """Whether the digits, or the host's last name, may be the kind's at all."""
+    digits = _digits(value)
+    if kind == "email":
+        return bool(re.search(r"[A-Za-z]{2,}$", value))
+    if kind == "ip":
+        return all(int(x[-4:]) <= 255 for x in re.findall("[0-9]+", value))
+    return 13 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
+
+
 def fit(docs: DataFrame, rows: int = SAMPLE_DOCS, spans: int = SAMPLE_SPANS, id_column: str = "doc_id", text_column: str = "text") -> PiiModel:
     """Fitted on at most `spans` candidates of about `rows` documents, taken by hash.
 
-    No labels are given, so a candidate's label is whether the base checks hold for it.
+    No labels are given: see taught(). A document's candidates are all in one of
+    five parts of a hash of its text, of which three are for fitting, one for
+    the thresholds and one for precision and recall.
     """
     session()
     own = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     every = max(1, docs.count() // rows)
-    picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+    picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("doc_id", "text", F.greatest(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(5)) - 2, F.lit(0)).cast("int").alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(f"{i}:{j}", *f) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if text for j, f in enumerate(weak_labels(text, i or ""))]
-            made = list(zip(*found)) if found else [()] * 3
-            yield pa.record_batch([pa.array(made[0], type=pa.string()), pa.array(made[1], type=pa.list_(pa.float64())), pa.array(made[2], type=pa.int32())], names=["id", "x", "y"])
+            found = [(f"{i}:{j}", *f, p) for i, text, p in zip(*(c.to_pylist() for c in batch.columns)) if text for j, f in enumerate(taught(text, i or ""))]
+            made = list(zip(*found)) if found else [()] * 4
+            yield pa.record_batch([pa.array(c, type=t) for c, t in zip(made, (pa.string(), pa.list_(pa.float64()), pa.int32(), pa.int32()))], names=["id", "x", "y", "part"])
 
-    got = picked.mapInArrow(run, "id string, x array<double>, y int").orderBy(F.xxhash64("id"), "id").limit(spans).collect()
-    x = np.array([r.x for r in got], dtype=float)
-    return fit_arrays(x, np.array([r.y for r in got]))
+    got = picked.mapInArrow(run, "id string, x array<double>, y int, part int").orderBy(F.xxhash64("id"), "id", "x").limit(spans).collect()
+    return fit_arrays(np.array([r.x for r in got], dtype=float), np.array([r.y for r in got]), np.array([r.part for r in got]))
 
 
 def find_spans(docs: DataFrame, model: PiiModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: (doc_id, base, spans), arrays of (kind, start, end) by kind as listed and start.
 
-    A null text is empty and has none; ids may be null or repeated; other columns are dropped.
+    A null text is empty and has none; ids may be null or repeated; repeated
+    rows have equal spans; other columns are dropped; an empty table gives an
+    empty result. Of added spans that overlap, the likelier one stays, then the
+    one that begins first.
     """
     shared = share(session_of(docs), model)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -265,7 +340,7 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def redact(docs: DataFrame, model: PiiModel, text_column: str = "text") -> DataFrame:
-    """docs with every span replaced by its kind; null texts stay null."""
+    """docs with every span replaced by its kind; null texts stay null, other columns and rows as they are."""
     shared = share(session_of(docs), model)
     at = docs.columns.index(text_column)
 

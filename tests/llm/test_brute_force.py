@@ -202,14 +202,29 @@ def test_pii_base(rows):
 
 
 def test_pii_added_spans(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     model = pii.fit(docs)
+    assert all(precision > 0.95 and recall > 0.8 and n > 30 for precision, recall, n in model.measured.values())
     text = "Call +1 (578) 555-6437 4918187128635271 now"
     base, spans = model.spans(text)
     assert base == [] and ("card", 23, 39) in spans
     assert pii.redacted(text, spans).endswith("[CARD] now")
     base, spans = model.spans("mail ab.1@mail5.example.com, ip 10.2.3.4")
     assert base == spans == [("email", 5, 27), ("ip", 32, 40)]
+    base, spans = model.spans("see ab.1 [at] mail5 [dot] example [dot] com please")
+    assert base == [] and spans == [("email", 4, 43)]
+
+
+def test_pii_query(spark, docs, rows):
+    """Counts, hash and spans of every document; what is added touches nothing of the base."""
+    from quillmill.llm.queries import op5_pii
+
+    for r in op5_pii(spark, DATA).collect():
+        text = dict(rows)[r.doc_id]
+        wanted = pii.named(plain_pii(text))
+        kinds = Counter(k for k, _, _ in plain_pii(text))
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in pii.KINDS)
+        assert r.base_sha256 == hashlib.sha256(wanted.encode()).hexdigest() and set(filter(None, wanted.split(","))) <= set(r.spans.split(","))
 
 
 def test_warc_round_trip(spark):
