@@ -130,7 +130,7 @@ def _depth(tree: list[tuple], at: int) -> int:
 def measured(taught: DataFrame, trees: list[list[tuple]], threshold: float = 0.5) -> dict[str, float]:
     """Of labelled findings (x, y): their number, the share of false ones removed and of secrets kept."""
     kept = forest_score(trees) >= threshold
-    row = taught.agg(F.count("*").alias("findings"), F.count_if("y = 0").alias("false"), F.count_if((F.col("y") == 0) & ~kept).alias("removed"), F.count_if((F.col("y") == 1) & kept).alias("kept")).first()
+    row = taught.agg(F.count("*").alias("findings"), F.count_if(F.col("y") == 0).alias("false"), F.count_if((F.col("y") == 0) & ~kept).alias("removed"), F.count_if((F.col("y") == 1) & kept).alias("kept")).first()
     return {"findings": row.findings, "false_removed": row.removed / max(1, row["false"]), "secrets_kept": row.kept / max(1, row.findings - row["false"])}
 
 
