@@ -25,6 +25,8 @@ IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:quillmill:page:"
 #: Bytes of records in an archive, of its dictionary, and of the records it is built from.
 ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES = 16 << 20, 64 << 10, 1 << 20
+#: Bytes of a record that are one sample.
+PIECE_BYTES = 4 << 10
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None, date: str) -> bytes:
@@ -40,17 +42,21 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, si
 
 
 def build_dictionary(records: list[bytes]) -> bytes:
-    """A dictionary from records spread over the archive; b"" if they are too few."""
-    total = sum(map(len, records))
-    step = max(1, total // SAMPLE_BYTES)
-    sample = records[::step]
-    if len(sample) < 16:
-        return b""
-    size = min(DICTIONARY_BYTES, max(1024, sum(map(len, sample)) // 16))
-    try:
-        return zstandard.train_dictionary(size, sample, k=256, d=8).as_bytes()
-    except zstandard.ZstdError:  # records too small or too alike for the trainer
-        return b""
+    """A dictionary from pieces of the records, spread over the whole archive.
+
+    Where the pieces are too few or too alike to train on, they are the
+    dictionary themselves, as raw content; no records give b"".
+    """
+    every = max(1, -(-sum(map(len, records)) // SAMPLE_BYTES))
+    places = ((r, at) for r in records for at in range(0, len(r), PIECE_BYTES))
+    pieces = [r[at : at + PIECE_BYTES] for i, (r, at) in enumerate(places) if i % every == 0]
+    size = min(DICTIONARY_BYTES, max(1024, sum(map(len, pieces)) // 16))
+    if len(pieces) >= 16:
+        try:
+            return zstandard.train_dictionary(size, pieces, k=256, d=8).as_bytes()
+        except zstandard.ZstdError:  # pieces too small or too alike for the trainer
+            pass
+    return b"".join(pieces)[:DICTIONARY_BYTES]
 
 
 def archive(records: list[bytes], level: int = 3) -> bytes:
@@ -88,6 +94,7 @@ def write_archives(pages: DataFrame, min_revisit: int = 1000, date: str = "2020-
     page_id is a response and the others revisit it; repeated rows with that id
     are all responses, and so are rows without an id. Null html is an empty
     payload, a null url leaves its header out. Equality is by SHA-1 and length.
+    Other columns are dropped; an empty table gives no archive.
     """
     session()
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
