@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.components import connected_components
-from quillmill.llm.support import Groups, raw_texts, session, settle
+from quillmill.llm.support import Groups, in_block_pairs, raw_texts, session, settle
 
 #: Shingles whose bits are unpacked at once.
 BLOCK = 1 << 16
-#: A key with more fingerprints than this is linked by flipped bits, not by comparison.
+#: A key with more fingerprints than this is linked by flipped bits, or, for a radius other than 2, compared in pairs of blocks of about so many.
 HOT_KEY = 2048
 
 
@@ -106,7 +106,8 @@ def link_fingerprints(fps: DataFrame, radius: int = 2, segments: int = 7) -> Dat
     fingerprints is not compared: two fingerprints are within two bits if and
     only if they share a value at most one flipped bit from both, so such keys
     meet at those values instead, in rows that grow with the group and not with
-    its square (a radius over 2 compares them all, in blocks).
+    its square. For another radius such a key is parted into blocks of about
+    HOT_KEY, and every pair of blocks is compared under a key of its own.
     """
     ring = Ring(radius, segments)
     fp = F.col("fp")
@@ -117,8 +118,10 @@ def link_fingerprints(fps: DataFrame, radius: int = 2, segments: int = 7) -> Dat
         held = turned.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
         keys.append(F.struct(F.lit(i).cast("int").alias("start"), held.alias("bits")))
     keyed = fps.select(F.explode(F.array(*keys)).alias("key"), "fp", "rep").select("key.start", "key.bits", "fp", "rep")
-    sorted_keys = keyed.repartition("start", "bits").sortWithinPartitions("start", "bits")
-    hot_key = HOT_KEY if radius <= 2 else 1 << 62
+    hot_key = HOT_KEY
+    if radius != 2:
+        keyed, hot_key = in_block_pairs(keyed.withColumn("bits", F.xxhash64("start", "bits")), "bits", "rep", HOT_KEY), 1 << 62
+    sorted_keys = keyed.select("start", "bits", "fp", "rep").repartition("start", "bits").sortWithinPartitions("start", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, hot in complete_runs(batches, 2, hot_key):
@@ -142,7 +145,7 @@ def link_fingerprints(fps: DataFrame, radius: int = 2, segments: int = 7) -> Dat
     session()
     out = settle(sorted_keys.mapInArrow(run, "start long, a long, b long, hot boolean"))
     cold = out.where("not hot").select("a", "b")
-    if radius > 2:
+    if radius != 2:
         return cold
     return cold.union(_linked_by_flips(out.where("hot").select("start", F.col("a").alias("fp"), F.col("b").alias("rep"))))
 

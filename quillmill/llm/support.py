@@ -142,6 +142,31 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
+def in_blocks(rows: DataFrame, key: str, member: str, size: int, salt: int) -> DataFrame:
+    """rows whose key (long), if over `size` rows have it, is one of its blocks' instead, dealt by a hash of the member and the salt."""
+    parted, n = _with_blocks(rows, key, size)
+    block = F.pmod(F.xxhash64(member, F.lit(salt)), n)
+    return parted.withColumn(key, F.when(n.isNull(), F.col(key)).otherwise(F.xxhash64(key, block, F.lit(salt)))).drop("_blocks")
+
+
+def in_block_pairs(rows: DataFrame, key: str, member: str, size: int) -> DataFrame:
+    """rows whose key, if over `size` rows have it, is that of a pair of its blocks instead: a row for each pair that has its block.
+
+    Any two rows of a key still meet under one key, and no key has much more
+    than twice `size` rows.
+    """
+    parted, n = _with_blocks(rows, key, size)
+    own = F.pmod(F.xxhash64(member), n)
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda j: F.xxhash64(F.col(key), F.least(own, j), F.greatest(own, j)))
+    made = parted.withColumn("_key", F.explode(F.when(n.isNull(), F.array(F.col(key))).otherwise(pairs)))
+    return made.withColumn(key, F.col("_key")).drop("_key", "_blocks")
+
+
+def _with_blocks(rows: DataFrame, key: str, size: int) -> tuple[DataFrame, F.Column]:
+    large = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > size).select(key, F.ceil(F.col("_n") / size).cast("long").alias("_blocks"))
+    return rows.join(large, key, "left"), F.col("_blocks")
+
+
 class Groups:
     """Union-find over ids; the smallest id of a group is its root."""
 
