@@ -77,6 +77,42 @@ def test_every_near_pair_has_a_chain(radius, segments):
         assert any(len(simhash.within_chains(a, b, s, ring)) for s in keys)
 
 
+@pytest.mark.parametrize("radius,segments,hot", [(3, 7, 2048), (3, 7, 4), (2, 7, 4), (1, 3, 4)])
+def test_links_at_other_radii(spark, monkeypatch, radius, segments, hot):
+    monkeypatch.setattr(simhash, "HOT_KEY", hot)
+    rng = np.random.default_rng(radius)
+    fps = set()
+    for base in rng.integers(0, 2**63, 4).tolist():
+        fps |= {base ^ int(np.bitwise_or.reduce(1 << rng.integers(0, 63, n).astype(np.int64))) for n in rng.integers(1, 6, 30)}
+    fps = dict(enumerate(sorted(fps)))
+    wanted = plain_components(fps, [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= radius])
+    links = simhash.link_fingerprints(spark.createDataFrame([(f, r) for r, f in fps.items()], "fp long, rep long"), radius, segments)
+    roots = {r.node: r.root for r in components.connected_components(links).collect()}
+    assert {i: roots.get(i, i) for i in fps} == wanted
+
+
+def test_components_with_heavy_nodes(spark, monkeypatch):
+    monkeypatch.setattr(components, "LIGHT", 5)
+    monkeypatch.setattr(components, "MOST_HEAVY", 4)
+    links = [(7, i) for i in range(100, 160)] + [(500, i) for i in range(300, 340)] + [(500, 100), (900, 901)] + [(1000, i) for i in range(600, 640)]
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    wanted = plain_components({i for x in links for i in x}, links)
+    assert got == {i: r for i, r in wanted.items() if i != r}
+
+
+def test_block_pairs_meet(spark):
+    from quillmill.llm.support import in_block_pairs, in_blocks
+
+    rows = spark.createDataFrame([(1, i) for i in range(100)] + [(2, i) for i in range(5)], "key long, rep long")
+    met = defaultdict(set)
+    for r in in_block_pairs(rows, "key", "rep", 20).collect():
+        met[r.key].add(r.rep)
+    assert met[2] == set(range(5)) and max(map(len, met.values())) < 80
+    assert all(any({a, b} <= x for k, x in met.items() if k != 2) for a in range(100) for b in range(a))
+    dealt = in_blocks(rows, "key", "rep", 20, 1).groupBy("key").count().collect()
+    assert len(dealt) == 6 and sum(r["count"] for r in dealt) == 105
+
+
 def test_components_of_long_paths(spark):
     path = [(i, i + 1) for i in range(1, 60)] + [(100, 103), (103, 101), (7, 7), (None, 4)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
@@ -113,9 +149,9 @@ def test_near_text_large_group(spark, monkeypatch):
     rows = list(enumerate(texts))
     got = {r.doc_id: r.component_id for r in near_text.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {got[i] for i in range(61)} == {0} and all(got[i] == i for i in range(61, 66))
-    monkeypatch.setattr(near_text, "LARGE_KEY", 20)
+    monkeypatch.setattr(near_text, "LARGE_KEY", 20)  # several blocks of a key
     got = {r.doc_id: r.component_id for r in near_text.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert {got[i] for i in range(61)} == {0}
+    assert {got[i] for i in range(61)} == {0} and all(got[i] == i for i in range(61, 66))
 
 
 @pytest.mark.parametrize("large_key", [4096, 20])
@@ -256,6 +292,22 @@ def test_warc_frames(tmp_path, spark):
     assert warc.export_archives(df, str(tmp_path)) == 1 and (tmp_path / "part-00000.warc.zst").read_bytes() == data
 
 
+def test_every_archive_has_a_dictionary(spark):
+    """Small, few, large and equal records; without pages there is no archive."""
+    rng = np.random.default_rng(1)
+    large = [rng.integers(32, 120, 1_000_000).astype(np.uint8).tobytes() + b"<p>the same end</p>" * 2000 for _ in range(14)]
+    for records in ([b"WARC/1.1 one small record"], [b"x" * 50] * 3, [b"same"] * 4000, large, [bytes([i % 251]) * 300 for i in range(500)]):
+        data = warc.archive(records)
+        assert int.from_bytes(data[4:8], "little") > 0 and data[:4] == (0x184D2A5D).to_bytes(4, "little")
+    assert len(warc.build_dictionary(large)) > 1000
+    pages = spark.createDataFrame([(i, "u", x.decode("latin-1"), "extra") for i, x in enumerate(large[:3])] + [(9, "u", "", None)], "page_id long, url string, html string, digest string")
+    back = {r.page_id: (r.payload_bytes, r.record_type) for r in warc.round_trip(pages).collect()}
+    assert back == {i: (len(x.decode("latin-1").encode()), "response") for i, x in enumerate(large[:3])} | {9: (0, "response")}
+    assert warc.round_trip(pages.limit(0)).count() == 0
+    clash = pages.selectExpr("page_id", "url", "html", "'a' as size", "1 as kept", "2 as n", "3 as refers_to")
+    assert warc.round_trip(clash).count() == 4
+
+
 def test_maximal_segments():
     """Ruzzo and Tompa's segments, by their recursive definition."""
     rng = np.random.default_rng(4)
