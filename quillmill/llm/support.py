@@ -50,11 +50,12 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/settled/{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    atexit.register(remove, spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system; one that is gone, or whose session has ended, is let be."""
     try:
         jvm = spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
