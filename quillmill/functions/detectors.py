@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from quillmill.functions.text import has
 
-NON_HUMAN = r"\bGS3\b|Grain Size 3|\bOryza\b|haploid induction|\bZea mays\b|corn kernel|\bDaphnia\b|obligately asexual|asexual clone|\bdCREB2?\b"
+NON_HUMAN = r"\bGS3\b|Grain Size 3|\bOryza\b|oryza sativa|haploid induction|\bZea mays\b|corn kernel|\bDaphnia\b|obligately asexual|asexual clone|\bdCREB2\b|\bdCREB\b"
 NEGATED_CLAIM = r"no gain.of.function effect demonstrated|no GOF effect|not gain.of.function|did not demonstrate gain.of.function|(?:lacks?|show\s+no).{0,25}gain.of.function|no gain-of-function"
 LOSS = (
-    r"loss.of.function|\bhaploinsufficienc|\bhaploinsufficient\b|\bnonfunctional\b|non.functional\b|locked.closed|does not induce.{0,30}current|\bno current\b|loss of MCT1|MCT1 loss|"
-    r"diminish.{0,20}VRAC|emerin.{0,30}loss|loss.{0,30}emerin|unable to encode.{0,30}full.length protein|loss of functional.{0,20}channel|reducing chloride efflux|reduced serum.{0,30}level|"
+    r"loss.of.function|loss-of-function|\bhaploinsufficienc|\bhaploinsufficient\b|\bnonfunctional\b|non.functional\b|locked.closed conformation|locked-closed|"
+    r"does not induce.{0,30}current|\bno current\b|loss of MCT1|MCT1 loss|drastically diminish.{0,20}VRAC|diminish.{0,20}VRAC activity|emerin.{0,30}loss|loss.{0,30}emerin|"
+    r"unable to encode.{0,30}full.length protein|loss of functional.{0,20}channel|reducing chloride efflux|reduced serum.{0,30}level|"
     r"decreased transcription activity|significantly decreased.{0,30}activity"
 )
-CLAIM = r"constitutiv.{0,25}activ|gain.of.function|\bGOF\b|dominant.negative|neomorphic|toxic gain|hypermorph|activating mutation"
-MISMATCH = r"loricrin|\bLOR\b"
+CLAIM = r"constitutiv.{0,25}activ|constitutively active|gain.of.function|gain of function|\bGOF\b|dominant.negative|neomorphic|toxic gain|hypermorph|activating mutation"
+MISMATCH = r"loricrin|\bLOR\b|mutant loricrin"
 BAD_SECTION = r"purchased from|taqman|pcr primer|biosystems|foster city|fax:|tel\.|e-mail:|\w+@\w+\.(edu|com)|department of.{0,40}medic|hospital,.{0,40}st\.|harvard medical|institute for|university of"
 DECAY = r"\bNMD\b|nonsense.mediated"
 NEW_FUNCTION = r"neomorp"

@@ -2,7 +2,8 @@
 
 Calls go out once for each distinct input, a call that fails gives a status
 instead of stopping the run, and a task keeps a pause between its calls; the
-number of partitions bounds how many run at once.
+number of partitions bounds how many run at once, so that a pause of
+`at_once` / rate seconds keeps all tasks together under a rate.
 """
 
 from __future__ import annotations
@@ -69,7 +70,23 @@ def with_reply(df: DataFrame, column: str, call: Call, at_once: int | None = Non
             yield pd.DataFrame({"_text": batch["_text"], out: [a for a, _ in got], f"{out}_error": [e for _, e in got]})
 
     replies = asked.mapInPandas(ask, f"_text string, {out} string, {out}_error string")
-    return df.join(replies, df[column] == replies["_text"], "left").drop("_text")
+    # Keyed by digests: whole texts are not moved as keys.
+    key = lambda c: F.sha2(F.col(c), 256)
+    keyed = replies.select(key("_text").alias("_key"), out, f"{out}_error")
+    return df.withColumn("_key", key(column)).join(keyed, "_key", "left").drop("_key")
+
+
+def with_normal(df: DataFrame, column: str, call: Call | None, local: F.Column, out: str = "normal", **how) -> DataFrame:
+    """df with `out`, the service's form of each value, and the local rules' where there is no service or it fails or gives nothing.
+
+    Every distinct value is sent once; a null value has a null form. Nothing is
+    sent where the session's spark.quillmill.skipRemote is true.
+    """
+    if call is None or df.sparkSession.conf.get("spark.quillmill.skipRemote", "false") == "true":
+        return df.withColumn(out, F.when(F.col(column).isNotNull(), local))
+    sent = with_reply(df, column, call, out="_normal", **how)
+    good = F.when((F.col("_normal_error") == "") & (F.col("_normal") != ""), F.col("_normal"))
+    return sent.withColumn(out, F.when(F.col(column).isNotNull(), F.coalesce(good, local))).drop("_normal", "_normal_error")
 
 
 def healthy(probe: Callable[[], bool], tries: int = 3, wait: float = 1.0) -> bool:

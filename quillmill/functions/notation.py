@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,7 +14,14 @@ RESIDUES = {
     "a": "ala", "r": "arg", "n": "asn", "d": "asp", "c": "cys", "q": "gln", "e": "glu", "g": "gly", "h": "his", "i": "ile", "l": "leu",
     "k": "lys", "m": "met", "f": "phe", "p": "pro", "s": "ser", "t": "thr", "w": "trp", "y": "tyr", "v": "val", "x": "xaa",
 }
-_THREE = "|".join(sorted(RESIDUES.values()))
+
+
+def alternation(words) -> str:
+    """A pattern of words, the longest first, so that no word hides a longer one that begins with it; equally long ones by letters."""
+    return "|".join(re.escape(w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
+
+
+_THREE = alternation(RESIDUES.values())
 
 
 def coding_normal(c: ColumnLike) -> Column:
@@ -68,7 +77,8 @@ def positions(c: ColumnLike) -> Column:
 # word's edge is spelled out, so that every engine reads it alike.
 _EDGE, _END = "(?:^|[^a-z0-9_])", "(?:$|[^a-z0-9_])"
 RELEVANT = "|".join([
-    f"{_EDGE}(?:fs|ter|stop|del|dup|ins){_END}", "frameshift", "nonsense", f"{_EDGE}trunc", "[*x][0-9]", f"x{_END}", "delins", "ext[*]", f"{_EDGE}ext[a-z]", "splice", "splicing",
+    f"{_EDGE}fs{_END}", "frameshift", "fsTer", "fsX", f"{_EDGE}ter{_END}", "nonsense", f"{_EDGE}stop{_END}", f"{_EDGE}trunc", "[*x][0-9]+", f"x{_END}",
+    f"{_EDGE}del{_END}", f"{_EDGE}dup{_END}", f"{_EDGE}ins{_END}", "delins", "ext[*]", f"{_EDGE}ext[a-z]", "splice", "splicing",
 ])
 
 

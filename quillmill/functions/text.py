@@ -18,7 +18,7 @@ def col(c: ColumnLike) -> Column:
 
 def strip(c: ColumnLike) -> Column:
     """White space of every kind off both ends (trim() takes spaces alone)."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(" \t\n\x0b\f\r"))
 
 
 def as_text(c: ColumnLike) -> Column:
@@ -143,6 +143,11 @@ def band(score: ColumnLike, high: float = 0.7, middle: float = 0.4) -> Column:
     return F.when(s >= high, "HIGH").when(s >= middle, "MID").otherwise("LOW")
 
 
+def below(score: ColumnLike, limit: float = 0.7) -> Column:
+    """Whether a score is under a limit; a null one counts as 0."""
+    return F.coalesce(col(score), F.lit(0.0)) < limit
+
+
 def any_of(terms: Iterable[str], field: str = "") -> str:
     """A boolean search query: terms quoted and joined by OR, in brackets."""
     return "(" + " OR ".join(f'"{t}"{field}' for t in terms) + ")"

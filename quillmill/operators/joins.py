@@ -78,16 +78,16 @@ def covered(annotations: DataFrame, model: DataFrame, key: str = "pmid") -> Data
     or a number of the mention among its numbers. Each of the three is an
     equi-join with distinct model values, so no pairs within a key are made.
     """
-    own = annotations.join(model.select(key).distinct(), key, "left_semi").withColumn("_row", F.xxhash64(*[as_text(c) for c in ("coding", "protein", "mention")]))
+    own = annotations.join(model.select(key).distinct(), key, "left_semi")
     numbers = F.explode(positions(F.concat_ws(" ", as_text("coding"), as_text("protein"))))
     has_coding = model.where(clean("coding") != "").select(key, "coding").distinct().withColumn("_c", F.lit(True))
     has_protein = model.where(clean("protein") != "").select(key, "protein").distinct().withColumn("_p", F.lit(True))
     model_numbers = model.select(key, numbers.alias("number")).distinct()
-    hits = own.select(key, "_row", F.explode(positions("mention")).alias("number")).distinct().join(model_numbers, [key, "number"], "left_semi")
-    has_number = hits.select(key, "_row").distinct().withColumn("_n", F.lit(True))
-    out = own.join(has_coding, [key, "coding"], "left").join(has_protein, [key, "protein"], "left").join(has_number, [key, "_row"], "left")
+    hits = own.select(key, "mention", F.explode(positions("mention")).alias("number")).distinct().join(model_numbers, [key, "number"], "left_semi")
+    has_number = hits.select(key, "mention").distinct().withColumn("_n", F.lit(True))
+    out = own.join(has_coding, [key, "coding"], "left").join(has_protein, [key, "protein"], "left").join(has_number, [key, "mention"], "left")
     found = [F.coalesce(F.col(c), F.lit(False)) for c in ("_c", "_p", "_n")]
-    return out.withColumn("covered", found[0] | found[1] | found[2]).drop("_c", "_p", "_n", "_row")
+    return out.withColumn("covered", found[0] | found[1] | found[2]).drop("_c", "_p", "_n")
 
 
 def disease_ids(asked: DataFrame, genes: DataFrame, partial: float = 0.5, exact: float = 0.99) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -116,3 +117,25 @@ def flattened(docs: DataFrame, parent: Sequence[str], array: str) -> DataFrame:
 def flattened_map(docs: DataFrame, column: str, key: str) -> DataFrame:
     """A row for each struct of each array of a map."""
     return docs.select(F.explode(column).alias(key, "_a")).select(key, F.explode("_a").alias("_e")).select(key, "_e.*")
+
+
+def distinct_values(*sources: tuple[DataFrame, Sequence[str]], out: str = "value") -> DataFrame:
+    """(value): distinct values that are not blank over several columns of several tables; an array's elements count each."""
+    every = None
+    for df, columns in sources:
+        kinds = dict(df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]).dtypes)
+        arrays = [F.col(c).cast("array<string>") if kinds[f"c{i}"].startswith("array") else F.array(F.col(c).cast("string")) for i, c in enumerate(columns)]
+        own = df.select(F.explode(F.array_distinct(F.flatten(F.array(*[F.coalesce(a, F.array().cast("array<string>")) for a in arrays])))).alias(out))
+        every = own if every is None else every.union(own)
+    return every.where(F.trim(out) != "").distinct()
+
+
+def existing(df: DataFrame, equal: dict[str, object], column: str, pattern: str) -> int:
+    """How many rows have the given values and a column that matches: a warning says so if any has, and nothing is changed."""
+    held = F.col(column).rlike(pattern)
+    for name, value in equal.items():
+        held = held & (F.col(name) == F.lit(value))
+    n = df.where(held).count()
+    if n:
+        warnings.warn(f"{n} rows with {equal} have a {column} like {pattern}", stacklevel=2)
+    return n

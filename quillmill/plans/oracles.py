@@ -35,7 +35,7 @@ _FLAGS = f"""{_QC},
 SQL: dict[str, str] = {
     "q_scan_clean": r"SELECT doc_id, left(regexp_replace(text, '^\s+|\s+$', '', 'g'), 80) AS head, CAST(length(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS BIGINT) AS n, '' AS note FROM documents WHERE regexp_replace(text, '^\s+|\s+$', '', 'g') <> ''",
     "q_scan_topn": "SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 30",
-    "q_null_cast": "SELECT d.doc_id, TRY_CAST(substr(text, 1, 3) AS INT) AS number, coalesce(quality, -1) AS quality, TRY_CAST(regexp_replace(source, '[^0-9]', '', 'g') AS INT) AS source_no FROM documents d LEFT JOIN labels l USING (doc_id)",
+    "q_null_cast": "SELECT d.doc_id, CAST(TRY_CAST(regexp_replace(text, '[^0-9]', '', 'g') AS DECIMAL(18,0)) AS BIGINT) AS number, coalesce(quality, -1) AS quality, TRY_CAST(regexp_replace(source, '[^0-9]', '', 'g') AS INT) AS source_no FROM documents d LEFT JOIN labels l USING (doc_id)",
     "q_enum_guard": "SELECT event_id, CASE WHEN upper(event_type) IN ('CLICK','VIEW','PURCHASE') THEN upper(event_type) ELSE 'OTHER' END AS kind, CAST(CASE WHEN starts_with(props, '{') THEN length(props) ELSE 0 END AS BIGINT) AS props_n FROM events",
     "q_add_missing_cols": "SELECT origin, lang, source, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM (SELECT doc_id AS id, lang, source, 'documents' AS origin FROM documents UNION ALL SELECT item_id, '', '', 'benchmark' FROM benchmark) GROUP BY ALL",
     "q_flatten_json": "WITH k AS (SELECT props, unnest(json_keys(props)) AS name FROM events) SELECT name, count(*) AS n, count(DISTINCT json_extract_string(props, '$.' || name)) AS \"values\" FROM k GROUP BY name",
@@ -98,10 +98,10 @@ SQL: dict[str, str] = {
     "q_bridge_coalesce": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE coalesce(n_name, '') END AS n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
     "q_first_key": "WITH a AS (SELECT s_suppkey AS k, string_agg(DISTINCT s_name, ',' ORDER BY s_name) AS v FROM supplier WHERE s_suppkey % 2 = 0 GROUP BY 1), b AS (SELECT s_nationkey AS k, string_agg(DISTINCT s_name, ',' ORDER BY s_name) AS v FROM supplier WHERE s_suppkey % 2 = 1 GROUP BY 1) SELECT c_custkey, coalesce(a.v, b.v) AS names FROM customer LEFT JOIN a ON c_custkey = a.k LEFT JOIN b ON c_nationkey = b.k",
     "q_fuzzy_exists": """
-        WITH n AS (SELECT page_id, page_id % 50 AS pmid, regexp_extract(url, '([0-9]+)', 1) AS num, regexp_extract_all(url, '[0-9]+') AS nums, url FROM pages),
-        m AS (SELECT DISTINCT pmid, num FROM n WHERE url LIKE '%.org%')
-        SELECT page_id, count(*) OVER (PARTITION BY pmid) AS of_pmid, CAST(EXISTS (SELECT 1 FROM m WHERE m.pmid = n.pmid AND ('c.' || m.num = 'c.' || n.num OR list_contains(n.nums, nullif(m.num, '')))) AS INT) AS covered
-        FROM n WHERE pmid IN (SELECT pmid FROM m)""",
+        WITH n AS (SELECT doc_id, doc_id % 40 AS k, 'c.' || (n_chars % 900) AS coding, regexp_extract(text, '^[A-Za-z]+') AS protein, regexp_extract_all(text, '[0-9]+') AS nums FROM documents),
+        m AS (SELECT item_id % 40 AS k, 'c.' || (item_id * 7 % 900) AS coding, regexp_extract(text, '^[A-Za-z]+') AS protein FROM benchmark)
+        SELECT doc_id, count(*) OVER (PARTITION BY k) AS of_pmid, CAST(EXISTS (SELECT 1 FROM m WHERE m.k = n.k AND (m.coding = n.coding OR (m.protein <> '' AND m.protein = n.protein) OR list_has_any(n.nums, regexp_extract_all(m.coding || ' ' || m.protein, '[0-9]+')))) AS INT) AS covered
+        FROM n WHERE k IN (SELECT k FROM m)""",
     "q_coverage": "SELECT count(*) AS n, count(l.doc_id) AS covered, round(count(l.doc_id) / count(*), 9) AS share FROM documents LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)",
     "q_map_literal": "SELECT CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'TOP' WHEN o_orderpriority = '3-MEDIUM' THEN 'MID' ELSE 'REST' END AS level, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1",
     "q_top1_scored": r"""
@@ -124,7 +124,7 @@ SQL: dict[str, str] = {
     "q_group_index": "SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles FROM conversations GROUP BY 1",
     "q_summary_stack": "WITH r AS (SELECT lang, source, coalesce(CAST(quality AS VARCHAR), 'none') AS quality FROM documents LEFT JOIN labels USING (doc_id)) SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(source) = 0 THEN 'source' WHEN grouping(quality) = 0 THEN 'quality' ELSE 'total' END AS label, coalesce(lang, source, quality, '') AS value, count(*) AS n FROM r GROUP BY GROUPING SETS ((lang), (source), (quality), ())",
     "q_prf1": "WITH g AS (SELECT DISTINCT item_id % 4 AS k, unnest(string_split(lower(text), ' ')) AS w FROM benchmark), p AS (SELECT DISTINCT doc_id % 4 AS k, unnest(string_split(lower(text), ' ')) AS w FROM documents), j AS (SELECT count(*) FILTER (WHERE g.k IS NOT NULL AND p.k IS NOT NULL) AS tp, count(*) FILTER (WHERE g.k IS NULL) AS fp, count(*) FILTER (WHERE p.k IS NULL) AS fn FROM (SELECT * FROM g WHERE w <> '') g FULL JOIN (SELECT * FROM p WHERE w <> '') p ON g.k = p.k AND g.w = p.w) SELECT tp, fp, fn, round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall, round(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)), 9) AS f1 FROM j",
-    "q_keys_without": "SELECT user_id FROM events GROUP BY 1 HAVING NOT coalesce(bool_or(event_type = 'purchase'), false)",
+    "q_keys_without": "SELECT user_id FROM events GROUP BY 1 HAVING NOT coalesce(bool_or(event_type = 'purchase' AND value > 90), false)",
     "q_keep_first": "SELECT lang, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM (SELECT lang, text, min(doc_id) AS doc_id FROM documents GROUP BY ALL) GROUP BY 1",
     "q_first_label": "SELECT user_id, event_type AS label FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r = 1",
     "q_fallback_chain": "SELECT CASE WHEN n_chars > 2000 THEN 'full' ELSE 'short' END AS source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE n_chars > 500 GROUP BY 1",

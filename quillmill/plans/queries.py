@@ -46,7 +46,7 @@ def q_scan_topn(spark, d):
 @query
 def q_null_cast(spark, d):
     rows = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left")
-    return rows.select("doc_id", F.expr("try_cast(substr(text, 1, 3) as int)").alias("number"), F.coalesce("quality", F.lit(-1)).alias("quality"), F.expr("try_cast(regexp_replace(source, '[^0-9]', '') as int)").alias("source_no"))
+    return rows.select("doc_id", F.expr("try_cast(regexp_replace(text, '[^0-9]', '') as decimal(18,0))").cast("long").alias("number"), F.coalesce("quality", F.lit(-1)).alias("quality"), F.expr("try_cast(regexp_replace(source, '[^0-9]', '') as int)").alias("source_no"))
 
 
 @query
@@ -195,8 +195,8 @@ def fixture_cascade() -> Cascade:
         [
             Rule(text.has("text", SECRET), "EXCLUDE_SECRET", "secret in text"),
             Rule(text.has("text", LICENCE), "REVIEW_LICENCE", F.concat(F.lit("licence in "), F.col("source"))),
-            Rule(text.has("text", NO, False) & text.holds_after_removing("text", NO, THE), "REVIEW_MECHANISM", "negated and claimed"),
-            Rule(text.has("text", NO, False), "EXCLUDE_NO_GOF_EVIDENCE", "negated"),
+            Rule(F.col("_no") & text.holds_after_removing("text", NO, THE), "REVIEW_MECHANISM", "negated and claimed"),
+            Rule(F.col("_no"), "EXCLUDE_NO_GOF_EVIDENCE", "negated"),
             Rule((F.col("lang") == "de") & (F.col("n_chars") < 200), "EXCLUDE_NON_GOF_LOF", "short"),
         ],
         "KEEP",
@@ -205,7 +205,7 @@ def fixture_cascade() -> Cascade:
 
 def qc_documents(spark, d) -> DataFrame:
     decided = fixture_cascade().decided()
-    return t(spark, d, "documents").withColumn("_q", decided).select("doc_id", "lang", "source", "n_chars", "text", F.col("_q.action").alias("action"), F.col("_q.reason").alias("reason"))
+    return t(spark, d, "documents").withColumn("_no", text.has("text", NO, False)).withColumn("_q", decided).select("doc_id", "lang", "source", "n_chars", "text", F.col("_q.action").alias("action"), F.col("_q.reason").alias("reason"))
 
 
 @query
@@ -298,11 +298,11 @@ def q_first_key(spark, d):
 
 @query
 def q_fuzzy_exists(spark, d):
-    number = F.regexp_extract("url", "([0-9]+)", 1)
-    notes = t(spark, d, "pages").select((F.col("page_id") % 50).alias("pmid"), F.concat(F.lit("c."), number).alias("coding"), F.concat(F.lit("p."), number).alias("protein"), F.col("url").alias("mention"), "page_id")
-    model = t(spark, d, "pages").where("url like '%.org%'").select((F.col("page_id") % 50).alias("pmid"), F.concat(F.lit("c."), number).alias("coding"), F.lit("").alias("protein"))
-    found = J.covered(notes, model)
-    return R.first_value(A.with_group_count(found, ["pmid"], "of_pmid"), "page_id", "covered", "of_pmid", "covered").withColumn("covered", F.col("covered").cast("int"))
+    key, word = F.col("doc_id"), F.regexp_extract("text", "^[A-Za-z]+", 0)
+    numbers = F.array_join(notation.positions("text"), " ")
+    notes = t(spark, d, "documents").select("doc_id", (key % 40).alias("pmid"), F.concat(F.lit("c."), (F.col("n_chars") % 900).cast("string")).alias("coding"), word.alias("protein"), numbers.alias("mention"))
+    model = t(spark, d, "benchmark").select((F.col("item_id") % 40).alias("pmid"), F.concat(F.lit("c."), (F.col("item_id") * 7 % 900).cast("string")).alias("coding"), word.alias("protein"))
+    return A.with_group_count(J.covered(notes, model), ["pmid"], "of_pmid").select("doc_id", "of_pmid", F.col("covered").cast("int").alias("covered"))
 
 
 @query
@@ -388,7 +388,7 @@ def q_prf1(spark, d):
 
 @query
 def q_keys_without(spark, d):
-    return A.keys_without(t(spark, d, "events"), "user_id", F.col("event_type") == "purchase")
+    return A.keys_without(t(spark, d, "events"), "user_id", (F.col("event_type") == "purchase") & (F.col("value") > 90))
 
 
 @query
@@ -435,12 +435,10 @@ def q_stub_upsert(spark, d):
 
 @query
 def q_stream_append(spark, d):
-    import tempfile
-    import uuid
-
+    from quillmill.sources.sinks import scratch
     from quillmill.streaming.incremental import append_new
 
-    root = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    root = scratch(spark)
     schema = t(spark, d, "events").schema
     flags = lambda df: df.select("event_id", "event_type", F.floor("value").cast("long").alias("v"))
     for _ in range(2):  # a second run finds nothing new
@@ -451,7 +449,7 @@ def q_stream_append(spark, d):
 @query
 def q_llm_mock(spark, d):
     docs = t(spark, d, "documents").select("doc_id", F.col("text").alias("abstract"))
-    scored = models.with_reply(docs, "abstract", models.keyword_scorer({"secret": SECRET, "licence": LICENCE, "the": r"\bthe\b"}))
+    scored = models.with_reply(docs, "abstract", models.keyword_scorer({"secret": SECRET, "licence": LICENCE, "the": THE}))
     return scored.select("doc_id", F.col("reply").cast("double").alias("score"), text.band(F.col("reply").cast("double")).alias("band"))
 
 

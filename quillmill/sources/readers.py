@@ -36,6 +36,11 @@ def json_lines_with_rejects(spark: SparkSession, path: str, schema: str) -> tupl
     return parsed.where("j._bad is null").select("j.*").drop("_bad"), parsed.where("j._bad is not null").select("value")
 
 
+def reading_counts(rows: DataFrame, rejects: DataFrame) -> DataFrame:
+    """(status, n): how many records were read and how many were bad."""
+    return rows.agg(F.count("*").alias("n")).withColumn("status", F.lit("read")).unionByName(rejects.agg(F.count("*").alias("n")).withColumn("status", F.lit("bad"))).select("status", "n")
+
+
 def json_folder(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """One document in each file, with its name without ending as `stem`."""
     df = spark.read.schema(schema).option("multiLine", True).json(path)
@@ -43,9 +48,14 @@ def json_folder(spark: SparkSession, path: str, schema: StructType | str) -> Dat
 
 
 def delimited(spark: SparkSession, path: str, by: str = ",", order: str | None = "_ord") -> DataFrame:
-    """A table with a header, all text, null as empty; `order` numbers its rows in the order of files and lines."""
-    df = all_text(spark.read.option("header", True).option("sep", by).option("inferSchema", False).csv(path))
-    return df.withColumn(order, F.monotonically_increasing_id()) if order else df
+    """A table with a header, all text, null as empty.
+
+    `order` is (file, start of the part of the file, line in that part): it
+    orders rows by file name and then as they lie in the file.
+    """
+    df = spark.read.option("header", True).option("sep", by).option("inferSchema", False).csv(path)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return all_text(df) if not order else df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], place.alias(order))
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:

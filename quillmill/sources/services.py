@@ -7,6 +7,8 @@ waits; a failed key has a status and never stops the run.
 
 from __future__ import annotations
 
+import json
+import re
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -65,14 +67,78 @@ def search_source(search: Search, first_year: int, last_year: int, cap: int = 99
     return Source
 
 
+def paged_search(search: Search, cap: int = 2000, page: int = 500) -> type[DataSource]:
+    """A data source (query, id, total) of a search without years: one partition, read in pages up to the cap."""
+
+    class Reader(DataSourceReader):
+        def __init__(self, options) -> None:
+            self.query = options.get("query", "")
+
+        def read(self, partition):
+            at, total = 0, 1
+            while at < min(total, cap):
+                total, ids = search(self.query, 0, at, min(page, cap - at))
+                if not ids:
+                    return
+                for i in ids:
+                    yield self.query, i, total
+                at += len(ids)
+
+    class Source(DataSource):
+        @classmethod
+        def name(cls):
+            return "paged_search"
+
+        def schema(self):
+            return "query string, id string, total long"
+
+        def reader(self, schema):
+            return Reader(self.options)
+
+    return Source
+
+
+def search_count(search: Search, query: str, first_year: int, last_year: int) -> int:
+    """How many ids a query finds in all years: asked for none of them."""
+    return sum(search(query, year, 0, 0)[0] for year in range(first_year, last_year + 1))
+
+
+def titles_of(reply: str) -> dict[str, str]:
+    """{id: title} of an XML reply with a record for each id; a record without a title has none, and no title goes to a neighbour."""
+    found = {}
+    for record in re.findall(r"(?s)<DocSum>(.*?)</DocSum>", reply):
+        key, title = re.search(r"<Id>([0-9]+)</Id>", record), re.search(r'(?s)<Item Name="Title"[^>]*>(.*?)</Item>', record)
+        if key and title:
+            found[key.group(1)] = title.group(1)
+    return found
+
+
+def fetched_titles(ids: DataFrame, reply: Callable[[Sequence[str]], str], size: int = 200, **how) -> DataFrame:
+    """(id, title, status) by batches of ids."""
+    return fetched(ids, lambda keys: titles_of(reply(keys)), size, **how).withColumnRenamed("body", "title")
+
+
+def mapped_ids(ids: DataFrame, reply: Callable[[Sequence[str]], str], size: int = 200, source: str = "pmid", target: str = "pmcid", **how) -> DataFrame:
+    """(id, target, status) of a service that answers {"records": [{source, target}]}: absent where it names none."""
+
+    def pairs(keys: Sequence[str]) -> dict[str, str]:
+        return {str(r[source]): str(r[target]) for r in json.loads(reply(keys)).get("records", []) if r.get(source) and r.get(target)}
+
+    return fetched(ids, pairs, size, **how).withColumnRenamed("body", target)
+
+
 def search_ids(spark: SparkSession, source: type[DataSource], query: str) -> DataFrame:
     """Distinct ids that a query finds in any year."""
     spark.dataSource.register(source)
     return spark.read.format(source.name()).option("query", query).load().groupBy("id").agg(F.min("year").alias("year"), F.bool_or("capped").alias("capped"))
 
 
-def fetched(ids: DataFrame, fetch: Callable[[Sequence[str]], dict[str, str]], size: int = 500, at_once: int = 4, tries: int = 3, pause: float = 0.0, first_wait: float = 1.0) -> DataFrame:
-    """(id, body, status): records by batches of ids, keyed, never zipped by place. status: done, absent or failed."""
+def fetched(ids: DataFrame, fetch: Callable[[Sequence[str]], dict[str, str]], size: int = 500, at_once: int = 4, tries: int = 3, pause: float = 0.0, first_wait: float = 1.0, have: DataFrame | None = None) -> DataFrame:
+    """(id, body, status): records by batches of ids, keyed, never zipped by place. status: done, absent or failed.
+
+    Ids of `have` (id) are not asked for. At most `at_once` tasks ask at a time,
+    so a pause of at_once / rate seconds keeps all of them under a rate.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -91,7 +157,10 @@ def fetched(ids: DataFrame, fetch: Callable[[Sequence[str]], dict[str, str]], si
                     time.sleep(pause)
                 yield pd.DataFrame({"id": own, "body": [got.get(k) for k in own], "status": ["failed" if failed else "done" if k in got else "absent" for k in own]})
 
-    return ids.select(F.col("id").cast("string").alias("id")).distinct().repartition(at_once).mapInPandas(run, "id string, body string, status string")
+    wanted = ids.select(F.col("id").cast("string").alias("id")).distinct()
+    if have is not None:
+        wanted = wanted.join(have.select(F.col("id").cast("string").alias("id")).distinct(), "id", "left_anti")
+    return wanted.repartition(at_once).mapInPandas(run, "id string, body string, status string")
 
 
 def with_fallback(full: DataFrame, abstracts: DataFrame, least: int = 50) -> DataFrame:

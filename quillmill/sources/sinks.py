@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import without_control
 from quillmill.operators.joins import not_in
 from quillmill.operators.rows import in_views
-from quillmill.sources.readers import read_or_empty
+from quillmill.sources.readers import json_lines, read_or_empty
 
 
 def write_views(df: DataFrame, views: dict[str, Column], path: str) -> None:
@@ -38,6 +41,50 @@ def write_documents(df: DataFrame, path: str, buckets: int = 256, key: str = "pm
     df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).write.mode("append").partitionBy("bucket").json(path)
 
 
+def export_documents(df: DataFrame, key: str, folder: str, most: int = 100_000) -> tuple[int, int]:
+    """Each row as <folder>/<key>.json, those that are there are left as they are: (written, skipped).
+
+    A file a row is for exports of a bounded size: rows pass the driver one at
+    a time, and over `most` rows are refused (see write_documents).
+    """
+    spark = df.sparkSession
+    if df.count() > most:
+        raise ValueError(f"over {most} rows: too many for a file each")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    written = skipped = 0
+    for row in df.select(F.col(key).cast("string").alias("_name"), F.to_json(F.struct(*df.columns)).alias("_body")).toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{row._name}.json")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            skipped += 1
+            continue
+        out = fs.create(path, False)
+        try:
+            out.write(bytearray(row._body.encode()))
+        finally:
+            out.close()
+        written += 1
+    return written, skipped
+
+
+def rewrite_json(spark: SparkSession, source: str, target: str, schema: str, array: str, **fields) -> None:
+    """JSON lines written again with fields of the structs of an array changed: each by a function of its old value."""
+    df = json_lines(spark, source, schema)
+    kept = [f.name for f in df.schema[array].dataType.elementType]
+    changed = F.transform(array, lambda x: F.struct(*[(fields[c](x[c]) if c in fields else x[c]).alias(c) for c in kept]))
+    df.withColumn(array, changed).write.mode("errorifexists").json(target)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path below spark.checkpoint.dir; below a temporary folder only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="quillmill-")
+    return f"{folder.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def write_delimited(df: DataFrame, path: str, by: str = "\t") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", by).csv(path)
 

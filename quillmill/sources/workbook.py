@@ -16,6 +16,7 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -70,6 +71,13 @@ def read_sheet(spark: SparkSession, path: str, columns: list[str], sheet: str |
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, schema)
 
 
+def read_records(spark: SparkSession, path: str, schema: str, sheet: str | None = None) -> DataFrame:
+    """A sheet's columns by name and type ("id long, name string"), with `_ord`; a cell that is not of its type is null."""
+    fields = StructType.fromDDL(schema)
+    rows = read_sheet(spark, path, [f.name for f in fields], sheet)
+    return rows.select("_ord", *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
+
+
 def workbook_bytes(sheets: dict[str, tuple[list[str], list[list]]], fills: dict[str, str] | None = None, fill_by: str | None = None, widest: int = 60) -> bytes:
     """A workbook of {sheet: (header, rows)}: bold header, frozen, filtered, width by content; rows filled by a column's value."""
     fills = fills or {}

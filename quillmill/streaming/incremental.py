@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillmill.operators.joins import not_in
 from quillmill.operators.rows import keep_first
-from quillmill.sources.readers import read_or_empty
+from quillmill.sources.readers import path_exists, read_or_empty
 
 
 def append_new(
@@ -21,21 +21,24 @@ def append_new(
 
     A batch that runs again finds its own rows in the sink, so it appends
     nothing twice. Rows under `reject` go to their own folder instead, and rows
-    under `side` to theirs besides. Processes what is there, then ends.
+    under `side` to theirs besides: a batch's own part of these folders is
+    written anew if the batch runs again. Side rows are those of the batch that
+    the sink did not have before it. Processes what is there, then ends.
     """
 
     def write(batch: DataFrame, number: int) -> None:
+        own = lambda folder: f"{folder}/batch={number}"
         made = transform(batch).persist()
         try:
             good = made
             if reject is not None:
-                made.where(reject[0]).withColumn("_batch", F.lit(number)).write.mode("append").parquet(reject[1])
+                made.where(reject[0]).write.mode("overwrite").parquet(own(reject[1]))
                 good = made.where(~F.coalesce(reject[0], F.lit(False)))
-            fresh = keep_first(not_in(good, read_or_empty(spark, sink, made.schema), keys), keys, [c for c in made.columns if c not in keys] or keys)
-            if side is not None:
-                fresh = fresh.persist()
-                fresh.where(side[0]).write.mode("append").parquet(side[1])
-            fresh.write.mode("append").parquet(sink)
+            order = [c for c in made.columns if c not in keys] or keys
+            known = read_or_empty(spark, sink, made.schema)
+            if side is not None and not path_exists(spark, f"{own(side[1])}/_SUCCESS"):  # else the side rows were complete before the sink was written
+                keep_first(not_in(good, known, keys), keys, order).where(side[0]).write.mode("overwrite").parquet(own(side[1]))
+            keep_first(not_in(good, known, keys), keys, order).write.mode("append").parquet(sink)
         finally:
             made.unpersist()
 

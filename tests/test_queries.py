@@ -5,9 +5,10 @@ import os
 import duckdb
 import pytest
 
-from quillmill.plans import oracles, queries
+from quillmill.plans import io_queries, oracles, queries
 
 DATA = "/root/testdata/sf0.001"
+SQL = oracles.SQL | io_queries.SQL
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="the tables are not here")
 
 
@@ -23,14 +24,17 @@ def duck():
 def test_query(spark, duck, name):
     df = queries.QUERIES[name](spark, DATA)
     rows, columns = df.collect(), sorted(df.columns)
-    if name not in oracles.SQL:
+    if name not in SQL:
         assert rows
         return
-    wanted = duck.execute("SELECT " + ", ".join(f'"{c}"' for c in columns) + f" FROM ({oracles.SQL[name]})").fetchall()
+    found = duck.execute(SQL[name])
+    assert sorted(c[0] for c in found.description) == columns
+    wanted = duck.execute("SELECT " + ", ".join(f'"{c}"' for c in columns) + f" FROM ({SQL[name]})").fetchall()
+    assert wanted
     assert sorted(str(tuple(str(r[c]) for c in columns)) for r in rows) == sorted(str(tuple(map(str, r))) for r in wanted)
 
 
 def test_entry(spark):
     import __spark_entry__
 
-    assert __spark_entry__.entry(spark).count() > 0 and set(oracles.SQL) <= set(queries.QUERIES)
+    assert __spark_entry__.entry(spark).count() > 0 and set(SQL) <= set(queries.QUERIES)

@@ -88,3 +88,26 @@ def test_stream_appends_each_key_once(spark, tmp_path):
     run()
     assert sorted((r.id, r.v) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, 5), (2, 7), (3, 9)]
     assert spark.read.parquet(str(tmp_path / "side")).count() == 2 and spark.read.parquet(str(tmp_path / "bad")).count() == 2
+
+
+def test_command_line(spark, tmp_path):
+    from quillmill.__main__ import parser, run
+
+    made = {"q": lambda spark, d: spark.range(int(d)).select("id")}
+    out = str(tmp_path / "out")
+    run(spark, parser().parse_args(["q", "--data", "3", "--output", out]), made)
+    run(spark, parser().parse_args(["q", "--data", "3", "--test", "5", "--output", out, "--resume", "id"]), made)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    run(spark, parser().parse_args(["q", "--data", "9", "--dry"]), made)
+
+
+def test_batch_that_runs_again(spark, tmp_path):
+    """Side rows and rejects of a batch are there once, though its stream forgot the batch."""
+    import shutil
+
+    spark.range(10).write.parquet(str(tmp_path / "in"))
+    p = lambda name: str(tmp_path / name)
+    for _ in range(2):
+        append_new(spark, p("in"), "id long", p("sink"), p("state"), ["id"], side=(F.col("id") > 6, p("side")), reject=(F.col("id") < 2, p("bad")), pattern="*.parquet")
+        shutil.rmtree(p("state"))
+    assert [spark.read.parquet(p(x)).count() for x in ("sink", "side", "bad")] == [8, 3, 2]
