@@ -82,19 +82,19 @@ class HiddenMarkov:
 
     def transfer(self, rows: Rows) -> np.ndarray:
         """[row, state before, last state] of each row, up to a factor; before a text's first row any state is the same."""
-        s = len(self.start)
-        head = rows.part == 0
-        product = np.empty((len(rows.lengths), s, s))
+        s, n = len(self.start), len(rows.lengths)
+        onward = np.ascontiguousarray(self.move.T)
+        product, moved = np.empty((s, s, n)), np.empty((s, s, n))  # rows last: long runs for every operation
         for t, n in enumerate(rows.live()):
+            own = moved[:, :, :n]
             if t == 0:
-                moved = np.where(head[:, None, None], self.start[None, None, :], self.move[None])
+                own[:] = np.where(rows.part == 0, self.start[None, :, None], self.move[:, :, None])
             else:
-                moved = product[:n] @ self.move
-            moved = moved * self.emit[rows.symbols[t, :n]][:, None, :]
+                np.matmul(onward, product[:, :, :n], out=own)
             if t % 8 == 7 or t < 2:
-                moved /= moved.max(axis=(1, 2))[:, None, None]
-            product[:n] = moved
-        return product / product.max(axis=(1, 2), keepdims=True)
+                own /= own.max(axis=(0, 1))
+            np.multiply(own, self.emit.take(rows.symbols[t, :n], axis=0).T, out=product[:, :, :n])
+        return np.ascontiguousarray((product / product.max(axis=(0, 1))).transpose(2, 0, 1))
 
     def messages(self, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
         """(distribution of the state before each row given all before it, likelihood of all after it by its last state)."""
@@ -119,16 +119,16 @@ class HiddenMarkov:
         return before, after
 
     def forward(self, rows: Rows, before: np.ndarray, kind: type = np.float64) -> tuple[np.ndarray, np.ndarray]:
-        """(state distributions [token, row, state] given what came, log10 probability of each row given what came before it)."""
-        move, emit = self.move.astype(kind), self.emit.astype(kind)
-        states = np.empty((*rows.symbols.shape, len(self.start)), dtype=kind)
+        """(state distributions [token, state, row] given what came, log10 probability of each row given what came before it)."""
+        onward, emit = np.ascontiguousarray(self.move.T, dtype=kind), self.emit.astype(kind)
+        states = np.empty((len(rows.symbols), len(self.start), len(rows.lengths)), dtype=kind)
         logs = np.zeros(len(rows.lengths))
-        enter = np.where((rows.part == 0)[:, None], self.start, before @ self.move).astype(kind)
+        enter = np.where(rows.part == 0, self.start[:, None], onward.astype(float) @ before.T).astype(kind)
         for t, n in enumerate(rows.live()):
-            a = (enter if t == 0 else states[t - 1, :n] @ move) * emit[rows.symbols[t, :n]]
-            total = a.sum(axis=1)
+            a = (enter if t == 0 else onward @ states[t - 1, :, :n]) * emit.take(rows.symbols[t, :n], axis=0).T
+            total = a.sum(axis=0)
             logs[:n] += np.log10(total)
-            np.divide(a, total[:, None], out=states[t, :n])
+            np.divide(a, total, out=states[t, :, :n])
         return states, logs
 
     def log10_likelihood(self, flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -156,40 +156,39 @@ class HiddenMarkov:
             moves += m
             live = some.live()
             symbols = np.concatenate([some.symbols[t, :n] for t, n in enumerate(live)])
-            who = np.concatenate([forward[t, :n] for t, n in enumerate(live)])
             for j in range(s):
-                emitted[:, j] += np.bincount(symbols, who[:, j], size)
+                emitted[:, j] += np.bincount(symbols, np.concatenate([forward[t, j, :n] for t, n in enumerate(live)]), size)
         return start, moves, emitted, likelihood
 
     def _backward(self, rows: Rows, states: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(starts, moves) of rows; `states` become the states' probabilities given the whole text."""
         move, emit = self.move.astype(np.float32), self.emit.astype(np.float32)
-        moves, live = np.zeros(self.move.shape), rows.live()
-        beta = np.empty((0, len(self.start)), dtype=np.float32)
+        moves, live, later = np.zeros(self.move.shape), rows.live(), np.ascontiguousarray(after.T, dtype=np.float32)
+        beta = np.empty((len(self.start), 0), dtype=np.float32)
         for t in range(len(live) - 1, -1, -1):
-            own, n = states[t, : live[t]], len(beta)
-            ends = after[n : live[t]].astype(np.float32)
-            ends = ends / (own[n:] * ends).sum(axis=1, keepdims=True)
+            own, n = states[t, :, : live[t]], beta.shape[1]
+            ends = later[:, n : live[t]]
+            ends = ends / (own[:, n:] * ends).sum(axis=0)
             if n:
-                w = emit[rows.symbols[t + 1, :n]] * beta
-                onward = w @ move.T
-                norm = (own[:n] * onward).sum(axis=1, keepdims=True)
-                moves += (own[:n] / norm).T @ w
-                beta = np.concatenate([onward / norm, ends])
+                w = emit.take(rows.symbols[t + 1, :n], axis=0).T * beta
+                onward = move @ w
+                norm = (own[:, :n] * onward).sum(axis=0)
+                moves += (own[:, :n] / norm) @ w.T
+                beta = np.concatenate([onward / norm, ends], axis=1)
             else:
                 beta = ends
             if t < len(live) - 1:
-                states[t + 1, : live[t + 1]] = posterior
+                states[t + 1, :, : live[t + 1]] = posterior
             posterior = own * beta
         if not len(live):
             return np.zeros(len(self.start)), moves * self.move
         states[0] = posterior
         head = rows.part == 0
         if not head.all():  # the move from the row before
-            w = emit[rows.symbols[0, ~head]] * beta[~head]
-            prior = before[~head].astype(np.float32)
-            moves += (prior / (prior * (w @ move.T)).sum(axis=1, keepdims=True)).T @ w
-        return posterior[head].sum(axis=0, dtype=float), moves * self.move
+            w = emit[rows.symbols[0, ~head]].T * beta[:, ~head]
+            prior = before[~head].T.astype(np.float32)
+            moves += (prior / (prior * (move @ w)).sum(axis=0)) @ w.T
+        return posterior[:, head].sum(axis=1, dtype=float), moves * self.move
 
 
 @dataclass
