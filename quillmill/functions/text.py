@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -95,9 +96,23 @@ def tiered_match(c: ColumnLike, tiers: Sequence[tuple[str, str]], width: int = 2
     return F.struct(best.alias("best"), F.left(matched, F.lit(width)).alias("matched"))
 
 
-def distinct_sentences(texts: Iterable[ColumnLike], pattern: str) -> Column:
-    """Matches of a sentence pattern over several texts, stripped, each once, in order."""
-    each = [F.regexp_extract_all(as_text(t), F.lit(f"(?i){pattern}"), F.lit(0)) for t in texts]
+def distinct_sentences(texts: Iterable[ColumnLike], pattern: str, stop: str = "", longest: int = 0) -> Column:
+    """Matches of a sentence pattern over several texts, stripped, each once, in order.
+
+    If every match ends at the first `stop` in it and has at most `longest`
+    characters, saying so makes the search linear: the pattern is then tried on
+    the last characters before each stop alone. Results are the same.
+    """
+    found = f"(?i){pattern}"
+
+    def ending(segments: Column) -> Column:
+        tails = F.transform(F.slice(segments, 1, F.size(segments) - 1), lambda s: F.regexp_extract(F.concat(F.right(s, F.lit(longest - 1)), F.lit(stop)), found, 0))
+        return F.filter(tails, lambda x: x != "")
+
+    if stop and longest:
+        each = [ending(F.split(as_text(t), re.escape(stop))) for t in texts]
+    else:
+        each = [F.regexp_extract_all(as_text(t), F.lit(found), F.lit(0)) for t in texts]
     return F.array_distinct(F.transform(F.concat(*each), lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")))
 
 

@@ -99,7 +99,7 @@ def q_tiered_match(spark, d):
 
 @query
 def q_sentence_extract(spark, d):
-    found = text.distinct_sentences(["text"], r"[A-Z][a-z ,]{0,60}[.]")
+    found = text.distinct_sentences(["text"], r"[A-Z][a-z ,]{0,60}[.]", stop=".", longest=62)
     return t(spark, d, "documents").select("doc_id", F.size(found).cast("long").alias("n"), F.array_join(found, "|").alias("sentences"))
 
 

@@ -106,3 +106,11 @@ def test_query_composer():
 @pytest.mark.parametrize("wanted,given_,score", [("a b", "b c", 0.5), ("a", "{a}", -1.0), ("", "a", 0.0), ("A  b", "b a", 1.0)])
 def test_word_overlap(spark, wanted, given_, score):
     assert spark.range(1).select(notation.word_overlap(F.lit(wanted), F.lit(given_))).first()[0] == score
+
+
+def test_sentences_by_their_stop_are_those_of_the_pattern(spark):
+    texts = ["", None, ".", "Aa. b.c. .. 9x. Aa.", "x" * 61 + ".", "y" * 62 + ".", "A, " * 40 + ". z.\nq", "no stop", "É é e. \n.", "a\n. b. B.", "1. a 2, b. " * 3]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    pattern = r"[A-Z][a-z ,]{0,60}[.]"
+    got = df.select(text.distinct_sentences(["text"], pattern).alias("a"), text.distinct_sentences(["text"], pattern, stop=".", longest=62).alias("b")).collect()
+    assert any(r.a for r in got) and all(r.a == r.b for r in got)
