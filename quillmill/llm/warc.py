@@ -101,6 +101,7 @@ def write_archives(pages: DataFrame, min_revisit: int = 1000, date: str = "2020-
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     rows = rows.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html").cast("long")})
     kept = rows.where(F.col("size") >= min_revisit).groupBy("digest", "size").agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    kept = settle(kept)  # its size is known when the join is planned: while Spark's broadcast limit holds it, no page is moved
     marked = rows.join(kept, ["digest", "size"], "left").select("page_id", "url", "html", "digest", "size", F.when(F.col("page_id") != F.col("kept"), F.col("kept")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
