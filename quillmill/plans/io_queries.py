@@ -350,6 +350,18 @@ SQL["q_llm_mock"] = """
     SELECT doc_id, round(n / 3, 4) AS score, CASE WHEN n = 3 THEN 'HIGH' WHEN n = 2 THEN 'MID' ELSE 'LOW' END AS band FROM m"""
 
 
+SQL["q_html_sections"] = r"""
+    WITH h AS (SELECT page_id, regexp_extract_all(regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '<x>', 'g'), '<[^>]*>|[^<]+') AS pieces FROM pages),
+    t AS (SELECT page_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM h),
+    e AS (SELECT *, regexp_matches(piece, '(?i)^<(title|h[123])[ >]') AS opens, regexp_matches(piece, '(?i)^</(title|h[123])[ >]') AS closes FROM t),
+    g AS (SELECT *, count(*) FILTER (WHERE opens) OVER w AS part, coalesce(max(CASE WHEN opens THEN 2 * i + 1 WHEN closes THEN 2 * i END) OVER w, 0) % 2 = 1 AS heading FROM e WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+    d AS (SELECT page_id, part, i, heading, regexp_replace(replace(replace(replace(piece, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g') AS s FROM g WHERE NOT starts_with(piece, '<')),
+    k AS (SELECT page_id, part, trim(regexp_replace(string_agg(s, '' ORDER BY i), '\s+', ' ', 'g')) AS name FROM d WHERE heading GROUP BY page_id, part),
+    b AS (SELECT d.page_id, coalesce(k.name, '') AS name, string_agg(trim(regexp_replace(s, '\s+', ' ', 'g')), ' ' ORDER BY i) AS body FROM d LEFT JOIN k ON k.page_id = d.page_id AND k.part = d.part WHERE NOT d.heading AND regexp_matches(s, '\S') GROUP BY 1, 2)
+    SELECT p.page_id, CAST(count(b.body) AS INTEGER) AS n_sections, CAST(coalesce(sum(length(b.body)), 0) AS BIGINT) AS chars_total, coalesce(string_agg(b.name, '|' ORDER BY b.name), '') AS headings
+    FROM pages p LEFT JOIN b ON b.page_id = p.page_id GROUP BY p.page_id"""
+
+
 @sql("SELECT p_partkey, regexp_extract(lower(p_name), 'part number|metal|part|red|pa', 0) AS word FROM part")
 def q_alternation(spark, d):
     words = ["part", "pa", "metal", "red", "part number"]
