@@ -44,12 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends here."""
     spark = session()
     path = f"{shared_folder(spark)}/settled/{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     atexit.register(remove, spark, path)
     return spark.read.schema(schema).parquet(path)
 
