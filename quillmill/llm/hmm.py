@@ -283,19 +283,28 @@ def count_words(train: DataFrame) -> DataFrame:
 def most_frequent(counts: DataFrame, most: int) -> list:
     """Rows (word, c) of the most frequent words, the most frequent first, at most `most`; the end of a text is always among them.
 
-    A histogram of logarithms finds the least count that so many words have at
-    most, so that only those words leave the executors.
+    A histogram of logarithms finds how many words each sixteenth of a doubling
+    has, so that only words of the lexicon leave the executors. Where not all
+    words of a step fit in, as many of it as do are taken by a hash of the word.
     """
     step = F.floor(F.log2("c") * 16).cast("int")
-    bins = counts.groupBy(step.alias("bin")).agg(F.count("*").alias("n")).collect()  # 16 rows a doubling
-    total, least = 0, None
+    others = counts.where(F.col("word") != F.lit(END))
+    bins = others.groupBy(step.alias("bin")).agg(F.count("*").alias("n")).collect()  # 16 rows a doubling
+    room, held = max(0, most - 1), F.col("word") == F.lit(END)
     for r in sorted(bins, key=lambda r: -r.bin):
-        total += r.n
-        if total >= most:
-            break
-        least = r.bin
-    held = F.col("word") == F.lit(END) if least is None else (step >= least) | (F.col("word") == F.lit(END))
-    return sorted(counts.where(held).collect(), key=lambda r: (-r.c, bytes(r.word)))
+        if r.n <= room:
+            held = held | (step == r.bin)
+            room -= r.n
+            continue
+        held = held | ((step == r.bin) & (F.pmod(F.xxhash64("word"), F.lit(1 << 40)) < F.lit(int(room / r.n * (1 << 40)))))
+        break
+    found = sorted(counts.where(held).collect(), key=lambda r: (-r.c, bytes(r.word)))
+    over = len(found) - max(1, most)  # the hash's share is exact to a root of it
+    while over > 0:
+        last = next(i for i in range(len(found) - 1, -1, -1) if bytes(found[i].word) != END)
+        del found[last]
+        over -= 1
+    return found
 
 
 def _counts(held: Counter) -> pa.RecordBatch:
