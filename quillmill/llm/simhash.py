@@ -225,11 +225,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, segments
     Documents whose fingerprints differ in at most `radius` bits are linked;
     component_id is the smallest doc_id reachable. Empty and null texts have
     fingerprint zero and are linked like others. Repeated rows stay repeated.
-    A row with a null doc_id keeps it and lends no id; a group of such rows
-    alone has a null component_id. An empty table gives an empty result.
+    A row with a null doc_id links others like any row, but lends no id: a group
+    of such rows alone has a null component_id. An empty table gives an empty result.
     """
     own = settle(fingerprints(docs, shingle, seed, id_column, text_column))
     reps = settle(own.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    roots = connected_components(link_fingerprints(reps.where("rep is not null").select("fp", "rep"), radius, segments))
-    classes = reps.join(roots, reps["rep"] == roots["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"), "copies")
+    least, most, nameless = reps.agg(F.min("rep"), F.max("rep"), F.count("*") - F.count("rep")).first()
+    most = 0 if least is None else most
+    if nameless:  # nodes without an id come after all that have one
+        reps = settle(reps.withColumn("rep", F.coalesce("rep", F.lit(most + 1) + F.monotonically_increasing_id())))
+    roots = connected_components(link_fingerprints(reps.select("fp", "rep"), radius, segments))
+    root = F.coalesce("root", "rep")
+    classes = reps.join(roots, reps["rep"] == roots["node"], "left").select("fp", F.when(root <= most if least is not None else F.lit(False), root).alias("component_id"), "copies")
     return own.join(classes, "fp").select("doc_id", "fp", "component_id", "copies")
