@@ -33,6 +33,8 @@ SHINGLE, SIMILARITY, RADIUS, CLASSES = 5, 0.8, 3, (8, 16, 32)
 BLOCK_ITEMS, BLOCK_WORDS = 5_000, 500_000
 #: Windows fingerprinted at once.
 _STEP = 1 << 15
+#: Pairs of a text's and the index's windows that are held at once.
+PAIRS = 1 << 20
 _BREAKS = byte_class(b" \t\n\v\f\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\0")
 
 
@@ -67,8 +69,8 @@ class Index:
     slack: list[int]  # shingles of an item that a similar text may lack at most: how far a kept row may be moved
     weights: dict[int, float]  # of the whole benchmark: shingles of two items or more
     total: float  # items of the whole benchmark
-    classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list]]  # fingerprints, items, offsets, pieces
-    short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # words in a shingle: sorted shingles, items, offsets
+    classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]]  # fingerprints, items, first and last offsets, pieces
+    short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # words in a shingle: sorted shingles, items, first and last offsets
 
 
 def keeps_window(weights: list[float], size: int, shingle: int, similarity: float) -> bool:
@@ -168,19 +170,24 @@ def build_index(items: list[tuple[int, str]], shingle: int, similarity: float, c
                 made[c][0].append(fps)
                 made[c][1].append(np.full(len(fps), i))
                 made[c][2].append(np.arange(len(fps)))
-    short = {}
-    for width, found in apart.items():
-        g, own, offsets = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(g, kind="stable")
-        short[width] = (g[order], own[order], offsets[order])
+    short = {width: _stretches(*(np.concatenate(x) for x in zip(*found))) for width, found in apart.items()}
     index = {}
-    for c, (fps, own, offsets) in made.items():
-        if fps:
-            f = np.concatenate(fps)
-            index[c] = (f, np.concatenate(own), np.concatenate(offsets), [_piece(f, p, radius) for p in range(radius + 1)])
+    for c, found in made.items():
+        if found[0]:
+            stretches = _stretches(*map(np.concatenate, found))
+            index[c] = (*stretches, [_piece(stretches[0], p, radius) for p in range(radius + 1)])
     return Index([i for i, _ in items], [Counter(g.tolist()) for g in each], [len(g) for g in each], slack, weights, float(whole.items), index, short)
 
 
+def _stretches(values: np.ndarray, items: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(value, item, first offset, last offset), sorted by value: equal values at offsets in a row are one stretch."""
+    order = np.lexsort((offsets, items, values))
+    v, i, o = values[order], items[order], offsets[order]
+    new = np.concatenate([[True], (v[1:] != v[:-1]) | (i[1:] != i[:-1]) | (o[1:] != o[:-1] + 1)])[: len(v)]
+    first = np.flatnonzero(new)
+    return v[first], i[first], o[first], o[np.append(first[1:], len(v)) - 1]
+
+
 def _cut(piece: int, radius: int) -> tuple[int, int]:
     a, b = 64 * piece // (radius + 1), 64 * (piece + 1) // (radius + 1)
     return a, b - a
@@ -200,21 +207,42 @@ def _piece(fps: np.ndarray, piece: int, radius: int) -> tuple[np.ndarray, np.nda
     return order, values[order], present
 
 
-def near_windows(fps: np.ndarray, indexed: tuple, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(window, indexed window) of every pair within the radius; each pair once."""
-    theirs, _, _, pieces = indexed
-    found = []
+def _expanded(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, j) for every low <= j < high of each row, in parts of about PAIRS pairs."""
+    times = high - low
+    sums = np.cumsum(times)
+    edges = np.unique(np.searchsorted(sums, np.arange(0, (sums[-1] if len(sums) else 0) + PAIRS, PAIRS)))
+    for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(rows)]):
+        if i < j:
+            n = times[i:j]
+            yield np.repeat(rows[i:j], n), np.repeat(low[i:j], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def near_windows(fps: np.ndarray, indexed: tuple, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(window, indexed stretch) of every pair within the radius, in parts; a pair may come up once for each piece."""
+    theirs, pieces = indexed[0], indexed[-1]
     for p, (order, values, present) in enumerate(pieces):
         own = _piece_values(fps, p, radius)
         rows = np.flatnonzero(present[(own & np.uint64(0xFFFF)).astype(np.int64)])
-        low, high = np.searchsorted(values, own[rows], "left"), np.searchsorted(values, own[rows], "right")
-        times = high - low
-        a = np.repeat(rows, times)
-        b = order[np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
-        near = np.bitwise_count(fps[a] ^ theirs[b]) <= radius
-        found.append(np.stack([a[near], b[near]]))
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-    return pairs[0], pairs[1]
+        for a, j in _expanded(rows, np.searchsorted(values, own[rows], "left"), np.searchsorted(values, own[rows], "right")):
+            b = order[j]
+            near = np.bitwise_count(fps[a] ^ theirs[b]) <= radius
+            yield a[near], b[near]
+
+
+def merged(spans: np.ndarray) -> np.ndarray:
+    """Rows (text, item, low, high) sorted, those of one text and item that touch or overlap as one."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
+    new = np.concatenate([[True], (spans[1:, :2] != spans[:-1, :2]).any(axis=1)])
+    step = spans[:, 3].max() - spans[:, 2].min() + 2  # lifts each text and item above those before it
+    lift = (np.cumsum(new) - 1) * step
+    reach = np.maximum.accumulate(spans[:, 3] + lift)
+    new[1:] |= spans[1:, 2] + lift[1:] > reach[:-1] + 1
+    first = np.flatnonzero(new)
+    ends = np.append(first[1:], len(spans)) - 1
+    return np.column_stack([spans[first, :3], reach[ends] - lift[ends]])
 
 
 def weighted_similarity(a: Counter, b: Counter, index: Index) -> float:
@@ -239,6 +267,8 @@ def best_window(grams: list[int], starts: int, item: int, index: Index) -> tuple
         s = both / (size + whole - both)
         if s > most + 1e-9:
             most, best = s, at
+            if s >= 1:  # none can be better
+                break
         h, w = grams[at], weight[at]
         both -= w if own[h] <= theirs.get(h, 0) else 0.0
         own[h] -= 1
@@ -255,46 +285,41 @@ def matches(words: np.ndarray, bounds: np.ndarray, index: Index, shingle: int, s
     """(text, item): (similarity, first word) of the best window, for items at least that similar.
 
     `words` are those of several texts in a row and `bounds` their first words;
-    windows lie in one text each.
+    windows lie in one text each. Hits become spans of places where a window may
+    begin, and spans that touch become one, so that a text and an item of
+    repeated words cost what they hold and not their product.
     """
     best: dict[tuple[int, int], tuple[float, int]] = {}
+    slack, lengths = np.array(index.slack, dtype=np.int64), index.lengths
 
-    def compare(pairs: set[tuple[int, int, int]], grams: np.ndarray, width: int) -> None:
-        """Of every (text, item, first word) the windows that begin up to the item's slack away, each once."""
-        done = (-1, -1, -1)
-        for t, item, at in sorted(pairs):
+    def span(a: np.ndarray, items: np.ndarray, first: np.ndarray, last: np.ndarray, size: int, width: int) -> np.ndarray:
+        """Where a window of the item may begin if its stretch first..last lies at row a: (text, item, low, high), within the item's slack."""
+        text = np.searchsorted(bounds, a, "right") - 1
+        inside = a + size + width - 1 <= bounds[text + 1]
+        a, text, items, first, last = (x[inside] for x in (a, text, items, first, last))
+        low, high = bounds[text], bounds[text + 1] - width
+        return merged(np.column_stack([text, items, np.clip(a - last - slack[items], low, high), np.clip(a - first + slack[items], low, high)]))
+
+    def compare(spans: list[np.ndarray], grams: np.ndarray, width: int) -> None:
+        """Every window that begins in a span, once."""
+        for t, item, low, high in merged(np.concatenate([np.empty((0, 4), dtype=np.int64), *spans])).tolist():
             start, last = int(bounds[t]), int(bounds[t + 1]) - width + 1
-            low, high = (min(max(x, start), last - 1) for x in (at - index.slack[item], at + index.slack[item]))
-            if done[:2] == (t, item):
-                low = max(low, done[2] + 1)
-            if low > high:
-                continue
-            done = (t, item, high)
-            own = grams[low : min(high + index.lengths[item], last)].tolist()
+            own = grams[low : min(high + lengths[item], last)].tolist()
             s, at = best_window(own, high - low + 1, item, index)
             if s >= similarity - 1e-9 and s > best.get((t, item), (0.0, 0))[0] + 1e-9:
                 best[t, item] = (s, low + at - start)
 
-    grams = shingle_hashes(words, shingle)
-    pairs: set[tuple[int, int, int]] = set()
+    grams, spans = shingle_hashes(words, shingle), []
     for size, block, fps in window_fingerprints(grams, tuple(index.classes)) if index.classes else ():
-        theirs = index.classes[size]
-        a, b = near_windows(fps, theirs, radius)
-        a = a + block
-        text = np.searchsorted(bounds, a, "right") - 1
-        inside = a + size + shingle - 1 <= bounds[text + 1]
-        pairs.update(zip(text[inside].tolist(), theirs[1][b[inside]].tolist(), (a - theirs[2][b])[inside].tolist()))
-    compare(pairs, grams, shingle)
-    for width, (theirs, items, offsets) in index.short.items():
+        _, items, first, last, _ = theirs = index.classes[size]
+        for a, b in near_windows(fps, theirs, radius):
+            spans.append(span(a + block, items[b], first[b], last[b], size, shingle))
+    compare(spans, grams, shingle)
+    for width, (theirs, items, first, last) in index.short.items():
         own = grams if width == shingle else shingle_hashes(words, width)
         rows = np.flatnonzero(np.isin(own, theirs))
-        low, high = np.searchsorted(theirs, own[rows], "left"), np.searchsorted(theirs, own[rows], "right")
-        times = high - low
-        a = np.repeat(rows, times)
-        b = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        text = np.searchsorted(bounds, a, "right") - 1
-        inside = a + width <= bounds[text + 1]
-        compare(set(zip(text[inside].tolist(), items[b[inside]].tolist(), (a - offsets[b])[inside].tolist())), own, width)
+        found = _expanded(rows, np.searchsorted(theirs, own[rows], "left"), np.searchsorted(theirs, own[rows], "right"))
+        compare([span(a, items[b], first[b], last[b], 1, width) for a, b in found], own, width)
     return best
 
 

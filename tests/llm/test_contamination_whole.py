@@ -1,6 +1,7 @@
 """Texts that begin or end within a benchmark item, edited ones and small blocks, against all windows."""
 
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -94,3 +95,22 @@ def test_similarities_do_not_depend_on_the_blocks(spark, monkeypatch):
         got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_contamination(docs, benchmark).collect()}
         assert got == pytest.approx(wanted)
         assert {r.doc_id for r in decontaminate.clean_documents(docs, benchmark).collect()} == set(range(len(texts))) - {t for t, _ in wanted}
+
+
+@pytest.mark.parametrize("pairs", [1 << 20, 64])
+def test_repeated_words(monkeypatch, pairs):
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    line = [f"l{i}" for i in range(9)]
+    items = [["w"] * 60, ["w"] * 9, line * 6, line, ["a", "b"] * 20, ["w"] * 20 + line + ["w"] * 20, ["w"] * 4]
+    texts = [["w"] * n for n in (3, 8, 30, 47, 48, 61, 300)] + [line * n for n in (1, 4, 5, 9)] + [["x"] + line * 5 + ["w"] * 70, ["a", "b"] * 15 + ["c"] + ["a", "b"] * 30, ["w"] * 17 + line + ["w"] * 17]
+    index = decontaminate.build_index([(i, " ".join(x)) for i, x in enumerate(items)], 5, 0.8, (8, 16, 32), 3)
+    wanted = plain(texts, items)
+    assert found_by(index, texts) == pytest.approx(wanted) and len(wanted) > 20
+
+
+def test_a_long_text_of_one_word_costs_its_length():
+    items = [["w"] * (60 + i) for i in range(20)]
+    index = decontaminate.build_index([(i, " ".join(x)) for i, x in enumerate(items)], 5, 0.8, (8, 16, 32), 3)
+    began = time.process_time()
+    assert len(found_by(index, [["w"] * 100_000])) == 20
+    assert time.process_time() - began < 30  # its product took minutes
