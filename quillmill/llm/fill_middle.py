@@ -3,8 +3,9 @@
 Rows with the same text (SHA-256 and length in bytes agree) are one entry of
 the index. An entry's boundary list says where each code point begins in the
 UTF-8 bytes; it is a rising sequence, kept in Elias-Fano form and made once an
-entry. Documents are joined back to the index by their digest, and each one's
-seeded cut is two selections from the list: bytes are sliced, not counted.
+entry. An entry holds its documents' ids, so joining them back moves no text a
+second time; each one's seeded cut is two selections from the list: bytes are
+sliced, not counted.
 """
 
 from __future__ import annotations
@@ -81,15 +82,14 @@ def _seeds(doc_id: Column) -> list[Column]:
     return [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long") for i in range(4)]
 
 
-def text_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(members, index) of the documents.
+def text_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(digest, bytes, part, text, members, n, boundaries): an entry for each distinct text, with the ids of its documents.
 
-    index (digest, bytes, part, text, n, boundaries): an entry for each distinct
-    text; members (doc_id, digest, bytes, part): a row for each document. A text
-    of more rows than a hundred-thousandth of all (256 at least) has an entry
-    for each such part of them, dealt by id, so that no task gets a large group;
-    copies meet before they are moved. Equal rows, and rows of one text without
-    ids, stay in one part. An empty table gives two empty tables.
+    A text of more rows than a hundred-thousandth of all (256 at least) has an
+    entry for each such part of them, dealt by id, so that no task gets a large
+    group and no list of members is long; copies meet before they are moved. Equal
+    rows, and rows of one text without ids, stay in one part. An empty table
+    gives an empty one.
     """
     session()
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
@@ -99,15 +99,13 @@ def text_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     parts = large.select("digest", "bytes", F.ceil(F.col("_rows") / share).cast("int").alias("_parts"))
     keyed = rows.join(F.broadcast(parts), ["digest", "bytes"], "left")
     keyed = keyed.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_parts")).cast("int"), F.lit(0)))
-    key = ["digest", "bytes", "part"]
-    index = keyed.groupBy(*key).agg(F.first("text").alias("text"))
+    entries = keyed.groupBy("digest", "bytes", "part").agg(F.first("text").alias("text"), F.collect_list(F.struct("doc_id")).alias("members"))
 
     @F.arrow_udf("binary")
     def listed(texts: pa.Array) -> pa.Array:
         return pa.array([boundaries(x).pack() for x in raw_texts(texts)], type=pa.binary())
 
-    index = index.select(*key, "text", F.length("text").cast("long").alias("n"), listed("text").alias("boundaries"))
-    return keyed.select("doc_id", *key), index
+    return entries.withColumns({"n": F.length("text").cast("long"), "boundaries": listed("text")})
 
 
 def transform(docs: DataFrame, rate: int = RATE, suffix_first: int = SUFFIX_FIRST, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -119,9 +117,9 @@ def transform(docs: DataFrame, rate: int = RATE, suffix_first: int = SUFFIX_FIRS
     seeds like an empty one; repeated rows repeat; an empty table gives an
     empty one; extra columns are dropped.
     """
-    members, index = text_index(docs, id_column, text_column)
+    index = text_index(docs, id_column, text_column)
     h1, h2, h3, h4 = (F.col(f"_h{i}") for i in range(1, 5))
-    rows = members.join(index, ["digest", "bytes", "part"]).withColumns({f"_h{i + 1}": h for i, h in enumerate(_seeds(F.col("doc_id")))})
+    rows = index.select(F.inline("members"), "text", "n", "boundaries").withColumns({f"_h{i + 1}": h for i, h in enumerate(_seeds(F.col("doc_id")))})
     marked = F.lit(False)
     for marker in (PREFIX, SUFFIX, MIDDLE):
         marked = marked | F.col("text").contains(marker)
