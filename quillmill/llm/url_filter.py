@@ -138,6 +138,7 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     blocked = settle(groups.join(inner.select("node"), "node").select("root").distinct()).withColumn("_blocked", F.lit(True))
     known = groups.join(blocked, "root", "left").select("node", "root", "_blocked")
     host, path = host_and_path("url")
-    out = rows.join(settle(longest_rules(rows, rules, "url")), "url", "left").join(known, "node", "left")
+    # Both sides grow with the pages, and what is settled is smaller on disk than in memory: not to be broadcast.
+    out = rows.join(settle(longest_rules(rows, rules, "url")).hint("merge"), "url", "left").join(known.hint("merge"), "node", "left")
     verdict = F.coalesce("decision", F.when(F.col("_blocked"), BLOCK), F.lit(ALLOW))
     return out.select("page_id", host.alias("host"), path.alias("path"), "rule", verdict.alias("verdict"), "root")
