@@ -172,3 +172,12 @@ def search_query(groups: Iterable[Iterable[str]], language: str, first_year: int
     """Term groups joined by OR, then language and years by AND."""
     terms = " OR ".join(any_of(g, "[Title/Abstract]") for g in groups)
     return f"({terms}) AND {language}[Language] AND {first_year}:{last_year}[dp]"
+
+
+def search_condition(groups: Iterable[Iterable[str]], language: str, first_year: int, last_year: int, body: Column, lang: Column, year: Column) -> Column:
+    """What search_query asks for, as a condition on a table: any term in the body, without regard to case, the language and the years."""
+    terms = [term for group in groups for term in group]
+    found = F.lit(False)
+    for term in terms:
+        found = found | F.lower(body).contains(term.lower())
+    return F.coalesce(found & (F.lower(lang) == language.lower()) & year.between(first_year, last_year), F.lit(False))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,15 +36,51 @@ def json_lines_with_rejects(spark: SparkSession, path: str, schema: str) -> tupl
     return parsed.where("j._bad is null").select("j.*").drop("_bad"), parsed.where("j._bad is not null").select("value")
 
 
+def marked_lines(lines: DataFrame, schema: str) -> DataFrame:
+    """Lines of JSON (value) -> the schema's fields, `line` (the text of a bad one, else null) and `status`: read or bad. Blank lines are none."""
+    names = [f.name for f in StructType.fromDDL(schema)]
+    parsed = lines.where(F.trim("value") != "").select("value", F.from_json("value", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("j"))
+    bad = F.col("j").isNull() | F.col("j._bad").isNotNull()
+    return parsed.select(*[F.when(~bad, F.col("j")[n]).alias(n) for n in names], F.when(bad, F.col("value")).alias("line"), F.when(bad, "bad").otherwise("read").alias("status"))
+
+
+def counted(df: DataFrame, name: str | Observation) -> DataFrame:
+    """df that counts its records (read, bad) while something else reads it: no pass of its own."""
+    kind = F.col("status")
+    return df.observe(name, F.count_if(kind == "read").alias("read"), F.count_if(kind == "bad").alias("bad"))
+
+
+def copy_counted(spark: SparkSession, path: str, schema: str, target: str) -> dict[str, int]:
+    """Write a folder's JSON lines to target/status=read and the text of bad ones to target/status=bad, in one job that also counts them."""
+    seen = Observation("reading")
+    counted(marked_lines(spark.read.text(path), schema), seen).write.mode("overwrite").partitionBy("status").parquet(target)
+    return {k: seen.get[k] for k in ("read", "bad")}
+
+
+def stream_counted(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, files_at_once: int = 100) -> DataFrame:
+    """The same for the files of a folder that were not seen before: (batch, read, bad) of this run's batches, counted as they are written.
+
+    Of a run with more batches than spark.sql.streaming.numRecentProgressUpdates the last ones are returned.
+    """
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_at_once).load(source)
+    stream = counted(marked_lines(lines, schema), "reading").writeStream.partitionBy("status").format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    query = stream.trigger(availableNow=True).start()
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    rows = [(p["batchId"], p["observedMetrics"]["reading"]["read"], p["observedMetrics"]["reading"]["bad"]) for p in progress]
+    return spark.createDataFrame(rows, "batch long, read long, bad long")
+
+
 def reading_counts(rows: DataFrame, rejects: DataFrame) -> DataFrame:
-    """(status, n): how many records were read and how many were bad."""
+    """(status, n) of two tables that are there already: how many records were read and how many were bad."""
     return rows.agg(F.count("*").alias("n")).withColumn("status", F.lit("read")).unionByName(rejects.agg(F.count("*").alias("n")).withColumn("status", F.lit("bad"))).select("status", "n")
 
 
 def json_folder(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """One document in each file, with its name without ending as `stem`."""
     df = spark.read.schema(schema).option("multiLine", True).json(path)
-    return df.withColumn("stem", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", ""))
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # it comes encoded
+    return df.withColumn("stem", F.regexp_replace(name, r"\.json$", ""))
 
 
 def delimited(spark: SparkSession, path: str, by: str = ",", order: str | None = "_ord") -> DataFrame:

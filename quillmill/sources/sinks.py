@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from quillmill.functions.text import without_control
 from quillmill.operators.joins import not_in
 from quillmill.operators.rows import in_views
+from quillmill.sources.files import Files
 from quillmill.sources.readers import json_lines, read_or_empty
 
 
@@ -44,27 +46,29 @@ def write_documents(df: DataFrame, path: str, buckets: int = 256, key: str = "pm
 def export_documents(df: DataFrame, key: str, folder: str, most: int = 100_000) -> tuple[int, int]:
     """Each row as <folder>/<key>.json, those that are there are left as they are: (written, skipped).
 
-    A file a row is for exports of a bounded size: rows pass the driver one at
-    a time, and over `most` rows are refused (see write_documents).
+    Tasks write the files beside the folder, and the driver only moves them
+    there when all are whole, so a run that breaks off leaves none. Of rows with one
+    key the least by its JSON is written. A file a row is for exports of a
+    bounded size: over `most` rows are refused (see write_documents).
     """
-    spark = df.sparkSession
-    if df.count() > most:
+    spark, files = df.sparkSession, Files(df.sparkSession)
+    rows = df.select(F.col(key).cast("string").alias("_name"), F.to_json(F.struct(*df.columns)).alias("_body"))
+    total = rows.count()
+    if total > most:
         raise ValueError(f"over {most} rows: too many for a file each")
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    written = skipped = 0
-    for row in df.select(F.col(key).cast("string").alias("_name"), F.to_json(F.struct(*df.columns)).alias("_body")).toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{row._name}.json")
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            skipped += 1
-            continue
-        out = fs.create(path, False)
-        try:
-            out.write(bytearray(row._body.encode()))
-        finally:
-            out.close()
-        written += 1
-    return written, skipped
+    folder = folder.rstrip("/")
+    aside = f"{folder}/_{uuid.uuid4().hex}"
+    try:
+        rows.groupBy("_name").agg(F.min("_body").alias("value")).write.partitionBy("_name").text(aside)
+        moved = 0
+        for part in files.names(aside):
+            name = unquote(part.removeprefix("_name="))
+            if part.startswith("_name="):
+                (made,) = [n for n in files.names(f"{aside}/{part}") if n.startswith("part-")]
+                moved += files.rename(f"{aside}/{part}/{made}", f"{folder}/{name}.json")
+    finally:
+        files.delete(aside)
+    return moved, total - moved
 
 
 def rewrite_json(spark: SparkSession, source: str, target: str, schema: str, array: str, **fields) -> None:
@@ -75,16 +79,6 @@ def rewrite_json(spark: SparkSession, source: str, target: str, schema: str, arr
     df.withColumn(array, changed).write.mode("errorifexists").json(target)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder's path below spark.checkpoint.dir; below a temporary folder only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="quillmill-")
-    return f"{folder.rstrip('/')}/scratch-{uuid.uuid4().hex}"
-
-
 def write_delimited(df: DataFrame, path: str, by: str = "\t") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", by).csv(path)
 
@@ -95,11 +89,66 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
 
 
 def record_progress(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Append (key, status) rows to the state table: done, absent, failed."""
-    df.select("key", "status").write.mode("append").parquet(path)
+    """Append the statuses (key, status) of a run to the state's log: done, absent, failed. A later run's status of a key takes the place of an earlier one's."""
+    log = StateLog(spark, path)
+    df.select("key", "status").write.parquet(f"{log.path}/log={log.last() + 1:09d}")
 
 
 def still_to_do(spark: SparkSession, keys: DataFrame, path: str) -> DataFrame:
     """Keys that are neither done nor known to be absent; failed ones come again."""
-    state = read_or_empty(spark, path, "key string, status string").where("status in ('done', 'absent')")
-    return not_in(keys, state, ["key"])
+    return not_in(keys, StateLog(spark, path).current().where("status in ('done', 'absent')"), ["key"])
+
+
+class StateLog:
+    """The last status of each key: runs are appended to a log, which compact() folds into a base.
+
+    pointer.json names the base and the last run in it. Replacing it is what
+    makes a compaction count, and the base and the runs before it stay until the
+    next one, so that readers go on with what they have found. One writer at a time.
+    """
+
+    SCHEMA = "key string, status string"
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path, self._files = spark, path.rstrip("/"), Files(spark)
+
+    def _pointer(self) -> dict:
+        at = f"{self.path}/pointer.json"
+        return json.loads(self._files.read(at)) if self._files.exists(at) else {"base": "", "run": 0}
+
+    def _runs(self) -> list[int]:
+        """Numbers of the runs that are whole."""
+        found = [n for n in self._files.names(self.path) if n.startswith("log=")]
+        return [int(n[4:]) for n in found if self._files.exists(f"{self.path}/{n}/_SUCCESS")]
+
+    def last(self) -> int:
+        every = [int(n[4:]) for n in self._files.names(self.path) if n.startswith("log=")]
+        return max([self._pointer()["run"], *every])
+
+    def current(self) -> DataFrame:
+        """(key, status): of a key in several runs the last one's; within a run failed, done, absent is the order in which they count."""
+        return self._folded(self._pointer(), self._runs()).select("key", "status")
+
+    def _folded(self, pointer: dict, runs: list[int]) -> DataFrame:
+        parts = [self.spark.createDataFrame([], f"{self.SCHEMA}, run int")]
+        if pointer["base"]:
+            parts.append(self.spark.read.schema(f"{self.SCHEMA}, run int").parquet(f"{self.path}/{pointer['base']}"))
+        new = [f"{self.path}/log={n:09d}" for n in runs if n > pointer["run"]]
+        if new:
+            number = F.regexp_extract(F.col("_metadata.file_path"), "/log=([0-9]+)/", 1).cast("int")
+            parts.append(self.spark.read.schema(self.SCHEMA).parquet(*new).select("key", "status", number.alias("run")))
+        every = parts[0].union(parts[1]) if len(parts) == 2 else parts[0] if len(parts) == 1 else parts[0].union(parts[1]).union(parts[2])
+        return every.groupBy("key").agg(F.max(F.struct("run", "status")).alias("_last")).select("key", "_last.status", "_last.run")
+
+    def compact(self) -> None:
+        """Write the last statuses as a new base; the runs and the base that an earlier compaction left are removed."""
+        before, runs = self._pointer(), self._runs()
+        last = max([before["run"], *runs])
+        if last == before["run"]:
+            return
+        base = f"base={last:09d}"
+        self._folded(before, runs).write.mode("overwrite").parquet(f"{self.path}/{base}")
+        self._files.write(f"{self.path}/pointer.json", json.dumps({"base": base, "run": last}).encode())
+        for name in self._files.names(self.path):
+            if name.startswith("base=") and name not in (base, before["base"]) or name.startswith("log=") and int(name[4:]) <= before["run"]:
+                self._files.delete(f"{self.path}/{name}")

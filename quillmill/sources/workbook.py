@@ -99,7 +99,7 @@ def workbook_bytes(sheets: dict[str, tuple[list[str], list[list]]], fills: dict[
             widths = [min(widest, 2 + max([len(str(h)), *(len(str(r[j])) for r in rows[:500])])) for j, h in enumerate(header)]
             cell = lambda v, s: f'<c t="inlineStr"{f" s={chr(34)}{s}{chr(34)}" if s else ""}><is><t xml:space="preserve">{escape("" if v is None else str(v))}</t></is></c>'
             body = ["<row>" + "".join(cell(h, 1) for h in header) + "</row>"]
-            body += ["<row>" + "".join(cell(v, style.get(r[by], 0) if by is not None else 0) for v in r) + "</row>" for r in rows]
+            body += ["<row>" + "".join(cell(v, style.get(str(r[by]), 0) if by is not None else 0) for v in r) + "</row>" for r in rows]
             cols = "".join(f'<col min="{j + 1}" max="{j + 1}" width="{w}" customWidth="1"/>' for j, w in enumerate(widths))
             z.writestr(f"xl/worksheets/sheet{i}.xml", f'<?xml version="1.0"?><worksheet xmlns="{_MAIN[1:-1]}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>' + (f"<cols>{cols}</cols>" if cols else "") + f"<sheetData>{''.join(body)}</sheetData></worksheet>")
     return out.getvalue()
@@ -125,3 +125,33 @@ def write_workbook(spark: SparkSession, views: dict[str, DataFrame], path: str,
 
 def ids_of(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column)).distinct()
+
+
+def sheet_styles(data: bytes, sheet: str | None = None) -> dict:
+    """What a sheet looks like: whether its header is bold and its first row frozen, columns' widths, and each row's fill colour (None without one)."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        book, links, styles = (ET.fromstring(z.read(f"xl/{n}")) for n in ("workbook.xml", "_rels/workbook.xml.rels", "styles.xml"))
+        names = {s.get("name"): s.get(_LINK) for s in book.iter(f"{_MAIN}sheet")}
+        target = {x.get("Id"): x.get("Target") for x in links}[names[sheet] if sheet else next(iter(names.values()))]
+        root = ET.fromstring(z.read("xl/" + target.removeprefix("/xl/")))
+    fills = [c.get("rgb") if (c := f.find(f".//{_MAIN}fgColor")) is not None else None for f in styles.find(f"{_MAIN}fills")]
+    bold = [f.find(f"{_MAIN}b") is not None for f in styles.find(f"{_MAIN}fonts")]
+    forms = [(bold[int(x.get("fontId", 0))], fills[int(x.get("fillId", 0))]) for x in styles.find(f"{_MAIN}cellXfs")]
+    rows = [[forms[int(c.get("s", 0))] for c in row.iter(f"{_MAIN}c")] for row in root.iter(f"{_MAIN}row")]
+    pane = root.find(f".//{_MAIN}pane")
+    return {
+        "bold": all(b for b, _ in rows[0]) if rows else False, "frozen": pane is not None and pane.get("state") == "frozen" and pane.get("ySplit") == "1",
+        "widths": [float(c.get("width")) for c in root.iter(f"{_MAIN}col")], "fills": [r[0][1] if r else None for r in rows[1:]],
+    }
+
+
+def row_fills(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
+    """(_ord, fill) of a sheet's rows below the header, with whether it is bold and frozen."""
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for data in batch["content"]:
+                found = sheet_styles(bytes(data), sheet)
+                yield pd.DataFrame({"_ord": range(len(found["fills"])), "fill": found["fills"], "bold": found["bold"], "frozen": found["frozen"]})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, "_ord long, fill string, bold boolean, frozen boolean")
