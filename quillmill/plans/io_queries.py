@@ -8,17 +8,17 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.functions import detectors as D
 from quillmill.functions import models, notation, sections, text
-from quillmill.operators import curation as C
 from quillmill.operators import joins as J
 from quillmill.operators import rows as R
 from quillmill.plans import pipelines
 from quillmill.plans.queries import query, t
 from quillmill.sources import readers, services, sinks, workbook
+from quillmill.sources.files import scratch
 from quillmill.streaming.incremental import append_new
 
 #: The queries' SQL, by name.
@@ -44,16 +44,12 @@ def counted(df: DataFrame, name: str, key: str) -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.sum(F.col(key).cast("long")).alias("ids")).withColumn("part", F.lit(name))
 
 
-def values(*rows: tuple) -> str:
-    return ", ".join("(" + ", ".join("NULL" if v is None else str(v) if isinstance(v, (int, bool)) else "'" + v.replace("'", "''") + "'" for v in r) + ")" for r in rows)
-
-
 @sql("""
     WITH d AS (SELECT count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM documents)
     SELECT 'strict' AS part, n, ids FROM d UNION ALL SELECT 'tolerant', n, ids FROM d UNION ALL SELECT 'kept', n, ids FROM d UNION ALL SELECT 'appended', n, ids FROM d
     UNION ALL SELECT 'read', n, NULL FROM d UNION ALL SELECT 'bad', (SELECT count(*) FROM nation), NULL""")
 def q_json_lines(spark, d):
-    root, schema = sinks.scratch(spark), "doc_id long, lang string, n_chars long"
+    root, schema = scratch(spark), "doc_id long, lang string, n_chars long"
     docs = t(spark, d, "documents").select("doc_id", "lang", "n_chars")
     for _ in range(2):  # the second run appends nothing
         sinks.append_json(docs, f"{root}/good", ["doc_id"], schema)
@@ -67,7 +63,7 @@ def q_json_lines(spark, d):
 
 @sql("SELECT CAST(n_nationkey AS VARCHAR) AS stem, n_name AS name, (SELECT count(*) FROM nation) AS written, (SELECT count(*) FROM nation) AS skipped FROM nation")
 def q_json_folder(spark, d):
-    root = sinks.scratch(spark)
+    root = scratch(spark)
     rows = t(spark, d, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))
     written, skipped = sinks.export_documents(rows, "key", root)[0], sinks.export_documents(rows, "key", root)[1]
     return readers.json_folder(spark, root, "key long, name string").select("stem", "name", F.lit(written).cast("long").alias("written"), F.lit(skipped).cast("long").alias("skipped"))
@@ -75,7 +71,7 @@ def q_json_folder(spark, d):
 
 @sql("SELECT 'documents' AS part, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM documents UNION ALL SELECT 'of one bucket', count(*), CAST(sum(doc_id) AS BIGINT) FROM documents WHERE doc_id = 5")
 def q_bucketed_documents(spark, d):
-    root = sinks.scratch(spark)
+    root = scratch(spark)
     sinks.write_documents(t(spark, d, "documents").select("doc_id", "lang"), root, 16, "doc_id")
     back = spark.read.schema("doc_id long, lang string, bucket int").json(root)
     bucket = F.pmod(F.xxhash64(F.lit(5).cast("long")), F.lit(16))
@@ -84,7 +80,7 @@ def q_bucketed_documents(spark, d):
 
 @sql("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CASE WHEN s_nationkey % 3 = 0 THEN '' ELSE CAST(s_nationkey AS VARCHAR) END AS nation, form FROM supplier, (VALUES ('csv'), ('tsv')) f(form)")
 def q_delimited(spark, d):
-    root = sinks.scratch(spark)
+    root = scratch(spark)
     rows = t(spark, d, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_nationkey") % 3 != 0, F.col("s_nationkey")).alias("nation"))
     sinks.write_delimited(rows, f"{root}/c", ",")
     sinks.write_delimited(rows, f"{root}/t")
@@ -93,7 +89,7 @@ def q_delimited(spark, d):
 
 @sql("SELECT CAST(n_nationkey AS VARCHAR) AS id, row_number() OVER (ORDER BY CAST(n_nationkey AS VARCHAR)) - 1 AS place FROM nation")
 def q_id_list(spark, d):
-    root = sinks.scratch(spark)
+    root = scratch(spark)
     twice = t(spark, d, "nation").select("n_nationkey").union(t(spark, d, "nation").select("n_nationkey"))
     sinks.write_lines(twice, "n_nationkey", root)
     ids = readers.id_list(spark, root).agg(F.sort_array(F.collect_list("id")).alias("ids"))  # sorted as text, as ids are
@@ -104,7 +100,7 @@ def q_id_list(spark, d):
     SELECT 'text' AS part, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation UNION ALL SELECT 'typed', n_name, CAST(n_regionkey + 1 AS VARCHAR) FROM nation
     UNION ALL SELECT 'ids', CAST(r AS VARCHAR), '' FROM (SELECT DISTINCT n_regionkey AS r FROM nation) UNION ALL SELECT 'sheets', 'nations,high', ''""")
 def q_workbook(spark, d):
-    path = sinks.scratch(spark) + "/report.xlsx"
+    path = scratch(spark) + "/report.xlsx"
     rows = t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     made = workbook.write_workbook(spark, {"nations": rows, "high": rows.where("n_regionkey > 2"), "none": rows.where("n_regionkey > 99")}, path, only_filled=("none",), fills={"1": "FFFFC7CE"}, fill_by="n_regionkey")
     typed = workbook.read_records(spark, path, "n_name string, n_regionkey long", "nations").select(F.lit("typed").alias("part"), F.col("n_name").alias("name"), (F.col("n_regionkey") + 1).cast("string").alias("region"))
@@ -116,35 +112,13 @@ def q_workbook(spark, d):
 
 @sql("SELECT 'all' AS view, count(*) AS n FROM labels UNION ALL SELECT 'good', count(*) FROM labels WHERE quality = 1 UNION ALL SELECT 'toxic', count(*) FROM labels WHERE toxic = 1 UNION ALL SELECT 'all_json', count(*) FROM labels UNION ALL SELECT 'side_json', count(*) FROM labels WHERE toxic = 1")
 def q_views_written(spark, d):
-    root, labels = sinks.scratch(spark), t(spark, d, "labels")
+    root, labels = scratch(spark), t(spark, d, "labels")
     sinks.write_views(labels, {"all": F.lit(True), "good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}, f"{root}/views")
     sinks.write_with_side(labels, f"{root}/all", f"{root}/side", F.col("toxic") == 1)
     json_count = lambda name: readers.json_lines(spark, f"{root}/{name}", labels.schema).agg(F.count("*").alias("n")).withColumn("view", F.lit(f"{name}_json"))
     return stacked(spark.read.parquet(f"{root}/views").groupBy("view").agg(F.count("*").alias("n")), json_count("all"), json_count("side"))
 
 
-def _search(asked: str, year: int, at: int, size: int) -> tuple[int, list[str]]:
-    """A service with 30 more ids each year, every tenth of which a year shares with the next."""
-    total = 30 * (year - 1999) if year else 95
-    return total, [str(i // 10 if i % 10 == 0 else 1000 * year + i) for i in range(at, min(total, at + size))]
-
-
-@sql("""
-    WITH y AS (SELECT 2000 + i AS year, 30 * (i + 1) AS total FROM range(4) r(i)), r AS (SELECT year, total, unnest(range(least(total, 100))) AS i FROM y),
-    s AS (SELECT DISTINCT CASE WHEN i % 10 = 0 THEN i // 10 ELSE 1000 * year + i END AS id FROM r)
-    SELECT 'by year' AS part, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM s
-    UNION ALL SELECT 'capped', count(*), CAST(sum(id) AS BIGINT) FROM (SELECT DISTINCT CASE WHEN i % 10 = 0 THEN i // 10 ELSE 1000 * year + i END AS id FROM r WHERE total > 100)
-    UNION ALL SELECT 'pages', 60, CAST(sum(CASE WHEN i % 10 = 0 THEN i // 10 ELSE i END) AS BIGINT) FROM range(60) r(i) UNION ALL SELECT 'probe', CAST(sum(total) AS BIGINT), NULL FROM y
-    UNION ALL SELECT '(("a"[Title/Abstract] OR "b c"[Title/Abstract]) OR ("d"[Title/Abstract])) AND english[Language] AND 2000:2003[dp]', 0, NULL""")
-def q_search(spark, d):
-    found = services.search_ids(spark, services.search_source(_search, 2000, 2003, cap=100, page=40), "x")
-    spark.dataSource.register(services.paged_search(_search, cap=60, page=25))
-    pages = spark.read.format("paged_search").option("query", "x").load()
-    asked = text.search_query([["a", "b c"], ["d"]], "english", 2000, 2003)
-    more = readers.literal(spark, [{"part": "probe", "n": services.search_count(_search, "x", 2000, 2003)}, {"part": asked, "n": 0}], "part string, n long, ids long")
-    return stacked(counted(found, "by year", "id"), counted(found.where("capped"), "capped", "id"), counted(pages, "pages", "id"), more)
-
-
 def _full(keys):
     if "13" in keys:
         raise OSError("no answer")
@@ -202,53 +176,13 @@ def q_article_sections(spark, d):
     return out.select("item_id", F.col("n_sections").cast("long").alias("n_sections"), "chars_total", *[F.element_at("sections", F.lit(s)).alias(s) for s in ("methods", "results", "abstract")])
 
 
-_QC_CASES = [
-    (1, "X", "1", "", "", "in Zea mays", "EXCLUDE_NONHUMAN_EVIDENCE"), (2, "LOXL2", "1", "", "", "mutant loricrin", "EXCLUDE_GENE_EVIDENCE_MISMATCH"), (3, "OPA1", "14961560", "", "", None, "REVIEW_POSSIBLE_LOF_HAPLOINSUFFICIENCY"),
-    (4, "X", "1", "", "", "no gain-of-function, but toxic gain", "REVIEW_MECHANISM"), (5, "X", "1", "", "", "No GOF effect", "EXCLUDE_NO_GOF_EVIDENCE"), (6, "EMD", "1", "", "", "hypermorph", "REVIEW_MECHANISM"),
-    (7, "EMD", "1", "", "", None, "EXCLUDE_NON_GOF_LOF"), (8, "TBX6", "1", "", "", "loss of function", "EXCLUDE_NON_GOF_LOF"), (9, "TBX6", "1", "", "", "loss of function, dominant negative", "KEEP"),
-    (10, "KCNJ1", "10532965", "", "", "", "EXCLUDE_NON_GOF_LOF"), (11, "KCNJ1", "1", "", "NOT_GOF", "", "EXCLUDE_NON_GOF_LOF"), (12, "KAT6A", " ", "", "", "", "REVIEW_PMID_MISSING_POSSIBLE_GOF"),
-    (13, "ALAS2", None, "c.1670_1671TC>GA", "", "", "REVIEW_PMID_MISSING_POSSIBLE_GOF"), (14, "X", "1", "", "", "", "KEEP"), (15, "CLCN2", "1", "", "", "a locked closed state", "KEEP"), (16, "LRRC8A", "1", "", "", "slightly diminish the VRAC current", "KEEP"),
-    (17, "CLCN2", "1", "", "", "a locked closed conformation", "EXCLUDE_NON_GOF_LOF"), (18, "LRRC8A", "1", "", "", "slightly diminish the VRAC activity", "EXCLUDE_NON_GOF_LOF"),
-]
-
-
-@sql(f"SELECT CAST(id AS BIGINT) AS id, action, CASE WHEN action IN ('KEEP') THEN 'YES' WHEN starts_with(action, 'EXCLUDE') THEN 'NO' ELSE 'REVIEW' END AS final FROM (VALUES {values(*[(c[0], c[6]) for c in _QC_CASES])}) v(id, action)")
-def q_real_cascade(spark, d):
-    names = ("id", "gene", "pmid", "hgvs_coding", "strict_gof_status", "evidence_text")
-    rows = readers.literal(spark, [dict(zip(names, c)) for c in _QC_CASES], "id long, gene string, pmid string, hgvs_coding string, strict_gof_status string, evidence_text string")
-    return C.with_qc(rows).select("id", F.col("qc_round1_action").alias("action"), F.col("include_in_final_dataset_round1").alias("final"))
-
-
-_DETECTOR_CASES = [
-    (1, "Oryza sativa plants", "non_human"), (2, "dCREB gene", "non_human"), (3, "it lacks any real gain-of-function", "negated_claim,claim,claim_context"), (4, "locked-closed", "loss"), (5, "a locked closed state", ""), (6, "diminish the VRAC", ""),
-    (7, "loricrin", "mismatch"), (8, "purchased from a shop", "bad_section"), (9, "nonsense-mediated decay", "decay"), (10, "NEOMORPHIC", "claim,new_function,claim_context"), (11, "it aggregates", "claim_context"), (12, "", ""), (13, None, ""),
-]
-
-
-@sql(f"SELECT CAST(id AS BIGINT) AS id, found FROM (VALUES {values(*[(i, f) for i, _, f in _DETECTOR_CASES])}) v(id, found)")
-def q_detectors(spark, d):
-    rows = readers.literal(spark, [{"id": i, "s": s} for i, s, _ in _DETECTOR_CASES], "id long, s string")
-    flagged = rows.select("id", *D.detected("s", **D.DETECTORS))
-    return flagged.select("id", F.concat_ws(",", *[F.when(F.col(n), n) for n in D.DETECTORS]).alias("found"))
-
-
-_CONTEXT_CASES = [(1, "False", "seen", "", "true", ""), (2, "TRUE", "purchased from x", "", "true", "BAD_SECTION"), (3, "true", "", "a.b@lab.edu", "", "BAD_SECTION"), (4, "true", "p.R5* activates", "", "True", "GOOD"), (5, "true", "p.R5*", "", None, "VARIANT_ONLY_NO_GOF"), (6, None, "", "", "", "")]
-
-
-@sql(f"SELECT CAST(id AS BIGINT) AS id, quality FROM (VALUES {values(*[(c[0], c[5]) for c in _CONTEXT_CASES])}) v(id, quality)")
-def q_context_quality(spark, d):
-    names = ("id", "grobid_variant_found", "grobid_snippet", "grobid_variant_context", "grobid_gof_cue_found")
-    rows = readers.literal(spark, [dict(zip(names, c)) for c in _CONTEXT_CASES], "id long, grobid_variant_found string, grobid_snippet string, grobid_variant_context string, grobid_gof_cue_found string")
-    return rows.select("id", C.context_quality().alias("quality"))
-
-
 @sql("""
     SELECT 'flat' AS part, role AS name, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY role
     UNION ALL SELECT 'map', 'r ' || role, count(*), CAST(sum(length(text)) AS BIGINT) FROM conversations WHERE role <> 'system' GROUP BY role
     UNION ALL SELECT 'distinct', v, 0, NULL FROM (SELECT DISTINCT role AS v FROM conversations UNION SELECT DISTINCT lang FROM documents UNION SELECT DISTINCT source FROM documents)
     UNION ALL SELECT 'rewritten', upper(role), count(*), CAST(sum(length(text)) AS BIGINT) FROM conversations GROUP BY role""")
 def q_nested(spark, d):
-    root = sinks.scratch(spark)
+    root = scratch(spark)
     docs = t(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct("role", "text")).alias("turns"))
     counts = lambda df, part, name: df.groupBy(F.lit(part).alias("part"), name.alias("name")).agg(F.count("*").alias("n"), F.sum(F.length("text").cast("long")).alias("chars"))
     by_role = t(spark, d, "conversations").groupBy("conv_id", "role").agg(F.collect_list(F.struct("role", "text")).alias("turns"))
@@ -308,7 +242,7 @@ def q_score_below(spark, d):
     SELECT 'todo' AS part, count(*) AS n, CAST(sum(k) AS BIGINT) AS ids FROM k WHERE k % 4 IN (2, 3) UNION ALL SELECT 'todo at first', count(*), CAST(sum(k) AS BIGINT) FROM k
     UNION ALL SELECT 'merged', count(*), CAST(sum(CASE WHEN k % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) FROM k UNION ALL SELECT 'healthy', 1, NULL UNION ALL SELECT 'there already', (SELECT count(*) FROM documents WHERE lang = 'de' AND regexp_matches(text, 'ein')), NULL""")
 def q_state(spark, d):
-    root = sinks.scratch(spark)
+    root = scratch(spark)
     keys = t(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("key"))
     first = counted(sinks.still_to_do(spark, keys, f"{root}/none"), "todo at first", "key")
     status = F.element_at(F.array(F.lit("done"), F.lit("absent"), F.lit("failed")), (F.col("key").cast("int") % 4 + 1))
@@ -316,17 +250,28 @@ def q_state(spark, d):
     a, b = keys.withColumn("v", F.lit(1)), keys.where("cast(key as int) % 2 = 0").withColumn("v", F.lit(2))
     merged = readers.merged_last(a, b, key="key").agg(F.count("*").alias("n"), F.sum("v").alias("ids")).withColumn("part", F.lit("merged"))
     there = R.existing(t(spark, d, "documents"), {"lang": "de"}, "text", "ein")
-    more = readers.literal(spark, [{"part": "healthy", "n": int(models.healthy(lambda: True))}, {"part": "there already", "n": there}], "part string, n long, ids long")
+    answers = iter([False, False, True])  # a service that answers late
+    more = readers.literal(spark, [{"part": "healthy", "n": int(models.healthy(lambda: next(answers), wait=0.0)) - int(models.healthy(lambda: False, tries=2, wait=0.0))}, {"part": "there already", "n": there}], "part string, n long, ids long")
     return stacked(counted(sinks.still_to_do(spark, keys, f"{root}/state"), "todo", "key"), first, merged, more)
 
 
 @sql("SELECT 'sink' AS part, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total FROM events WHERE value IS NOT NULL UNION ALL SELECT 'side', count(*), CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) FROM events WHERE floor(value) > 50 UNION ALL SELECT 'rejects', count(*), CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) FROM events WHERE floor(value) < 10")
 def q_stream_sides(spark, d):
-    root, schema = sinks.scratch(spark), t(spark, d, "events").schema
+    """Two files, the second with rows of the first again; a batch that breaks off after the sink was written; a new checkpoint."""
+    root, events = scratch(spark), t(spark, d, "events")
     whole = lambda df: df.select("event_id", "event_type", F.floor("value").cast("long").alias("v"))
-    for _ in range(2):  # a second run from the start, without the stream's memory, finds all keys in the sink
-        append_new(spark, d, schema, f"{root}/sink", f"{root}/state-{_}", ["event_id"], whole, side=(F.col("v") > 50, f"{root}/side"), pattern="events.parquet")
-    append_new(spark, d, schema, f"{root}/good", f"{root}/state", ["event_id"], whole, reject=(F.col("v") < 10, f"{root}/bad"), pattern="events.parquet")
+    third = F.col("event_id") % 3 == 0
+    events.where(third).coalesce(1).write.parquet(f"{root}/in")
+    run = lambda state, side: append_new(spark, f"{root}/in", events.schema, f"{root}/sink", f"{root}/{state}", ["event_id"], whole, side=(side, f"{root}/side"), pattern="*.parquet")
+    broken = F.when(F.col("v") > 50, F.raise_error(F.lit("stopped"))).otherwise(F.lit(False)).cast("boolean")
+    try:
+        run("first", broken)
+    except StreamingQueryException:
+        pass
+    run("first", F.col("v") > 50)
+    events.where(~third | (F.col("event_id") % 5 == 0)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run("second", F.col("v") > 50)
+    append_new(spark, d, events.schema, f"{root}/good", f"{root}/state", ["event_id"], whole, reject=(F.col("v") < 10, f"{root}/bad"), pattern="events.parquet")
     return stacked(*[spark.read.parquet(f"{root}/{folder}").agg(F.count("*").alias("n"), F.sum("v").alias("total")).withColumn("part", F.lit(part)) for part, folder in (("sink", "sink"), ("side", "side"), ("rejects", "bad"))])
 
 
@@ -366,9 +311,3 @@ SQL["q_html_sections"] = r"""
 def q_alternation(spark, d):
     words = ["part", "pa", "metal", "red", "part number"]
     return t(spark, d, "part").select("p_partkey", F.regexp_extract(F.lower("p_name"), notation.alternation(words), 0).alias("word"))
-
-
-@sql("SELECT 'source,lang,n_chars,doc_id,text' AS columns")
-def q_columns_order(spark, d):
-    out = R.reordered(t(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars"), ["source", "lang", "none"], ["n_"])
-    return out.limit(1).select(F.lit(",".join(out.columns)).alias("columns"))

@@ -435,7 +435,7 @@ def q_stub_upsert(spark, d):
 
 @query
 def q_stream_append(spark, d):
-    from quillmill.sources.sinks import scratch
+    from quillmill.sources.files import scratch
     from quillmill.streaming.incremental import append_new
 
     root = scratch(spark)

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from quillmill.plans import io_queries, oracles, queries
+from quillmill.plans import engine_queries, io_queries, oracles, queries  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 SQL = oracles.SQL | io_queries.SQL
