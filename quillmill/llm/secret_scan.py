@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.llm.support import session
+from quillmill.llm.support import session, settle
 from quillmill.llm.trees import forest
 
 #: What may be a secret: a whole run of twelve key characters or more with a digit, quoted or not.
@@ -134,11 +134,14 @@ def measured(taught: DataFrame, trees: list[list[tuple]], threshold: float = 0.5
     return {"findings": row.findings, "false_removed": row.removed / max(1, row["false"]), "secrets_kept": row.kept / max(1, row.findings - row["false"])}
 
 
-def taught_findings(docs: DataFrame, words: list[str], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(x, y, judged) of the findings of about SAMPLE_DOCS documents; `judged` are those of every JUDGED-th document, for measured()."""
+def taught_findings(docs: DataFrame, words: list[str], id_column: str = "doc_id", text_column: str = "text", found: DataFrame | None = None) -> DataFrame:
+    """(x, y, judged) of the findings of about SAMPLE_DOCS documents; `judged` are those of every JUDGED-th document, for measured().
+
+    `found` has the documents' candidates with their features, if they are there already.
+    """
     every = max(1, docs.count() // SAMPLE_DOCS)
-    some = docs.where(F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(every)) == 0)
-    found = labelled_findings(with_features(find_candidates(some, id_column, text_column), words))
+    found = with_features(find_candidates(docs, id_column, text_column), words) if found is None else found
+    found = labelled_findings(found.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(every)) == 0))
     return found.select("x", "y", (F.coalesce(F.pmod(F.shiftright(F.xxhash64("doc_id"), 8), F.lit(JUDGED)), F.lit(1)) == 0).alias("judged"))
 
 
@@ -152,8 +155,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     """
     session()
     words = dictionary(docs, text_column=text_column)
-    found = with_features(find_candidates(docs, id_column, text_column), words)
-    taught = taught_findings(docs, words, id_column, text_column).where("not judged") if labelled is None else with_features(labelled, words)
+    found = settle(with_features(find_candidates(docs, id_column, text_column), words))
+    taught = taught_findings(docs, words, id_column, text_column, found).where("not judged") if labelled is None else with_features(labelled, words)
     trees = fit(taught)
     scored = found.withColumn("score", forest_score(trees))
     return scored.select("doc_id", "start", "end", "value", "score", (F.col("score") >= threshold).alias("is_secret"))

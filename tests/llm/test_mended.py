@@ -1,10 +1,13 @@
 """Bounds and links that odd rows once broke: repeated labelled ids, rows without ids between others, tied words."""
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from quillmill.llm import hmm, quality, simhash
+from quillmill.llm import hmm, quality, secret_scan, simhash
 from quillmill.llm.labelled import training_sample
+from quillmill.llm.queries import op9_secrets
 
 DATA = "/root/testdata/sf0.001"
 
@@ -60,3 +63,53 @@ def test_rows_without_ids_link_others(spark, monkeypatch):
     alone = spark.createDataFrame([(None, 5), (None, 2**30)], "doc_id long, fp long")
     monkeypatch.setattr(simhash, "fingerprints", lambda *a: alone)
     assert [r.component_id for r in simhash.near_duplicates(alone).collect()] == [None, None]
+
+
+def plain_features(value, before, after, words):
+    """The secret scan's features of a candidate, once more."""
+    v = re.sub(secret_scan.ASSIGNED_INSIDE, "", value or "")
+    before, after = re.sub(secret_scan.ASSIGNED, "", before or ""), after or ""
+    n = max(len(v), 1)
+    classes = re.sub("[+/_=-]", "-", re.sub("[0-9]", "0", re.sub("[A-Z]", "B", re.sub("[a-z]", "b", v))))
+    lower = v.lower()
+    rest = re.sub("|".join(sorted(words, key=lambda w: (-len(w), w))) or "$^", "", lower)
+    near = dict.fromkeys(re.findall("[a-z]{4,}", f"{before} {after}".lower()))
+    count = lambda kind: sum(bool(re.match(f"[{kind}]", c)) for c in v) / n
+    found = lambda pattern, s: float(bool(re.search(pattern, s)))
+    return [
+        n, count("0-9"), count("A-Z"), count("a-z"), count("+/_=-"), (len(re.sub(r"(.)\1+", r"\1", classes)) - 1) / n, len(re.findall("[bB]0", classes)) / n, (len(set(v)) or 1) / n,
+        max(map(len, re.findall("[A-Za-z]+", v)), default=0) / n, found("^[0-9a-f]+$", v), 1 - len(rest) / n, max(found(secret_scan.PATH_WORDS, before), found("/.*/", v)), found("^[\"'`]", after), found("=.", v),
+        found("^[0-9-]+$", v), found("[a-z]{2,}[ ,.]+$", before), found("^[ ,.]+[a-z]{2,}", after), found(secret_scan.CODE_WORDS, before), found(secret_scan.CODE_WORDS, after),
+        sum(w in set(words) for w in near) / max(1, len(near)), found(r"^\s*$|^[.]?\s*\n", after),
+    ]
+
+
+def walked(tree, x):
+    at = 0
+    while tree[at][0] >= 0:
+        at = tree[at][2] if x[tree[at][0]] <= tree[at][1] else tree[at][3]
+    return tree[at][4]
+
+
+def test_secrets_again_in_plain_python(spark):
+    """Features, forest, score and decision of every candidate of the query, and features of made-up ones."""
+    data = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    words = secret_scan.dictionary(docs)
+    found = secret_scan.find_candidates(docs)
+    wanted = {(r.doc_id, r.start): plain_features(r.value, r.before, r.after, words) for r in found.collect()}
+    x = {(r.doc_id, r.start): r.x for r in secret_scan.with_features(found, words).collect()}
+    assert len(x) > 20 and x.keys() == wanted.keys()
+    for k in x:
+        assert np.allclose(x[k], wanted[k]), k
+    made = [("token=aB3/aa//9xyz_-=", "the user config, ", '" in prose'), ("20240101-123456", "see https://x.com/path?", ".\n"), ("deadbeef00deadbeef", "api_key: ", ""), ("", "", ""), (None, None, None), ("AKIA" + words[0].upper() + "1234567", "  ", "` account"), ("thethethe123the", "word word, ", " and more")]
+    for (value, before, after), r in zip(made, secret_scan.with_features(spark.createDataFrame(made, "value string, before string, after string").coalesce(1), words).collect()):
+        assert np.allclose(r.x, plain_features(value, before, after, words)), value
+    labels = {(r.doc_id, r.start): r.y for r in secret_scan.labelled_findings(found).collect()}
+    for r in found.collect():
+        mixed = bool(re.search("[A-Za-z]", r.value)) and bool(re.search("[0-9].*[0-9].*[0-9]", r.value))
+        assert labels[r.doc_id, r.start] == int(bool(re.search(secret_scan.KNOWN_FORMATS, r.value)) or mixed and bool(re.search(secret_scan.ASSIGNED, r.before) or re.search(secret_scan.ASSIGNED_INSIDE, r.value)))
+    trees = secret_scan.fit(secret_scan.taught_findings(docs, words).where("not judged"))
+    for r in op9_secrets(spark, data).collect():
+        score = sum(walked(t, x[r.doc_id, r.start]) for t in trees) / len(trees)
+        assert abs(score - r.score) < 1e-9 and r.is_secret == (r.score >= 0.5)
