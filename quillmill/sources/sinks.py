@@ -8,12 +8,14 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillmill.functions.text import without_control
 from quillmill.operators.joins import not_in
 from quillmill.operators.rows import in_views
 from quillmill.sources.files import Files
-from quillmill.sources.readers import json_lines, read_or_empty
+from quillmill.sources.readers import json_lines
+from quillmill.streaming.keyed import KeyedSink, rows_id
 
 
 def write_views(df: DataFrame, views: dict[str, Column], path: str) -> None:
@@ -22,18 +24,35 @@ def write_views(df: DataFrame, views: dict[str, Column], path: str) -> None:
 
 
 def append_json(df: DataFrame, path: str, keys: list[str], schema: str | None = None) -> None:
-    """Append the rows whose key the folder lacks: running it again appends nothing."""
+    """Append the rows whose key the folder lacks, as a commit named by the rows: running it again appends nothing, and one that broke off is taken back first.
+
+    Keys are looked up in an index beside the folder (see streaming.keyed), so
+    the folder itself is not read.
+    """
     spark = df.sparkSession
-    done = read_or_empty(spark, path, schema or df.schema, "json")
-    not_in(df, done, keys).write.mode("append").json(path)
+    kind = df.schema if schema is None else StructType.fromDDL(schema)
+    df = df.persist()
+    try:
+        table, commit = KeyedSink(spark, path, keys, kind, form="json"), rows_id(df)
+        if not table.holds(commit):
+            table.begin(commit)
+            table.unknown(df).write.mode("overwrite").json(f"{table.path}/commit={commit}")
+            table.commit(commit)
+    finally:
+        df.unpersist()
 
 
 def write_with_side(df: DataFrame, path: str, side_path: str, condition: Column) -> None:
-    """All rows to one folder and those under a condition to another too, computed once."""
+    """All rows to one folder and those under a condition to another too, computed once.
+
+    Both are parts named by the rows, so that a second run of the same rows
+    writes its parts anew and doubles nothing.
+    """
     df = df.persist()
     try:
-        df.write.mode("append").json(path)
-        df.where(condition).write.mode("append").json(side_path)
+        own = f"commit={rows_id(df)}"
+        df.write.mode("overwrite").json(f"{path.rstrip('/')}/{own}")
+        df.where(condition).write.mode("overwrite").json(f"{side_path.rstrip('/')}/{own}")
     finally:
         df.unpersist()
 

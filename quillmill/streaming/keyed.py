@@ -32,11 +32,17 @@ def content_id(parts: Iterable[tuple]) -> str:
     return hashlib.sha256(json.dumps(sorted(map(list, parts)), default=str).encode()).hexdigest()[:32]
 
 
+def rows_id(rows: DataFrame) -> str:
+    """A commit's name from its rows, in whatever order and partitions they come."""
+    row = rows.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64(F.lit(1), *rows.columns).cast("decimal(38,0)")).alias("b")).first()
+    return content_id([(row.n, str(row.a), str(row.b))])
+
+
 class KeyedSink:
     """One growing table, its key index and the folders that are written with it."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: StructType, others: Sequence[str] = (), buckets: int = BUCKETS) -> None:
-        self.spark, self.path, self.keys, self.others = spark, path.rstrip("/"), list(keys), [o.rstrip("/") for o in others]
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: StructType, others: Sequence[str] = (), buckets: int = BUCKETS, form: str = "parquet") -> None:
+        self.spark, self.path, self.keys, self.others, self.form = spark, path.rstrip("/"), list(keys), [o.rstrip("/") for o in others], form
         self.schema, self.buckets, self._files, self._index = schema, buckets, Files(spark), f"{path.rstrip('/')}_keys"
         self._recover()
 
@@ -58,7 +64,7 @@ class KeyedSink:
                 self._files.delete(begun)
         self.buckets = self._state().get("buckets", self.buckets)
         if not self._files.exists(f"{self._index}/state.json") and path_exists(self.spark, f"{self.path}/*"):
-            self._write_run("base", self.spark.read.schema(self.schema).parquet(self.path).select(*self.keys).distinct())
+            self._write_run("base", self._rows(self.path).select(*self.keys).distinct())
             self._write_state([["base"]], "")
 
     def holds(self, commit: str) -> bool:
@@ -70,8 +76,7 @@ class KeyedSink:
 
     def commit(self, commit: str) -> None:
         """Index the keys that the commit's rows have, then make it count."""
-        rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/commit={commit}")
-        self._write_run(commit, rows.select(*self.keys))
+        self._write_run(commit, self._rows(f"{self.path}/commit={commit}").select(*self.keys))
         levels = [list(runs) for runs in self._state()["levels"]] or [[]]
         levels[0].append(commit)
         merged = []
@@ -89,6 +94,9 @@ class KeyedSink:
         for run in merged:
             self._files.delete(f"{self._index}/run={run}")
 
+    def _rows(self, path: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).format(self.form).load(path)
+
     def _settled(self, commit: str) -> None:
         self._files.write(f"{self.path}/commit={commit}/_COMMITTED", b"")
         self._files.delete(f"{self._index}/begun")
