@@ -342,7 +342,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
     Words are separated by white space and ASCII punctuation, A-Z lowered. Every
     document is held against every item, a block of items at a time. Null and
     empty texts match nothing; repeated items (the same id and text) are found
-    once for each row; repeated documents repeat.
+    once for each row, and items without an id or a text not at all; repeated
+    documents repeat, ids may be null, and extra columns are dropped. An empty
+    table of documents or items gives an empty result.
     """
     spark = session()
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
@@ -372,7 +374,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
 def clean_documents(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, classes: tuple[int, ...] = CLASSES, text_column: str = "text") -> DataFrame:
     """docs without those that contain an item, in one pass over the texts for each block of items.
 
-    Null and empty texts stay; ids are not looked at; no row is moved.
+    Null and empty texts stay; ids are not looked at; no row is moved; other
+    columns, whatever their names, stay. An empty table stays empty, and without
+    items all rows stay.
     """
     spark = session()
     at = docs.columns.index(text_column)

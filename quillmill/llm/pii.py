@@ -340,7 +340,11 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def redact(docs: DataFrame, model: PiiModel, text_column: str = "text") -> DataFrame:
-    """docs with every span replaced by its kind; null texts stay null, other columns and rows as they are."""
+    """docs with every span replaced by its kind.
+
+    Null texts stay null, empty ones empty; other columns, rows without ids and
+    repeated rows are as they are; an empty table stays empty.
+    """
     shared = share(session_of(docs), model)
     at = docs.columns.index(text_column)
 

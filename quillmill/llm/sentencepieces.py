@@ -512,7 +512,11 @@ def _batch(rows: list[tuple], types: tuple, names: str) -> pa.RecordBatch:
 
 
 def decode(encoded: DataFrame, model: str = MODEL, id_column: str = "doc_id") -> DataFrame:
-    """(doc_id, ids) -> (doc_id, text); null ids give an empty text."""
+    """(doc_id, ids) -> (doc_id, text).
+
+    Null and empty lists of ids give an empty text; a null doc_id stays; repeated
+    rows repeat; other columns are dropped; an empty table gives an empty result.
+    """
     held = session().sparkContext.broadcast(_model(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -262,7 +262,12 @@ def score_documents(docs: DataFrame, model: ToxicityModel, id_column: str = "doc
 
 
 def find_passages(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, first_token, end_token, score, expected) of every significant passage."""
+    """(doc_id, first_token, end_token, score, expected) of every significant passage.
+
+    Null and empty texts have none; ids may be null or repeated, and repeated
+    rows have theirs each; other columns are dropped; an empty table gives an
+    empty result.
+    """
     session()
     names = ["doc_id", "first_token", "end_token", "score", "expected"]
 

@@ -123,7 +123,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """(archive binary) -> (page_id, url, record_type, payload, payload_bytes, payload_digest, refers_to).
 
     A response's length and digest are those of the payload read; a revisit's
-    come from its headers, and its payload is null.
+    come from its headers, and its payload is null. Archives that are null or
+    empty hold nothing; repeated ones are read each; other columns are dropped;
+    an empty table gives an empty result.
     """
     session()
     names = ["page_id", "url", "record_type", "payload", "payload_bytes", "payload_digest", "refers_to"]
@@ -147,7 +149,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for data in batch.column(0):
                 rows: list[tuple] = []
-                for row in parsed(data.as_py()):
+                archive = data.as_py()
+                for row in parsed(archive) if archive else ():
                     rows.append(row)
                     if len(rows) == 500:
                         yield pa.record_batch([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)

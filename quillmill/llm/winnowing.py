@@ -91,8 +91,8 @@ def digest(hashes: np.ndarray, places: np.ndarray) -> str:
 def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, hashes, positions) of every row, in order of position.
 
-    Null and empty texts keep nothing; repeated rows stay repeated; extra
-    columns are dropped.
+    Null and empty texts keep nothing; ids may be null; repeated rows stay
+    repeated; extra columns are dropped; an empty table gives an empty result.
     """
     session()
 
@@ -124,7 +124,9 @@ def edited_comparison(docs: DataFrame, k: int = K, window: int = WINDOW, id_colu
     A single document is followed by itself. Null ids sort first; rows with the
     same id are ordered by text. Null texts are empty. No document is held
     with another but the one after it: partitions are ranges of ids, and the
-    two ends of each meet in a second, small step.
+    two ends of each meet in a second, small step. Rows that share an id, or
+    have none, are one range, and so one task. Extra columns are dropped; an empty
+    table gives an empty result.
     """
     spark = session()
     ordered = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))

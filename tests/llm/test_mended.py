@@ -5,7 +5,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from quillmill.llm import hmm, quality, secret_scan, simhash
+from quillmill.llm import decontaminate, hmm, pii, quality, secret_scan, sentencepieces, simhash, toxicity, warc, winnowing
 from quillmill.llm.labelled import training_sample
 from quillmill.llm.queries import op9_secrets
 
@@ -113,3 +113,37 @@ def test_secrets_again_in_plain_python(spark):
     for r in op9_secrets(spark, data).collect():
         score = sum(walked(t, x[r.doc_id, r.start]) for t in trees) / len(trees)
         assert abs(score - r.score) < 1e-9 and r.is_secret == (r.score >= 0.5)
+
+
+def test_decoding_of_odd_rows(spark):
+    processor = sentencepieces._processor(sentencepieces._model(sentencepieces.MODEL))
+    ids = processor.encode("one  two é 日本 🎉")
+    rows = [(1, ids, "x"), (1, ids, "x"), (None, ids, "x"), (2, None, "x"), (3, [], "x"), (4, ids * 3000, "x")]
+    got = sentencepieces.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>, text string"))
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(str((i, processor.decode(x) if x else "")) for i, x, _ in rows)
+    assert got.columns == ["doc_id", "text"] and sentencepieces.decode(spark.createDataFrame([], "doc_id long, ids array<int>")).count() == 0
+
+
+def test_linking_of_odd_fingerprints(spark):
+    links = lambda rows, **how: {tuple(sorted((r.a, r.b))) for r in simhash.link_fingerprints(spark.createDataFrame(rows, "fp long, rep long, node string"), **how).collect()}
+    assert links([]) == set() and links([(5, 1, "x")]) == set()
+    assert links([(0, 1, None), (3, 2, None), (-1, 3, None), (-4, 4, None), (1 << 40, 9, "a")]) == {(1, 2), (3, 4), (1, 9)}
+    assert links([(0, 1, "x"), (7, 2, "x"), (1, 3, "x")], radius=1) == {(1, 3)}
+
+
+def test_odd_tables_of_the_rest(spark):
+    """Empty tables and clashing columns where no other test has them."""
+    real, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    odd = spark.createDataFrame([(None, None, 1.0, "e", 3), (7, "", 1.0, "e", 3), (7, "", 1.0, "e", 3), (8, "mail me at a.b@c.de", 1.0, "e", 3)], "doc_id long, text string, score double, kind string, start int")
+    personal, good, toxic = pii.fit(real), quality.fit(real, labels), toxicity.fit(real, labels)
+    assert [r.text for r in pii.redact(odd, personal).orderBy("doc_id").collect()] == [None, "", "", "mail me at [EMAIL]"] and pii.redact(odd, personal).columns == odd.columns
+    scored = quality.with_scores(odd, good)
+    assert scored.count() == 4 and scored.columns == ["doc_id", "text", "kind", "start", "score"]
+    empty = odd.limit(0)
+    assert pii.redact(empty, personal).count() == quality.with_scores(empty, good).count() == toxicity.find_passages(empty, toxic).count() == winnowing.fingerprints(empty).count() == winnowing.edited_comparison(empty).count() == 0
+    assert winnowing.fingerprints(odd).count() == 4 and winnowing.edited_comparison(odd).count() == 4 and toxicity.find_passages(odd, toxic).count() == 0
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    assert decontaminate.find_contamination(empty, items).count() == decontaminate.find_contamination(odd, items.limit(0)).count() == decontaminate.clean_documents(empty, items).count() == 0
+    assert decontaminate.clean_documents(odd, items.limit(0)).count() == 4
+    assert warc.read_archives(spark.createDataFrame([], "archive binary")).count() == 0
+    assert warc.read_archives(spark.createDataFrame([(None, 1), (b"", 2)], "archive binary, page_id int")).count() == 0
