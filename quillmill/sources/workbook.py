@@ -1,4 +1,4 @@
-"""Workbooks (.xlsx) without a spreadsheet library: read by executors, written by the driver.
+"""Workbooks (.xlsx) without a spreadsheet library: read and rendered by executors, packed by the driver.
 
 Reading goes through Spark's binary files, so any store works. A workbook is
 one file and is parsed in one task. Writing is for reports of a bounded size.
@@ -10,7 +10,8 @@ import io
 import re
 import xml.etree.ElementTree as ET
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -18,9 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quillmill.sources.files import Files, scratch
+
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 MOST_REPORT_ROWS = 100_000
+_UNWRITABLE = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
 
 
 def _column(reference: str) -> int:
@@ -78,8 +82,23 @@ def read_records(spark: SparkSession, path: str, schema: str, sheet: str | None
     return rows.select("_ord", *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
 
 
-def workbook_bytes(sheets: dict[str, tuple[list[str], list[list]]], fills: dict[str, str] | None = None, fill_by: str | None = None, widest: int = 60) -> bytes:
-    """A workbook of {sheet: (header, rows)}: bold header, frozen, filtered, width by content; rows filled by a column's value."""
+@dataclass
+class Sheet:
+    """A sheet to be written: its header, its columns' widths, and its rows as XML, in parts."""
+
+    header: list[str]
+    widths: list[int]
+    body: Iterable[bytes]
+
+
+def _row(values: Iterable, style: int = 0) -> str:
+    """A row of text cells in a style; null is empty. Control characters, which XML cannot hold, are left out."""
+    mark = f' s="{style}"' if style else ""
+    return "<row>" + "".join(f'<c t="inlineStr"{mark}><is><t xml:space="preserve">{escape(_UNWRITABLE.sub("", "" if v is None else str(v)))}</t></is></c>' for v in values) + "</row>"
+
+
+def package(sheets: dict[str, Sheet], fills: dict[str, str] | None = None) -> bytes:
+    """A workbook of sheets: bold header, frozen, widths, and a style for each fill from number 2 on."""
     fills = fills or {}
     styles = ["FFD9E1F2", *fills.values()]
     out = io.BytesIO()
@@ -93,33 +112,57 @@ def workbook_bytes(sheets: dict[str, tuple[list[str], list[list]]], fills: dict[
         fill_xml = "".join(f'<fill><patternFill patternType="solid"><fgColor rgb="{c}"/></patternFill></fill>' for c in styles)
         xfs = '<xf/><xf fontId="1" fillId="2" applyFont="1" applyFill="1"/>' + "".join(f'<xf fillId="{i + 3}" applyFill="1"/>' for i in range(len(fills)))
         z.writestr("xl/styles.xml", f'<?xml version="1.0"?><styleSheet xmlns="{_MAIN[1:-1]}"><fonts><font/><font><b/></font></fonts><fills><fill><patternFill patternType="none"/></fill><fill><patternFill patternType="gray125"/></fill>{fill_xml}</fills><borders><border/></borders><cellStyleXfs><xf/></cellStyleXfs><cellXfs>{xfs}</cellXfs></styleSheet>')
-        for i, (header, rows) in zip(n, sheets.values()):
-            by = header.index(fill_by) if fill_by in header else None
-            style = {k: j + 2 for j, k in enumerate(fills)}
-            widths = [min(widest, 2 + max([len(str(h)), *(len(str(r[j])) for r in rows[:500])])) for j, h in enumerate(header)]
-            cell = lambda v, s: f'<c t="inlineStr"{f" s={chr(34)}{s}{chr(34)}" if s else ""}><is><t xml:space="preserve">{escape("" if v is None else str(v))}</t></is></c>'
-            body = ["<row>" + "".join(cell(h, 1) for h in header) + "</row>"]
-            body += ["<row>" + "".join(cell(v, style.get(str(r[by]), 0) if by is not None else 0) for v in r) + "</row>" for r in rows]
-            cols = "".join(f'<col min="{j + 1}" max="{j + 1}" width="{w}" customWidth="1"/>' for j, w in enumerate(widths))
-            z.writestr(f"xl/worksheets/sheet{i}.xml", f'<?xml version="1.0"?><worksheet xmlns="{_MAIN[1:-1]}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>' + (f"<cols>{cols}</cols>" if cols else "") + f"<sheetData>{''.join(body)}</sheetData></worksheet>")
+        for i, sheet in zip(n, sheets.values()):
+            cols = "".join(f'<col min="{j + 1}" max="{j + 1}" width="{w}" customWidth="1"/>' for j, w in enumerate(sheet.widths))
+            with z.open(f"xl/worksheets/sheet{i}.xml", "w", force_zip64=True) as f:
+                f.write(f'<?xml version="1.0"?><worksheet xmlns="{_MAIN[1:-1]}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>{f"<cols>{cols}</cols>" if cols else ""}<sheetData>{_row(sheet.header, 1)}'.encode())
+                for part in sheet.body:
+                    f.write(part)
+                f.write(b"</sheetData></worksheet>")
     return out.getvalue()
 
 
-def write_workbook(spark: SparkSession, views: dict[str, DataFrame], path: str, only_filled: tuple[str, ...] = (), most: int = MOST_REPORT_ROWS, **style) -> list[str]:
-    """A sheet for each view; those in only_filled are left out if empty. A view of over `most` rows is refused: such tables are written by write_views."""
-    sheets = {}
-    for name, df in views.items():
-        rows = [list(r) for r in df.limit(most + 1).collect()]
-        if len(rows) > most:
-            raise ValueError(f"{name} has over {most} rows: too many for a report")
-        if rows or name not in only_filled:
-            sheets[name] = (df.columns, rows)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+def workbook_bytes(sheets: dict[str, tuple[list[str], list[list]]], fills: dict[str, str] | None = None, fill_by: str | None = None, widest: int = 60) -> bytes:
+    """A workbook of {sheet: (header, rows)} that are here already; rows are filled by a column's value."""
+    style = {k: j + 2 for j, k in enumerate(fills or {})}
+    made = {}
+    for name, (header, rows) in sheets.items():
+        by = header.index(fill_by) if fill_by in header else None
+        body = ["".join(_row(r, style.get(str(r[by]), 0) if by is not None else 0) for r in rows).encode()]
+        made[name] = Sheet(header, [min(widest, 2 + max([len(str(h)), *(len(str(r[j])) for r in rows)])) for j, h in enumerate(header)], body)
+    return package(made, fills)
+
+
+def write_workbook(spark: SparkSession, views: dict[str, DataFrame], path: str, only_filled: tuple[str, ...] = (), most: int = MOST_REPORT_ROWS, fills: dict[str, str] | None = None, fill_by: str | None = None, widest: int = 60) -> list[str]:
+    """A sheet for each view, rows in its order; those in only_filled are left out if empty.
+
+    Tasks write the rows' XML, and the driver packs these files into one, which
+    takes its place when it is whole. A workbook is one file, so a view of over
+    `most` rows is refused: such tables are written by write_views.
+    """
+    files, style, aside, sheets = Files(spark), {k: j + 2 for j, k in enumerate(fills or {})}, scratch(spark), {}
     try:
-        out.write(bytearray(workbook_bytes(sheets, **style)))
+        for i, (name, df) in enumerate(views.items()):
+            kept_rows = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+            sizes = [F.max(F.length(F.coalesce(F.col(f"`{c}`"), F.lit("None")))).alias(f"w{j}") for j, c in enumerate(df.columns)]
+            found = kept_rows.agg(F.count("*").alias("n"), *sizes).first()
+            if found.n > most:
+                raise ValueError(f"{name} has over {most} rows: too many for a report")
+            if not found.n and name in only_filled:
+                continue
+            by = df.columns.index(fill_by) if fill_by in df.columns else None
+
+            def rendered(batches: Iterator[pd.DataFrame], by: int | None = by) -> Iterator[pd.DataFrame]:
+                for batch in batches:
+                    yield pd.DataFrame({"value": [_row((None if pd.isna(v) else v for v in r), 0 if by is None else style.get(r[by], 0)) for r in batch.itertuples(index=False, name=None)]})
+
+            kept_rows.mapInPandas(rendered, "value string").write.text(f"{aside}/{i}")
+            parts = [f"{aside}/{i}/{n}" for n in files.names(f"{aside}/{i}") if n.startswith("part-")]
+            widths = [min(widest, 2 + max(len(c), w or 0)) for c, w in zip(df.columns, found[1:])]
+            sheets[name] = Sheet(df.columns, widths, map(files.read, parts))
+        files.write(path, package(sheets, fills))
     finally:
-        out.close()
+        files.delete(aside)
     return list(sheets)
 
 

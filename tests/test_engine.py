@@ -241,3 +241,21 @@ def test_styles_are_read_back(spark, tmp_path):
     data = workbook.workbook_bytes({"s": (["a", "b"], [[1, "x"], [2, "y"], [None, "z"]])}, fills={"2": "FF00FF00"}, fill_by="a")
     found = workbook.sheet_styles(data, "s")
     assert found["bold"] and found["frozen"] and found["fills"] == [None, "FF00FF00", None] and len(found["widths"]) == 2
+
+
+def test_workbook_of_views(spark, tmp_path):
+    """Order, odd characters, nulls, fills and widths; a view that fails leaves nothing, not even the old file's loss."""
+    path = str(tmp_path / "r" / "a.xlsx")
+    rows = spark.createDataFrame([(3, "x" * 90, "b"), (1, "a\x00&<é> \n b", None), (2, None, "hot")], "n int, s string, `c d` string")
+    made = workbook.write_workbook(spark, {"all": rows.orderBy("n"), "none": rows.limit(0), "left": rows.limit(0)}, path, only_filled=("left",), fills={"hot": "FF112233"}, fill_by="c d")
+    assert made == ["all", "none"]
+    back = workbook.read_sheet(spark, path, ["n", "s", "c d"], "all").orderBy("_ord").collect()
+    assert [tuple(r)[1:] for r in back] == [("1", "a&<é> \n b", ""), ("2", "", "hot"), ("3", "x" * 90, "b")]
+    found = workbook.sheet_styles(open(path, "rb").read(), "all")
+    assert found["bold"] and found["frozen"] and found["fills"] == [None, "FF112233", None] and found["widths"] == [3.0, 60.0, 6.0]
+    assert workbook.sheet_styles(open(path, "rb").read(), "none")["fills"] == []
+    with pytest.raises(Exception, match="stopped"):
+        workbook.write_workbook(spark, {"all": rows.withColumn("n", F.when(F.col("n") > 1, F.raise_error(F.lit("stopped"))).otherwise(F.col("n")))}, path)
+    with pytest.raises(ValueError):
+        workbook.write_workbook(spark, {"all": rows}, path, most=2)
+    assert workbook.read_sheet(spark, path, ["n"], "all").count() == 3
