@@ -5,7 +5,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from quillmill.llm import decontaminate, hmm, pii, quality, secret_scan, sentencepieces, simhash, toxicity, warc, winnowing
+from quillmill.llm import decontaminate, hmm, near_text, pii, quality, secret_scan, sentencepieces, simhash, toxicity, warc, winnowing
 from quillmill.llm.labelled import training_sample
 from quillmill.llm.queries import op9_secrets
 
@@ -147,3 +147,19 @@ def test_odd_tables_of_the_rest(spark):
     assert decontaminate.clean_documents(odd, items.limit(0)).count() == 4
     assert warc.read_archives(spark.createDataFrame([], "archive binary")).count() == 0
     assert warc.read_archives(spark.createDataFrame([(None, 1), (b"", 2)], "archive binary, page_id int")).count() == 0
+
+
+def test_all_pairs_near_the_limit_in_large_groups(spark, monkeypatch):
+    """Texts that share most shingles, so that their keys are parted into blocks; a quarter are pairs at 0.8 to 0.84, all others below."""
+    monkeypatch.setattr(near_text, "LARGE_KEY", 200)
+    rng, common, texts, pairs = np.random.default_rng(1), [f"c{i}" for i in range(150)], [], set()
+    for i in range(0, 1200, 2):
+        own = common + [f"t{i}w{j}" for j in range(60)]
+        k = int(rng.integers(18, 23)) if i % 4 else 60
+        other = own[:-k] + [f"u{i}w{j}" for j in range(k)]
+        texts += [" ".join(own), " ".join(other)]
+        if near_text.similarity(texts[-2].encode(), texts[-1].encode(), 5) >= 0.8:
+            pairs.add((i, i + 1))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_text.near_duplicate_classes(docs).collect()}
+    assert len(pairs) == 300 and {(c, i) for i, c in got.items() if c != i} == pairs
