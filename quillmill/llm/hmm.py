@@ -13,6 +13,7 @@ from either side, so that no transition and no token is left out.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -290,14 +291,16 @@ def most_frequent(counts: DataFrame, most: int) -> list:
     step = F.floor(F.log2("c") * 16).cast("int")
     others = counts.where(F.col("word") != F.lit(END))
     bins = others.groupBy(step.alias("bin")).agg(F.count("*").alias("n")).collect()  # 16 rows a doubling
-    room, held = max(0, most - 1), F.col("word") == F.lit(END)
+    room, edge, share = max(0, most - 1), -1, 0.0
     for r in sorted(bins, key=lambda r: -r.bin):
-        if r.n <= room:
-            held = held | (step == r.bin)
-            room -= r.n
-            continue
-        held = held | ((step == r.bin) & (F.pmod(F.xxhash64("word"), F.lit(1 << 40)) < F.lit(int(room / r.n * (1 << 40)))))
-        break
+        if r.n > room:
+            edge, share = r.bin, room / r.n
+            break
+        room -= r.n
+    some = F.pmod(F.xxhash64("word"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    # A step's words are those with counts from its least one on: no logarithm for each word again.
+    first, after = (math.ceil(2 ** (b / 16) - 1e-9) for b in (edge, edge + 1))
+    held = (F.col("word") == F.lit(END)) | (F.col("c") >= after) | ((F.col("c") >= first) & some) if edge >= 0 else F.lit(True)
     found = sorted(counts.where(held).collect(), key=lambda r: (-r.c, bytes(r.word)))
     over = len(found) - max(1, most)  # the hash's share is exact to a root of it
     while over > 0:
