@@ -41,7 +41,7 @@ def losers(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) ->
     """The rows that keep_first drops, each as often as it is there."""
     places, first = _places(df, keys, order)
     others = places.join(first, ["_key", "_at"], "left_anti").drop("_key", "_at")
-    copies = places.join(first, ["_key", "_at"], "left_semi").groupBy("_key", "_at").agg(F.count("*").alias("_n"), F.first(F.struct(*df.columns)).alias("_row"))
+    copies = places.join(first, ["_key", "_at"], "left_semi").groupBy("_key", "_at").agg(F.count("*").alias("_n"), F.first(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("_row"))
     again = copies.where("_n > 1").select("_row", F.explode(F.sequence(F.lit(2).cast("long"), "_n"))).select("_row.*")
     return others.unionByName(again)
 
@@ -50,7 +50,7 @@ def _places(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], l
     """df with `_key` and `_at`, and the first (or last) place of each key."""
     kinds = dict(df.dtypes)
     short = [F.unhex(F.md5(F.col(k).cast("binary"))) if kinds.get(k) in ("string", "binary") else F.col(k) for k in keys]
-    whole = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind])
+    whole = _row_hash(df)
     at = [F.col(c) if isinstance(c, str) else c for c in order] + [whole]
     named = lambda cs, n: F.struct(*[c.alias(f"{n}{i}") for i, c in enumerate(cs)])
     places = df.select("*", named(short, "k").alias("_key"), named(at, "a").alias("_at"))
@@ -58,6 +58,11 @@ def _places(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], l
     return places, places.groupBy("_key").agg(best.alias("_at"))
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of a whole row, but for maps, which have none."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+
+
 def top_scored(df: DataFrame, keys: Sequence[str], score: str, order: Sequence[str]) -> DataFrame:
     """The row with the highest score of each key, of equal ones the first; rows without a score come last."""
     return keep_first(df, keys, [F.col(score).isNull(), -F.col(score), *order])
@@ -133,7 +138,7 @@ def accumulated(df: DataFrame, value: str, order: Sequence[str], out: str = "tot
 
 
 def _in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    by = [*order, F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind])]
+    by = [*order, _row_hash(df)]
     rows = df.repartitionByRange(*by).sortWithinPartitions(*by)
     return rows.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
 

@@ -115,6 +115,13 @@ def test_keep_first_is_the_same_on_any_partitioning(spark):
     assert R.keep_first(df.limit(0), ["k"], ["v"]).count() == R.losers(df.limit(0), ["k"], ["v"]).count() == 0
 
 
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, 2, "x"), (1, 2, "x"), (1, 3, "y")], ["k", "a.b", "c d"])
+    assert [tuple(r) for r in R.keep_first(df, ["k"], ["`a.b`"]).collect()] == [(1, 2, "x")]
+    assert sorted(map(tuple, R.losers(df, ["k"], ["`a.b`"]).collect())) == [(1, 2, "x"), (1, 3, "y")]
+    assert R.numbered(df, ["k", "`a.b`"]).select("n").distinct().count() == 3
+
+
 def test_top_scored_puts_nulls_last(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", 0.5, 3), ("a", 0.5, 2), ("b", None, 4)], "k string, s double, o int")
     assert sorted(map(tuple, R.top_scored(df, ["k"], "s", ["o"]).collect())) == [("a", 0.5, 2), ("b", None, 4)]
