@@ -6,7 +6,7 @@ be small and shuffles it otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,14 +61,25 @@ def bridged(rows: DataFrame, bridge: DataFrame, key: str, target: str, default:
     return rows.join(found, key, "left").withColumn(target, F.coalesce(own, "_found", F.lit(default))).drop("_found")
 
 
-def by_first_key(rows: DataFrame, gold: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """rows with the gold value of the first key that finds one: a left join for each key, never an OR in one."""
-    out = rows
+def by_first_key(rows: DataFrame, gold: DataFrame, keys: Sequence[str], value: str, shape: Callable[[Column], Column] = lambda values: values) -> DataFrame:
+    """rows with the gold values of the first key that finds some: a left join for each key, never an OR in one.
+
+    `shape` makes what a row gets of a key's values (an array of distinct ones),
+    once for each key and not for each row. Rows that get the same lie together,
+    in as many parts as shuffles have, so a file of them holds long lists once.
+    """
+    out, lists = rows, None
     for i, k in enumerate(keys):
-        own = gold.where(F.col(k).isNotNull()).groupBy(k).agg(F.collect_set(value).alias(f"_v{i}"))
-        out = out.join(own, k, "left")
-    found = F.coalesce(*[F.col(f"_v{i}") for i in range(len(keys))])
-    return out.withColumn(value, found).drop(*[f"_v{i}" for i in range(len(keys))])
+        known = gold.where(F.col(k).isNotNull())
+        place = F.struct(F.lit(i).alias("key"), F.col(k).cast("string").alias("of")).alias("_at")
+        own = known.groupBy(place).agg(shape(F.collect_set(value)).alias("_found"))
+        lists = own if lists is None else lists.union(own)
+        out = out.join(known.select(k).distinct().select(k, place.alias(f"_at{i}")), k, "left")
+    marks = [f"_at{i}" for i in range(len(keys))]
+    out = out.withColumn("_at", F.coalesce(*marks)).drop(*marks)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.repartitionByRange(parts, "_at", F.xxhash64(*keys)).join(lists, "_at", "left")
+    return out.withColumn(value, F.col("_found")).drop("_at", "_found")
 
 
 def covered(annotations: DataFrame, model: DataFrame, key: str = "pmid") -> DataFrame:
