@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents."""
+"""Labelled documents: all that may be learned from, and bounded samples of them."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     often repeated takes no more than its place. Two tables are broadcast: `rows` ids
     with a label, and `rows` ids with a text's hash and a label.
     """
-    own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (crc_rest("doc_id", 5) != 0)).distinct()
+    own = training_ids(labels, label)
     share = min(1.0, 1.1 * rows / max(1, own.count()))  # so that each task hands on its share of the sample only
     own = own.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 8), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
     picked = own.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
@@ -28,6 +28,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     return texts.join(F.broadcast(kept), ["doc_id", "_h"]).dropDuplicates(["doc_id", "_h", "y"]).select("text", "y")
 
 
+def training_ids(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of all labels that are 0 or 1 and not held out, each once."""
+    return labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (crc_rest("doc_id", 5) != 0)).distinct()
+
+
 def held_out(id_column: str = "doc_id") -> F.Column:
     """Whether crc32 of the id as text is divisible by 5; a null id is not held out."""
     return F.coalesce(crc_rest(id_column, 5) == 0, F.lit(False))

@@ -2,7 +2,9 @@
 
 Bradley-Terry: of a labelled good and a labelled bad document, the good one is
 preferred with probability sigmoid(w (x_good - x_bad)); w minimises the
-logistic loss over many such pairs. The threshold is the quantile of the
+logistic loss over all such pairs of the labelled documents that are not held
+out. The pairs are never made: those of two narrow ranges of scores have one
+probability, so a Newton step needs sums over the documents of each range. The threshold is the quantile of the
 training scores that leaves the training share of good documents above it: a
 document is accepted if and only if its score is at least that quantile, which
 the reported score shows as ACCEPTED.
@@ -13,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,10 +23,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.labelled import SAMPLE_ROWS, held_out, training_sample
-from quillmill.llm.support import raw_texts, session
+from quillmill.llm.labelled import held_out, training_ids
+from quillmill.llm.support import raw_texts, session, settle
 
+#: All pairs together weigh as much as so many do against the ridge.
 PAIRS = 40_000
+RIDGE = 20.0
+#: Ranges of scores to a unit, in a Newton step and in the calibration.
+RANGES, FINE_RANGES = 8, 256
+#: A step below this ends the fit: ranges of 1 / RANGES know the weights to about half of it.
+SETTLED = 2e-3
+#: Sums are of integers, multiples of 1 / SCALE (of products 1 / 2^24), so that no order of adding changes them.
+SCALE = 1 << 30
+#: Rows of features that are summed at once; a table has about a part for each.
+_ROWS = 1 << 16
 #: The reported score of a document at the quantile.
 ACCEPTED = 0.3
 FEATURES = ["log_bytes", "log_words", "word_bytes", "upper", "digit", "mark", "mark_ended", "capitals", "same_as_last", "distinct", "most_common", "same_lines", "bar", "exclaimed", "long_words", "line_words", "no_stop", "high_bytes"]
@@ -132,14 +144,18 @@ class QualityModel:
 
     def strength(self, x: np.ndarray) -> np.ndarray:
         """Bradley-Terry scores of rows of features."""
+        return (self.units(x) * self.weights).sum(axis=1)  # row by row: equal rows have equal scores in any batch
+
+    def units(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.spread, -6, 6)
-        return np.concatenate([z, np.abs(z)], axis=1) @ self.weights
+        return np.concatenate([z, np.abs(z)], axis=1)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (self.strength(x) - self.cut) + self.offset, -30, 30)))
 
 
 def fit_arrays(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 11) -> QualityModel:
+    """A model of rows that are here already, by pairs drawn from them; fit() takes all pairs of a table."""
     from quillmill.llm.trees import calibrate
 
     width = x.shape[1] if x.ndim == 2 else len(FEATURES)
@@ -155,7 +171,7 @@ def fit_arrays(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 11)
     w = np.zeros(d.shape[1])
     for _ in range(30):  # Newton steps of the ridged logistic loss
         p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
-        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d + 20.0 * np.eye(len(w)), d.T @ (1 - p) - 20.0 * w)
+        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d + RIDGE * np.eye(len(w)), d.T @ (1 - p) - RIDGE * w)
         w += step
         if abs(step).max() < 1e-6:
             break
@@ -167,27 +183,162 @@ def fit_arrays(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 11)
     return model
 
 
-def _featured(rows: DataFrame) -> DataFrame:
-    """(text, y) -> (x, y)."""
+def _featured(docs: DataFrame, id_column: str) -> DataFrame:
+    """(doc_id, h, x) of the documents that are not held out: a text's hash and its features."""
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(~held_out())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([pa.array([features(raw) for raw in raw_texts(batch.column(0))], type=pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([features(raw) for raw in raw_texts(batch.column(2))], type=pa.list_(pa.float64()))], names=["doc_id", "h", "x"])
 
-    return rows.mapInArrow(run, "x array<double>, y int")
+    return rows.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text").mapInArrow(run, "doc_id long, h long, x array<double>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "doc_id") -> QualityModel:
-    """Fitted on at most `rows` labelled documents that are not held out.
+def _sums(rows: DataFrame, count: Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]) -> tuple[np.ndarray, list[int]]:
+    """Sorted keys and exact sums of the (keys, integers) that `count` makes of blocks of rows (x, y)."""
 
-    The same rows give the same model on any partitioning. With labels of one
-    kind only, every document has that kind's score; without labels every
-    document is good.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in [*batches, None]:  # features of a part: about _ROWS rows of 150 bytes
+            if batch is not None:
+                held.append(batch)
+            if held and (batch is None or sum(b.num_rows for b in held) >= _ROWS):
+                x = np.concatenate([b.column(0).flatten().to_numpy(zero_copy_only=False) for b in held]).reshape(-1, len(FEATURES))
+                y = np.concatenate([b.column(1).to_numpy(zero_copy_only=False) for b in held]).astype(np.int64)
+                held = []
+                for at in range(0, len(x), _ROWS):
+                    for keys, values in count(x[at : at + _ROWS], y[at : at + _ROWS]):
+                        yield pa.record_batch([pa.array(keys.astype(np.int64)), pa.array(values.astype(np.int64))], names=["k", "v"])
+
+    made = rows.mapInArrow(run, "k long, v long").groupBy("k").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v"))
+    found = made.toArrow().sort_by("k")  # a bounded number: places in the sums of a range
+    return found["k"].to_numpy(), [int(v) for v in found["v"].to_pylist()]
+
+
+def _moments(rows: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Rows with label 0 and 1, and the mean and deviation of each feature."""
+    width = len(FEATURES)
+    at = np.arange(width)
+    _, found = _sums(rows, lambda x, y: iter([(np.append(at, [width, width + 1]), np.append(np.rint(x * SCALE).astype(np.int64).sum(axis=0), [(y == 0).sum(), (y == 1).sum()]))]))
+    if not found or not found[width] or not found[width + 1]:
+        return found[width] if found else 0, found[width + 1] if found else 0, np.zeros(width), np.ones(width)
+    n = found[width] + found[width + 1]
+    mean = np.array([v / n for v in found[:width]]) / SCALE
+    _, squares = _sums(rows, lambda x, y: iter([(at, np.rint((x - mean) ** 2 * SCALE).astype(np.int64).sum(axis=0))]))
+    return found[width], found[width + 1], mean, np.sqrt(np.array([v / n for v in squares]) / SCALE) + 1e-6
+
+
+def _ranged(s: np.ndarray, y: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges that occur, as 2 * number + label; the rows in their order; each range's first row."""
+    code = 2 * np.floor(s * ranges).astype(np.int64) + y
+    order = np.argsort(code, kind="stable")
+    found, first = np.unique(code[order], return_index=True)
+    return found, order, first
+
+
+def _by_range(rows: DataFrame, model: QualityModel, ranges: int, products: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Labels, and for each range of scores that has rows: their number, and sums of their scores, units and, if asked for, products of units."""
+    width = len(model.weights)
+    upper = np.triu_indices(width)
+    size = 2 + (width + len(upper[0]) if products else 0)
+
+    def count(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        z = np.rint(model.units(x) * (1 << 12)) / (1 << 12)  # sums of such products are exact in doubles
+        s = model.strength(x)
+        found, order, first = _ranged(s, y, ranges)
+        ends = np.append(first[1:], len(order))
+        scores = np.add.reduceat(np.rint(s[order] * SCALE).astype(np.int64), first)
+        for code, a, b, total in zip(found.tolist(), first.tolist(), ends.tolist(), scores.tolist()):
+            own = [b - a, total]
+            if products:
+                part = z[order[a:b]]
+                own += np.concatenate([part.sum(axis=0) * SCALE, (part.T @ part)[upper] * (1 << 24)]).astype(np.int64).tolist()
+            yield code * 1024 + np.arange(size), np.array(own, dtype=np.int64)
+
+    keys, values = _sums(rows, count)
+    table = np.array(values, dtype=float).reshape(-1, size) / np.concatenate([[1.0], np.full(min(size - 1, 1 + width), SCALE), np.full(max(0, size - 2 - width), 1 << 24)])
+    return keys[::size] // 1024 % 2, table
+
+
+def _newton_step(w: np.ndarray, labels: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The step of the ridged loss over all pairs, from the sums of the ranges."""
+    width = len(w)
+    good, bad = table[labels == 1], table[labels == 0]
+    n, m = good[:, 0], bad[:, 0]
+    # The chance that the bad one is preferred, at the ranges' mean scores.
+    p = 1 / (1 + np.exp(np.clip((good[:, 1] / n)[:, None] - (bad[:, 1] / m)[None, :], -500, 500)))
+    q = p * (1 - p)
+    zg, zb = good[:, 2 : 2 + width], bad[:, 2 : 2 + width]
+    weight = PAIRS / (n.sum() * m.sum())
+    gradient = weight * (zg.T @ (p @ m) - zb.T @ (p.T @ n)) - RIDGE * w
+    flat = good[:, 2 + width :].T @ (q @ m) + bad[:, 2 + width :].T @ (q.T @ n)
+    h = np.zeros((width, width))
+    h[np.triu_indices(width)] = flat
+    h = h + np.triu(h, 1).T
+    cross = zg.T @ q @ zb
+    return np.linalg.solve(weight * (h - cross - cross.T) + RIDGE * np.eye(width), gradient)
+
+
+def _quantile(rows: DataFrame, model: QualityModel, n: int, share: float) -> float:
+    """The quantile of all rows' scores, between two neighbours in order in proportion, each found by 16 bits at a time."""
+    place = (n - 1) * share
+    low = min(int(place), n - 1)
+    ranks = [low, min(low + 1, n - 1)]
+    found = [(0, r) for r in ranks]  # the bits so far, and the rank among the scores that begin so
+    for shift in (48, 32, 16, 0):
+        wanted = np.unique(np.array([bits for bits, _ in found], dtype=np.uint64))
+
+        def count(x: np.ndarray, y: np.ndarray, shift: int = shift, wanted: np.ndarray = wanted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            raw = (model.strength(x) + 0.0).view(np.uint64)
+            raw = np.where(raw >> np.uint64(63), ~raw, raw | np.uint64(1 << 63))  # in the order of the scores
+            if shift < 48:
+                raw = raw[np.isin(raw >> np.uint64(shift + 16), wanted)]
+            keys, times = np.unique(raw >> np.uint64(shift), return_counts=True)
+            yield keys.view(np.int64), times
+
+        keys, times = _sums(rows, count)
+        pairs = sorted(zip((int(k) & (2**64 - 1) for k in keys), times))
+        after = []
+        for bits, rank in found:
+            for k, t in pairs:
+                if k >> 16 != bits and shift < 48:
+                    continue
+                if rank < t:
+                    after.append((k, rank))
+                    break
+                rank -= t
+        found = after
+    values = np.array([bits & (2**63 - 1) if bits >> 63 else ~bits & (2**64 - 1) for bits, _ in found], dtype=np.uint64).view(np.float64)
+    return float(values[0] + (values[1] - values[0]) * (place - low))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> QualityModel:
+    """Fitted on all labelled documents that are not held out, in passes over a table of their features.
+
+    Rows with the same id, text and label count once. The same rows give the
+    same model on any partitioning. With labels of one kind only, every document
+    has that kind's score; without labels every document is good.
     """
+    from quillmill.llm.trees import calibrate
+
     session()
-    found = _featured(training_sample(docs, labels, "quality", rows, id_column)).collect()  # at most `rows`
-    found.sort(key=lambda r: (r.y, r.x))  # pairs are drawn by place
-    return fit_arrays(np.array([r.x for r in found], dtype=float).reshape(len(found), len(FEATURES)), np.array([r.y for r in found]))
+    found = _featured(docs, id_column).join(training_ids(labels, "quality"), "doc_id").dropDuplicates(["doc_id", "h", "y"])
+    rows = settle(found.select("x", "y"))
+    rows = settle(rows.repartition(1 + rows.count() // _ROWS))
+    bad, good, mean, spread = _moments(rows)
+    model = QualityModel(mean, spread, np.zeros(2 * len(mean)), 0.0, 0.0, 30.0 if good or not bad else -30.0)
+    if not good or not bad:
+        return model
+    for _ in range(30):
+        step = _newton_step(model.weights, *_by_range(rows, model, RANGES, True))
+        model = QualityModel(mean, spread, model.weights + step, 0.0, 1.0, 0.0)
+        if abs(step).max() < SETTLED:
+            break
+    model.cut = _quantile(rows, model, good + bad, 1 - good / (good + bad))
+    y, table = _by_range(rows, model, FINE_RANGES, False)
+    slope, _ = calibrate(table[:, 1] / table[:, 0] - model.cut, y, table[:, 0])  # how fast the score moves away from the cut, not where it lies
+    model.slope, model.offset = max(slope, 1e-3), math.log(ACCEPTED / (1 - ACCEPTED))
+    return model
 
 
 def score_documents(docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -84,22 +84,23 @@ def forest(x: np.ndarray, y: np.ndarray, trees: int = 25, depth: int = 6, seed:
     return out
 
 
-def calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Platt's (slope, offset): the probability of label 1 is sigmoid(slope * score + offset)."""
-    n1, n0 = y.sum(), len(y) - y.sum()
+def calibrate(score: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> tuple[float, float]:
+    """Platt's (slope, offset): the probability of label 1 is sigmoid(slope * score + offset). Each score counts `times`, or once."""
+    times = np.ones(len(score)) if times is None else times
+    n1, n0 = (times * y).sum(), (times * (1 - y)).sum()
     t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     unit = max(float(np.abs(score).max()), 1e-9)
     x = np.stack([score / unit, np.ones(len(score))], axis=1)
 
     def loss(w: np.ndarray) -> float:
         f = x @ w
-        return float((np.logaddexp(0, f) - t * f).sum() + 1e-3 * w @ w)
+        return float((times * (np.logaddexp(0, f) - t * f)).sum() + 1e-3 * w @ w)
 
     w = np.zeros(2)
     for _ in range(100):  # Newton steps, halved until the loss falls
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 2e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (p - t) + 2e-3 * w)
+        h = (x * (times * p * (1 - p))[:, None]).T @ x + 2e-3 * np.eye(2)
+        step = np.linalg.solve(h, x.T @ (times * (p - t)) + 2e-3 * w)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > loss(w):
             size /= 2
