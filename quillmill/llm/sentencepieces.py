@@ -37,7 +37,7 @@ CHUNK = 1 << 16
 #: Neighbours whose matrices are multiplied in one task, at every level of the tree.
 FAN = 16
 #: Words whose ids a task remembers, beginnings of words whose last piece it does, pairs of pieces, and code points of the longest of the words.
-WORDS, BEGINNINGS, PAIRS, LONGEST_REMEMBERED = 1 << 18, 1 << 20, 1 << 19, 64
+WORDS, BEGINNINGS, PAIRS, LONGEST_REMEMBERED = 1 << 18, 1 << 19, 1 << 19, 64
 SPACE = "▁"
 _START = 0
 _NEVER = -np.inf
@@ -79,11 +79,12 @@ class Pieces:
         self.ends: dict[str, dict[str, bool] | None] = {p[n:]: None for p in self.id for n in range(len(p))}
         self.ends.update((p, {}) for p in self.id if len(p) == 1 or p in self.halves)
         self.pairs = 0
-        #: The last piece of each beginning of the words met.
-        self.tails: dict[str, str] = {"": ""}
+        #: The length of the last piece of each beginning of the words met.
+        self.tails: dict[str, int] = {"": 0}
         inner = any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.id)
         self.free = re.compile(r"(?s).+" if inner else f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
-        self.words = _Words(self)
+        #: Words and their ids. Nothing here leads back to this object: a task's tables are gone as soon as it ends.
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str, least: int = 1) -> list[str]:
         """Plain BPE of a short text down to `least` parts: the best pair first, of equals the leftmost."""
@@ -216,7 +217,7 @@ class Pieces:
         if kept:
             if len(tails) > BEGINNINGS:
                 tails.clear()
-                tails[""] = ""
+                tails[""] = 0
             met = n
             while text[:met] not in tails:
                 met -= 1
@@ -228,7 +229,7 @@ class Pieces:
                 if fits is not None or at == end - 1:
                     prior = last[at]
                     if prior is None:
-                        prior = last[at] = tails[text[:at]]
+                        prior = last[at] = text[at - tails[text[:at]] : at]
                     fit = fits.get(prior) if fits is not None else None
                     if fit or fit is None and self.compatible(prior, piece):
                         break
@@ -237,17 +238,28 @@ class Pieces:
                 fits = ends.get(piece)
             last[end] = piece
             if kept:
-                tails[text[:end]] = piece
+                tails[text[:end]] = len(piece)
         out = []
         while n:
-            piece = last[n] or tails[text[:n]]
+            piece = last[n] or text[n - tails[text[:n]] : n]
             out.append(piece)
             n -= len(piece)
         return out[::-1]
 
     def encode(self, text: str) -> list[int]:
-        """Vocabulary numbers of a text, from the paths of its words."""
-        return list(chain.from_iterable(map(self.words.__getitem__, self.free.findall(escaped(text)))))
+        """Vocabulary numbers of a text, from the paths of its words; what is remembered is begun anew when it is full."""
+        found, words = self.free.findall(escaped(text)), self.words
+        new = set(found).difference(words)
+        if len(words) + len(new) > WORDS:
+            words.clear()
+            new = set(found)
+        for word in new:
+            words[word] = tuple(self.ids(self.path(word)))
+        ids = list(chain.from_iterable(map(words.__getitem__, found)))
+        for word in new:
+            if len(word) > LONGEST_REMEMBERED:
+                del words[word]
+        return ids
 
     def ids(self, pieces: list[str]) -> list[int]:
         """Vocabulary numbers; a character without a piece gives its bytes' numbers."""
@@ -258,21 +270,6 @@ class Pieces:
         return out
 
 
-class _Words(dict):
-    """Words and their ids; begun anew when it is full."""
-
-    def __init__(self, pieces: Pieces) -> None:
-        self.pieces = pieces
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.pieces.ids(self.pieces.path(word)))
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 def escaped(text: str) -> str:
     """The text as the model sees it: a leading space, and spaces visible. Empty stays empty."""
     return SPACE + text.replace(" ", SPACE) if text else ""
